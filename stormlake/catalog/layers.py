@@ -1,29 +1,12 @@
-"""Registered queries: name -> (Spark builder, DuckDB oracle SQL or None).
-
-Every builder takes ``(spark, sf_dir)``, reads the whole test tables through
-the fixture views and returns a lazy DataFrame.
-"""
+"""Silver, gold and trend queries (PL1-PL8)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
 from stormlake import oracles as O
+from stormlake.catalog import register
 from stormlake.plans import gold, silver, trends
 from stormlake.sources import fixtures as X
 
-Builder = Callable[[SparkSession, str], DataFrame]
-REGISTRY: dict[str, tuple[Builder, str | None]] = {}
-
-
-def register(name: str, sql: str | Callable[[], str] | None = None):
-    def deco(fn: Builder) -> Builder:
-        REGISTRY[name] = (fn, sql() if callable(sql) else sql)
-        return fn
-    return deco
-
 
 # --- shared silver inputs --------------------------------------------------
 def silver_disaster_df(spark, sf):

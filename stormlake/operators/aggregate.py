@@ -6,7 +6,7 @@ reduced before it is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,15 +54,11 @@ def pivot_counts(df: DataFrame, index: list[str], pivot_col: str,
 
 
 def event_counts_per_file(df: DataFrame, file_col: str, type_col: str = "EVENT_TYPE") -> DataFrame:
-    """AG7: rows per (file, event type), plus the file's total rows."""
+    """AG7: rows per (file, event type) -- null types dropped as value_counts
+    does -- with the file's total row count alongside."""
     counts = df.groupBy(file_col, type_col).agg(F.count(F.lit(1)).alias("count"))
-    return counts.withColumn(
-        "file_rows", F.sum("count").over(_by(file_col)))
-
-
-def _by(col: str):
-    from pyspark.sql import Window
-    return Window.partitionBy(col)
+    counts = counts.withColumn("file_rows", F.sum("count").over(Window.partitionBy(file_col)))
+    return counts.where(F.col(type_col).isNotNull())
 
 
 def year_range(df: DataFrame, col: str = "year", keys: list[str] | None = None) -> DataFrame:

@@ -33,6 +33,10 @@ _UNB_P = Window.unboundedPreceding
 _UNB_F = Window.unboundedFollowing
 
 
+def _desc(o: str | Column) -> Column:
+    return (F.col(o) if isinstance(o, str) else o).desc_nulls_last()
+
+
 def _lerp(pv: Column, pp: Column, nv: Column, np_: Column, pos: Column) -> Column:
     # numpy.interp's order: slope first, then slope * dx + left value
     return ((nv - pv) / (np_ - pp)) * (pos - pp) + pv
@@ -56,15 +60,17 @@ def interpolate_linear(df: DataFrame, cols: list[str], keys: list[str],
     w = Window.partitionBy(*part).orderBy(*order)
     d = d.withColumn("__rn", F.row_number().over(w))
     fwd = w.rowsBetween(_UNB_P, 0)
-    bwd = w.rowsBetween(0, _UNB_F)
+    # "first non-null at or after" as a growing frame over the reversed order:
+    # a shrinking (current .. unbounded following) frame is re-aggregated per row
+    rev = Window.partitionBy(*part).orderBy(*[_desc(o) for o in order]).rowsBetween(_UNB_P, 0)
     exprs = {}
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         at = F.when(x.isNotNull(), F.col("__rn"))
         exprs[f"__pv{i}"] = F.last(x, True).over(fwd)
         exprs[f"__pp{i}"] = F.last(at, True).over(fwd)
-        exprs[f"__nv{i}"] = F.first(x, True).over(bwd)
-        exprs[f"__np{i}"] = F.first(at, True).over(bwd)
+        exprs[f"__nv{i}"] = F.last(x, True).over(rev)
+        exprs[f"__np{i}"] = F.last(at, True).over(rev)
     d = d.withColumns(exprs)
 
     # 2. per-block summary (the big side is already partitioned by `part`)

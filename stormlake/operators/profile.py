@@ -16,14 +16,14 @@ def null_counts(df: DataFrame, cols: list[str], group_cols: list[str] | None = N
     wide = df.groupBy(*group_cols).agg(*aggs)
     stack = ", ".join(f"'{c}', __z{i}" for i, c in enumerate(cols))
     return wide.selectExpr(*[f"`{g}`" for g in group_cols], "__n AS n",
-                           f"stack({len(cols)}, {stack}) AS (column, nulls)")
+                           f"stack({len(cols)}, {stack}) AS (column_name, nulls)")
 
 
 def null_percentages(df: DataFrame, cols: list[str] | None = None,
                      group_cols: list[str] | None = None, digits: int | None = 2) -> DataFrame:
     """AG8: % null per column (per group), rounded half-even; 0 rows -> null.
 
-    Long format ``(group..., column, null_pct)``; sort by ``null_pct`` desc when
+    Long format ``(group..., column_name, null_pct)``; sort by ``null_pct`` desc when
     presenting.
     """
     group_cols = group_cols or []
@@ -32,7 +32,7 @@ def null_percentages(df: DataFrame, cols: list[str] | None = None,
     pct = F.when(F.col("n") > 0, (F.col("nulls") / F.col("n")) * F.lit(100.0))
     if digits is not None:
         pct = round_half_even(pct, digits)
-    return nc.select(*group_cols, "column", pct.alias("null_pct"))
+    return nc.select(*group_cols, "column_name", pct.alias("null_pct"))
 
 
 def distinct_values(df: DataFrame, col: str, order_col: str | None = None,
@@ -53,4 +53,4 @@ def schema_profile(df: DataFrame) -> DataFrame:
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     stack = ", ".join(f"{i}, '{c}', '{types[c]}', __c{i}" for i, c in enumerate(cols))
     return wide.selectExpr("__rows AS n_rows",
-                           f"stack({len(cols)}, {stack}) AS (position, column, dtype, non_null)")
+                           f"stack({len(cols)}, {stack}) AS (position, column_name, dtype, non_null)")

@@ -23,4 +23,4 @@ def register(name: str, sql: str | Callable[[], str] | None = None):
     return deco
 
 
-from stormlake.catalog import layers, modeling, reports  # noqa: E402,F401  (registration side effects)
+from stormlake.catalog import io, layers, modeling, reports  # noqa: E402,F401  (registration side effects)

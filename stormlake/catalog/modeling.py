@@ -239,3 +239,60 @@ FROM supplier WHERE s_nationkey % 3 + 1 = 1""")
 def q_run_comparison(spark, sf):
     """RN2 / PL12 / ST5: one experiment's runs, params and metrics as columns."""
     return run_table(X.runs(spark, sf), "DataBase_base_1")
+
+
+# --------------------------------------------------------------------------
+# ML6 / ML1-ML5 / RN1
+# --------------------------------------------------------------------------
+_MT_FEATS = _FEATS + [f"season_{s}" for s in sorted(_SEASONS)] + ["season_nan", "year", "month", "day"]
+
+
+def _feature_scores_sql(k: int = 5) -> str:
+    long = " UNION ALL ".join(
+        f"SELECT city_id, disaster_occurred AS y, '{c}' AS feature, CAST(\"{c}\" AS DOUBLE) AS x FROM t"
+        for c in _MT_FEATS)
+    return f"""
+WITH t AS ({_model_table_sql()}),
+long AS ({long}),
+per AS (SELECT city_id, feature, y, count(*) AS n, avg(x) AS mu, var_pop(x) AS v
+        FROM long WHERE x IS NOT NULL GROUP BY city_id, feature, y),
+tot AS (SELECT city_id, feature, sum(n) AS N, sum(n * mu) / sum(n) AS grand, count(*) AS G
+        FROM per GROUP BY city_id, feature),
+ss AS (SELECT p.city_id, p.feature, t.N, t.G,
+              sum(p.n * (p.mu - t.grand) * (p.mu - t.grand)) AS ssb, sum(p.n * p.v) AS ssw
+       FROM per p JOIN tot t ON p.city_id = t.city_id AND p.feature = t.feature
+       GROUP BY p.city_id, p.feature, t.N, t.G),
+f AS (SELECT city_id, feature, CASE WHEN G > 1 AND N > G AND ssw > 0
+                                    THEN (ssb / (G - 1)) / (ssw / (N - G)) END AS f_score FROM ss)
+SELECT city_id, feature, f_score, rank, rank <= {k} AS selected FROM (
+  SELECT *, row_number() OVER (PARTITION BY city_id ORDER BY f_score DESC NULLS LAST, feature) AS rank
+  FROM f) r"""
+
+
+@register("feature_scores", _feature_scores_sql)
+def q_feature_scores(spark, sf):
+    """ML6: ANOVA F of every model-table feature against the label, per city; 5 best."""
+    from stormlake.plans.training import anova_f_scores
+    t = model_table(gold2(spark, sf), ["city_id"])
+    return anova_f_scores(t, _MT_FEATS, "disaster_occurred", ["city_id"], k=5)
+
+
+@register("decision_tree_runs")
+def q_decision_tree_runs(spark, sf):
+    """ML1 + ML4 + ML5 + RN1 (rows-only check): a decision tree per base_2
+    training city -- split, 50-trial random search on recall, refit, test
+    metrics -- one run row each."""
+    from stormlake.plans.training import train_one
+    t = model_table(gold2(spark, sf), ["city_id"]).checkpoint(eager=True)
+    runs = []
+    for city in C.TRAINING_CITIES["base_2"]:
+        cid = C.CITIES.index(city)
+        r, _ = train_one(spark, t.where(F.col("city_id") == cid), "decision_tree", "base_2", city)
+        runs.append(r)
+    out = runs[0]
+    for r in runs[1:]:
+        out = out.unionByName(r)
+    return out.select("experiment", "status", F.col("params")["city"].alias("city"),
+                      F.col("params")["max_depth"].alias("max_depth"),
+                      F.col("metrics")["recall"].alias("recall"),
+                      F.col("metrics")["auc_roc"].alias("auc_roc"))

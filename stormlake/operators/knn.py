@@ -1,25 +1,33 @@
-"""Exact k-nearest neighbours without all-pairs joins (SM6).
+"""Exact k-nearest neighbours without a cross join (SM6).
 
 Points are projected onto one fixed unit direction ``u``; for any two points
 |u.(a-b)| <= ||a-b||, so every neighbour within radius r of a query lies within
 r of it on the projection.  The projection is cut into buckets of width w:
 
-1. candidates: each query meets the points of its own and the two adjacent
-   buckets (an equi-join on bucket id); the k best give a radius r_q;
+1. candidates: the queries of bucket b meet the points of buckets b-1..b+1
+   (points are copied to their two neighbouring bucket keys; a cogroup on the
+   bucket key); the k best give a radius r_q;
 2. certification: if [p_q - r_q, p_q + r_q] lies inside the three buckets
-   already searched, the k best are exact;
-3. the rest are searched again over every bucket their band touches (an
-   equi-join on an exploded bucket range), which is exact by the bound above;
-   a query with fewer than k candidates searches the whole bucket range.
-
-Ties in distance break by neighbour id.  Bucket width is chosen from the
-point count so a bucket holds about ``bucket_size`` points.
+   already searched, those k are exact;
+3. the other queries are copied to every bucket their band touches and meet
+   each bucket's points again; the best k over all their buckets are exact by
+   the bound above.  A query with fewer than k candidates searches the whole
+   bucket range.
+
+Each cogroup (one bucket) is a block of queries x points: distances are one
+numpy pass per dimension, summed left to right exactly as the SQL twin does,
+and the k best per query are kept (ties by neighbour id).  Spark partitions
+and shuffles the work by bucket; no group is larger than the queries and
+points of one bucket neighbourhood.  Bucket width is chosen from the point
+count so a bucket holds about ``bucket_size`` points.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +49,41 @@ def sq_distance(a: Column, b: Column) -> Column:
                        lambda s, v: s + v)
 
 
-def _top_k(pairs: DataFrame, k: int) -> DataFrame:
+def _block_top_k(k: int, exclude_self: bool, keep_cols: list[str], out_cols: list[str]):
+    """Cogroup function: k nearest points of each query within one bucket group."""
+    def run(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or p.empty:   # typed empty frame (untyped columns break the Arrow writer)
+            return pd.DataFrame({c: pd.Series([], dtype={"dist2": "float64", "rank": "int32"}.get(c, object))
+                                 for c in out_cols})
+        Q = np.stack(q["qf"].to_numpy())
+        P = np.stack(p["nf"].to_numpy())
+        d = np.zeros((len(Q), len(P)))
+        for j in range(Q.shape[1]):          # left-to-right sum over dimensions
+            diff = Q[:, j:j + 1] - P[None, :, j]
+            d += diff * diff
+        qid = q["qid"].to_numpy()
+        nid = p["nid"].to_numpy()
+        if exclude_self:
+            d[qid[:, None] == nid[None, :]] = np.inf
+        # order by (distance, neighbour id) within each query row
+        rank_id = np.argsort(np.argsort(nid, kind="stable"), kind="stable")
+        order = np.lexsort((np.broadcast_to(rank_id, d.shape), d), axis=1)[:, :k]
+        rows = np.repeat(np.arange(len(Q)), order.shape[1])
+        cols = order.ravel()
+        dist = d[rows, cols]
+        ok = np.isfinite(dist)
+        # ids as plain object series: pyarrow-backed string columns would reach
+        # the Arrow writer as chunked arrays
+        out = {"qid": pd.Series(qid[rows][ok], dtype=object), "nid": pd.Series(nid[cols][ok], dtype=object),
+               "dist2": dist[ok],
+               "rank": np.tile(np.arange(1, order.shape[1] + 1), len(Q))[ok].astype("int32")}
+        for c in keep_cols:
+            out[c] = pd.Series(p[c].to_numpy()[cols][ok], dtype=object)
+        return pd.DataFrame(out)[out_cols]
+    return run
+
+
+def _final_top_k(pairs: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("qid").orderBy("dist2", "nid")
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -51,35 +93,37 @@ def knn(queries: DataFrame, points: DataFrame, k: int, id_col: str = "id",
         keep_cols: list[str] | None = None) -> DataFrame:
     """(qid, nid, dist2, rank[, keep_cols of the neighbour]) for the k nearest points."""
     keep_cols = keep_cols or []
-    P = points.select(F.col(id_col).alias("nid"), F.col(feat_col).alias("nf"), *keep_cols)
+    P = points.select(F.col(id_col).alias("nid"), F.col(feat_col).cast("array<double>").alias("nf"),
+                      *keep_cols)
     P = P.withColumn("np", projection(F.col("nf")))
-    Q = queries.select(F.col(id_col).alias("qid"), F.col(feat_col).alias("qf"))
+    Q = queries.select(F.col(id_col).alias("qid"), F.col(feat_col).cast("array<double>").alias("qf"))
     Q = Q.withColumn("qp", projection(F.col("qf")))
+    id_type = dict(P.dtypes)["nid"]
+    keep_types = [dict(P.dtypes)[c] for c in keep_cols]
+    out_cols = ["qid", "nid", "dist2", "rank", *keep_cols]
+    schema = ", ".join([f"qid {id_type}", f"nid {id_type}", "dist2 double", "rank int"]
+                       + [f"`{c}` {t}" for c, t in zip(keep_cols, keep_types)])
 
     st = P.agg(F.min("np").alias("lo"), F.max("np").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    if st is None or st["n"] == 0:
-        return P.limit(0).select(F.lit(None).alias("qid"), "nid", F.lit(0.0).alias("dist2"),
-                                 F.lit(0).alias("rank"), *keep_cols)
-    span = float(st["hi"] - st["lo"]) if st["hi"] is not None else 0.0
+    if st is None or st["n"] == 0 or st["lo"] is None:
+        return queries.sparkSession.createDataFrame([], schema)
+    span = float(st["hi"] - st["lo"])
     w = max(span * bucket_size / max(st["n"], 1), 1e-12)
     lo_b = int(math.floor(st["lo"] / w))
     hi_b = int(math.floor(st["hi"] / w))
     P = P.withColumn("nb", F.floor(F.col("np") / F.lit(w)))
     Q = Q.withColumn("qb", F.floor(F.col("qp") / F.lit(w)))
-
-    def pairs(qb_range: DataFrame) -> DataFrame:
-        j = qb_range.join(P, qb_range["jb"] == P["nb"])
-        if exclude_self:
-            j = j.where(F.col("qid") != F.col("nid"))
-        return j.withColumn("dist2", sq_distance(F.col("qf"), F.col("nf")))
+    fn = _block_top_k(k, exclude_self, keep_cols, out_cols)
 
     # 1. own and adjacent buckets
-    q1 = Q.withColumn("jb", F.explode(F.array(F.col("qb") - 1, F.col("qb"), F.col("qb") + 1)))
-    best = _top_k(pairs(q1), k)
+    P3 = P.withColumn("jb", F.explode(F.array(F.col("nb") - 1, F.col("nb"), F.col("nb") + 1)))
+    best = (Q.withColumn("jb", F.col("qb")).select("jb", "qid", "qf").groupBy("jb")
+              .cogroup(P3.select("jb", "nid", "nf", *keep_cols).groupBy("jb"))
+              .applyInPandas(fn, schema))
+    best = best.checkpoint(eager=True) if _has_ckpt(queries) else best.cache()
     rad = best.groupBy("qid").agg(F.count(F.lit(1)).alias("found"), F.max("dist2").alias("r2"))
-    # 2. certify
+    # 2. certify (a hair of slack against rounding in the projections)
     qr = Q.join(rad, "qid", "left")
-    # a hair of slack against rounding in the projections
     r = F.sqrt(F.col("r2")) * F.lit(1.0 + 1e-9) + F.lit(w * 1e-9)
     ok = ((F.col("found") == k)
           & (F.col("qp") - r >= (F.col("qb") - 1) * F.lit(w))
@@ -89,11 +133,19 @@ def knn(queries: DataFrame, points: DataFrame, k: int, id_col: str = "id",
     todo = qr.where(~ok | ok.isNull())
     b_lo = F.when(F.col("found") == k, F.floor((F.col("qp") - r) / F.lit(w))).otherwise(F.lit(lo_b))
     b_hi = F.when(F.col("found") == k, F.floor((F.col("qp") + r) / F.lit(w))).otherwise(F.lit(hi_b))
-    b_lo = F.greatest(b_lo, F.lit(lo_b))
-    b_hi = F.least(b_hi, F.lit(hi_b))
-    q2 = todo.withColumn("jb", F.explode(F.sequence(b_lo.cast("long"), b_hi.cast("long"))))
-    q2 = q2.select("qid", "qf", "qp", "qb", "jb")
-    redo = _top_k(pairs(q2), k)
+    b_lo = F.greatest(b_lo, F.lit(lo_b)).cast("long")
+    b_hi = F.least(b_hi, F.lit(hi_b)).cast("long")
+    q2 = todo.select(F.explode(F.sequence(b_lo, b_hi)).alias("jb"), "qid", "qf")
+    part = (q2.groupBy("jb")
+              .cogroup(P.select(F.col("nb").cast("long").alias("jb"), "nid", "nf", *keep_cols).groupBy("jb"))
+              .applyInPandas(fn, schema))
+    redo = _final_top_k(part, k)
     first = best.join(certified, "qid", "left_semi")
-    cols = ["qid", "nid", "dist2", "rank", *keep_cols]
-    return first.select(*cols).unionByName(redo.select(*cols))
+    return first.select(*out_cols).unionByName(redo.select(*out_cols))
+
+
+def _has_ckpt(df: DataFrame) -> bool:
+    try:
+        return bool(df.sparkSession.sparkContext.getCheckpointDir())
+    except Exception:  # noqa: BLE001
+        return False

@@ -45,7 +45,7 @@ def _lerp(pv: Column, pp: Column, nv: Column, np_: Column, pos: Column) -> Colum
 def interpolate_linear(df: DataFrame, cols: list[str], keys: list[str],
                        order: list[str | Column], block: Column | None = None,
                        limit: float | None = None, include_zero: bool = False,
-                       report: bool = False) -> DataFrame:
+                       report: bool = False, prune: bool = True) -> DataFrame:
     """Fill ``cols`` by row position within each ``keys`` series.
 
     ``block``: expression, monotone non-decreasing along ``order``, that cuts a
@@ -53,7 +53,17 @@ def interpolate_linear(df: DataFrame, cols: list[str], keys: list[str],
     ``limit``: when given, a column is filled for a key only if its rounded
     null % is in (0, limit] (WN4); otherwise it is returned unchanged.
     ``report``: also return ``__pct_{col}`` columns with that null %.
+    ``prune``: first run one small aggregate (partial, per key, then over keys)
+    to find the columns that some key will actually fill; the others skip the
+    window work and come back unchanged.
     """
+    work = columns_needing_fill(df, cols, keys, limit, include_zero) if prune else list(cols)
+    if not work:  # nothing to fill anywhere: same values, same output types
+        return df.withColumns({c: F.col(c).cast("double") for c in cols})
+    if len(work) < len(cols):
+        rest = [c for c in cols if c not in work]
+        out = interpolate_linear(df, work, keys, order, block, limit, include_zero, report, prune=False)
+        return out.withColumns({c: F.col(c).cast("double") for c in rest})
     B = "__blk"
     d = df.withColumn(B, block if block is not None else F.lit(0))
     part = [*keys, B]
@@ -127,6 +137,29 @@ def interpolate_linear(df: DataFrame, cols: list[str], keys: list[str],
     return d.select(*keep)
 
 
+def columns_needing_fill(df: DataFrame, cols: list[str], keys: list[str],
+                         limit: float | None, include_zero: bool = False) -> list[str]:
+    """Columns for which at least one key has nulls and passes the gate.
+
+    One grouped aggregate per key and one over its (small) result; the driver
+    receives a single row of flags, one per column.
+    """
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.sum(F.col(c).isNull().cast("long")).alias(f"__z{i}") for i, c in enumerate(cols)])
+    flags = []
+    for i, _ in enumerate(cols):
+        z = F.col(f"__z{i}")
+        if limit is None:
+            hit = z > 0
+        else:
+            pct = round_half_even((z / F.col("__n")) * F.lit(100.0), 2)
+            hit = (z > 0) & (pct <= F.lit(float(limit)))
+        flags.append(F.max(hit.cast("int")).alias(f"__h{i}"))
+    row = per_key.agg(*flags).first()
+    return [c for i, c in enumerate(cols) if row is not None and row[f"__h{i}"] == 1]
+
+
 def gated_fill(df: DataFrame, cols: list[str], keys: list[str], order: list[str | Column],
                limit: float, block: Column | None = None) -> DataFrame:
     """WN4: interpolate a column for a key only if 0 < null % (2 digits) <= limit."""

@@ -53,9 +53,20 @@ def one_hot(df: DataFrame, col: str, categories: list[str | None], prefix: str |
     return df.withColumns(out)
 
 
-def categories_of(df: DataFrame, col: str) -> list[str | None]:
-    """Distinct values of a low-cardinality column (a bounded, tiny collect)."""
-    return [r[0] for r in df.select(col).distinct().limit(10000).collect()]
+MAX_CATEGORIES = 10000
+
+
+def categories_of(df: DataFrame, col: str, max_categories: int = MAX_CATEGORIES) -> list[str | None]:
+    """Distinct values of a low-cardinality column, for one-hot encoding.
+
+    The driver receives at most ``max_categories + 1`` values; more than that is
+    an error (a one-hot of that width is not a feature table), never a
+    silent cut.
+    """
+    vals = [r[0] for r in df.select(col).distinct().limit(max_categories + 1).collect()]
+    if len(vals) > max_categories:
+        raise ValueError(f"{col} has more than {max_categories} distinct values")
+    return vals
 
 
 EXCLUDE = ["date", "season", "eventType", "disaster_occurred"]

@@ -63,6 +63,10 @@ def gold_base3(daily: DataFrame, hourly: DataFrame, disaster_silver: DataFrame,
     d = d.withColumns({c: fill_from(c, f"__h_{c}") for c in fill_cols})
     d = d.drop(*[f"__h_{c}" for c in fill_cols])
     d = drop_strict(d, ["total_sunshine_duration", "wind_gust"])
+    # the gap fill reads this joined daily table three times (gate check,
+    # windows, block summary): materialise it once in the shared checkpoint
+    # dir, which also cuts the long silver lineage
+    d = d.checkpoint(eager=True)
     cols = [c for c in d.columns if c not in KEYS]
     d = gated_fill(d, cols, ["city_id"], ["date"], limit, block=F.year("date"))
     g = full_outer_null_safe(d, _disasters(disaster_silver), KEYS, null_safe=["date"])

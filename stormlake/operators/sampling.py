@@ -69,8 +69,10 @@ def stratified_split(df: DataFrame, label: str, id_cols: list[str], test_size: f
 def random_under_sample(df: DataFrame, label: str, id_cols: list[str], seed: int = C.SEED) -> DataFrame:
     """SM4: every class cut to the minority size, rows of smallest u kept."""
     d = df.withColumn("__u", uniform(*id_cols, seed=seed))
-    n = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    q = n.select(label, F.min("__n").over(Window.partitionBy()).alias("quota"))
+    counts = class_counts(df, label)          # one row per class
+    n_min = min(counts.values())
+    q = df.sparkSession.createDataFrame([(k, n_min) for k in counts],
+                                        f"{label} {dict(df.dtypes)[label]}, quota bigint")
     s = quota_select(d, label, "__u", id_cols, q, flag="__keep")
     return s.where(F.col("__keep")).drop("__u", "__keep")
 

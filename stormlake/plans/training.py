@@ -165,7 +165,9 @@ def train_one(spark: SparkSession, table: DataFrame, model: str, base: str, city
     pred = best.transform(test).select(
         F.col(LABEL).cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"),
         vector_to_array("probability")[1].alias("score"))
-    m = metrics.binary_metrics(pred).join(metrics.roc_auc(pred)).first()
+    pred = pred.checkpoint(eager=True)
+    m = metrics.binary_metrics(pred).first().asDict()
+    m["auc_roc"] = metrics.roc_auc(pred).first()["auc_roc"]
     params = {"balancing_method": balancing or "None", **drawn[best_i],
               "collumn_target": LABEL, "base": base, "city": city, "model": model}
     mets = {"precision": m["precision"], "recall": m["recall"], "f1_score": m["f1_score"],

@@ -1,8 +1,8 @@
 """Model training on Spark ML (ML1-ML6, RN1, PL11).
 
 Per (source, city): split (SM1), optional balancing (SM2-SM5), a random
-parameter search scored by recall of class 1 on a validation part of *train*
-(``TrainValidationSplit``, trials fitted in parallel), refit on all of train,
+parameter search scored by recall of class 1 on a stratified validation part
+of *train* (trials fitted concurrently), refit on all of train,
 score on test (AG12-AG14) and one run row (RN1).
 
 Mapping of the source's three model families onto Spark ML:
@@ -23,10 +23,8 @@ import time
 
 import numpy as np
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -131,6 +129,35 @@ def _balance(train: DataFrame, method: str | None, seed: int) -> DataFrame:
     return out.select(array_to_vector("features").alias("features"), F.col(LABEL).cast("double").alias(LABEL))
 
 
+# --------------------------------------------------------------------------
+# parameter search
+# --------------------------------------------------------------------------
+def search(est, maps: list[dict], train: DataFrame, seed: int = C.SEED, val_size: float = 0.2,
+           parallelism: int = 8) -> list[float]:
+    """Recall of class 1 on a stratified validation part of ``train`` for each map.
+
+    The validation part keeps its share of each class (so it has positives
+    whenever train has), the trials are fitted concurrently from driver
+    threads (as ``TrainValidationSplit(parallelism=...)`` does), and recall is
+    the metrics aggregate (0 when the part has no positives).
+    """
+    from multiprocessing.pool import ThreadPool
+
+    rows = train.withColumn("__rid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    parts = sampling.stratified_split(rows, LABEL, ["__rid"], test_size=val_size, seed=seed)
+    fit_part = parts.where(F.col("split") == "train").select("features", LABEL).checkpoint(eager=True)
+    val_part = parts.where(F.col("split") == "test").select("features", LABEL).checkpoint(eager=True)
+
+    def score(i: int) -> float:
+        model = est.copy(maps[i]).fit(fit_part)
+        pred = model.transform(val_part).select(F.col(LABEL).cast("int").alias("label"),
+                                                F.col("prediction").cast("int").alias("prediction"))
+        return float(metrics.binary_metrics(pred).first()["recall"])
+
+    with ThreadPool(max(1, min(parallelism, len(maps)))) as pool:
+        return pool.map(score, range(len(maps)))
+
+
 # --------------------------------------------------------------------------
 # one run
 # --------------------------------------------------------------------------
@@ -155,12 +182,8 @@ def train_one(spark: SparkSession, table: DataFrame, model: str, base: str, city
     rng = np.random.default_rng(seed)
     drawn = [draw(rng) for _ in range(n_trials)]
     maps = [to_params(est, p) for p in drawn]
-    ev = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction",
-                                           metricName="recallByLabel", metricLabel=1.0)
-    tvs = TrainValidationSplit(estimator=est, estimatorParamMaps=maps, evaluator=ev,
-                               trainRatio=0.8, parallelism=parallelism, seed=seed)
-    fitted = tvs.fit(train)
-    best_i = int(np.argmax(fitted.validationMetrics))
+    scores = search(est, maps, train, seed=seed, parallelism=parallelism)
+    best_i = max(range(len(maps)), key=lambda i: (scores[i], -i))
     best = est.copy(maps[best_i]).fit(train)   # refit on all of train
     pred = best.transform(test).select(
         F.col(LABEL).cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"),

@@ -34,7 +34,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-        builder = builder.config("spark.driver.memory", os.environ.get("STORMLAKE_DRIVER_MEM", "16g"))
+        builder = builder.config("spark.driver.memory", os.environ.get("STORMLAKE_DRIVER_MEM", "4g"))
     for k, v in _DEFAULTS.items():
         builder = builder.config(k, v)
     if shuffle_partitions:

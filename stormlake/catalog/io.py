@@ -65,3 +65,22 @@ def q_gold_allow_list_scan(spark, sf):
     path = scratch_path(spark, "gold")
     write_parquet(g, path, ["source", "city"])
     return read_gold(spark, path)
+
+
+@register("disaster_stream_silver", O.silver_disaster)
+def q_disaster_stream_silver(spark, sf):
+    """Structured Streaming: storm-report CSV files picked up by a file stream
+    (available-now trigger), PL4 applied per micro-batch in ``foreachBatch``,
+    silver read back."""
+    from stormlake.streaming.ingest import silver_disaster_stream
+
+    raw = X.storm_events_raw(spark, sf).select(
+        F.col("ordinal").cast("string").alias("EVENT_ID"), "CZ_NAME_STR", "BEGIN_DATE",
+        "EVENT_TYPE", "EVENT_NARRATIVE",
+        F.concat(F.lower(X.city_name(F.col("city_id"))), F.lit("_storm_events")).alias("file"))
+    root = scratch_path(spark, "stream-raw")
+    write_named_csv(raw, root)
+    out = scratch_path(spark, "stream-silver")
+    q = silver_disaster_stream(spark, root, out, scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")

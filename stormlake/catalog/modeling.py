@@ -14,6 +14,7 @@ from stormlake.operators.features import model_table
 from stormlake.operators.knn import knn
 from stormlake.plans import gold
 from stormlake.plans.runs import run_table
+from stormlake.session import materialize
 from stormlake.sources import fixtures as X
 from stormlake.sources.series import expand_series
 
@@ -283,7 +284,7 @@ def q_decision_tree_runs(spark, sf):
     training city -- split, 50-trial random search on recall, refit, test
     metrics -- one run row each."""
     from stormlake.plans.training import train_one
-    t = model_table(gold2(spark, sf), ["city_id"]).checkpoint(eager=True)
+    t = materialize(model_table(gold2(spark, sf), ["city_id"]))
     runs = []
     for city in C.TRAINING_CITIES["base_2"]:
         cid = C.CITIES.index(city)

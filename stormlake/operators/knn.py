@@ -30,6 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from stormlake.session import materialize
 
 _GOLDEN = 2.399963229728653  # golden angle: a fixed, non-degenerate direction
 
@@ -120,7 +121,7 @@ def knn(queries: DataFrame, points: DataFrame, k: int, id_col: str = "id",
     best = (Q.withColumn("jb", F.col("qb")).select("jb", "qid", "qf").groupBy("jb")
               .cogroup(P3.select("jb", "nid", "nf", *keep_cols).groupBy("jb"))
               .applyInPandas(fn, schema))
-    best = best.checkpoint(eager=True) if _has_ckpt(queries) else best.cache()
+    best = materialize(best)
     rad = best.groupBy("qid").agg(F.count(F.lit(1)).alias("found"), F.max("dist2").alias("r2"))
     # 2. certify (a hair of slack against rounding in the projections)
     qr = Q.join(rad, "qid", "left")
@@ -142,10 +143,3 @@ def knn(queries: DataFrame, points: DataFrame, k: int, id_col: str = "id",
     redo = _final_top_k(part, k)
     first = best.join(certified, "qid", "left_semi")
     return first.select(*out_cols).unionByName(redo.select(*out_cols))
-
-
-def _has_ckpt(df: DataFrame) -> bool:
-    try:
-        return bool(df.sparkSession.sparkContext.getCheckpointDir())
-    except Exception:  # noqa: BLE001
-        return False

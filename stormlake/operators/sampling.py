@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from stormlake import config as C
 from stormlake.functions.scalars import uniform
 from stormlake.operators.knn import knn
+from stormlake.session import materialize
 
 U_BUCKETS = 1 << 16
 
@@ -165,12 +166,5 @@ def smote_enn(df: DataFrame, label: str, id_col: str = "id", feat_col: str = "fe
               k: int = C.SMOTE_K, k_enn: int = C.ENN_K, seed: int = C.SEED) -> DataFrame:
     """SM5: SMOTE, then edited nearest neighbours over the result."""
     s = smote(df, label, id_col, feat_col, k, seed)
-    s = s.checkpoint(eager=True) if _can_checkpoint(s) else s
+    s = materialize(s)
     return edited_nearest_neighbours(s, label, "sample_id", feat_col, k_enn)
-
-
-def _can_checkpoint(df: DataFrame) -> bool:
-    try:
-        return bool(df.sparkSession.sparkContext.getCheckpointDir())
-    except Exception:  # noqa: BLE001
-        return False

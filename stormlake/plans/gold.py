@@ -15,6 +15,7 @@ from stormlake.operators.aggregate import day_means
 from stormlake.operators.interpolate import gated_fill
 from stormlake.operators.joins import full_outer_null_safe, left_on
 from stormlake.operators.project import drop_strict
+from stormlake.session import materialize
 
 KEYS = ["city_id", "date"]
 
@@ -66,7 +67,7 @@ def gold_base3(daily: DataFrame, hourly: DataFrame, disaster_silver: DataFrame,
     # the gap fill reads this joined daily table three times (gate check,
     # windows, block summary): materialise it once in the shared checkpoint
     # dir, which also cuts the long silver lineage
-    d = d.checkpoint(eager=True)
+    d = materialize(d)
     cols = [c for c in d.columns if c not in KEYS]
     d = gated_fill(d, cols, ["city_id"], ["date"], limit, block=F.year("date"))
     g = full_outer_null_safe(d, _disasters(disaster_silver), KEYS, null_safe=["date"])

@@ -21,6 +21,7 @@ from stormlake.operators.features import model_table
 from stormlake.plans import gold, silver, trends
 from stormlake.plans.runs import log_runs
 from stormlake.sources.files import read_csv_or_none, read_gold, write_parquet
+from stormlake.session import materialize
 
 DISASTER_COLS = ["EVENT_ID", "CZ_NAME_STR", "BEGIN_DATE", "EVENT_TYPE", "EVENT_NARRATIVE"]
 
@@ -128,7 +129,7 @@ def train_models(spark: SparkSession, gold_root: str, runs_path: str,
     tables = {}
     for source, city in sorted(pairs):
         part = g.where((F.col("source") == source) & (F.col("city") == city)).drop("source", "city")
-        tables[(source, city)] = model_table(part, ["city_id"]).checkpoint(eager=True)
+        tables[(source, city)] = materialize(model_table(part, ["city_id"]))
     runs = train_matrix(spark, tables, models, balancers, n_trials)
     log_runs(runs, runs_path)
     return runs

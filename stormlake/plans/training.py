@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from stormlake import config as C
 from stormlake.operators import metrics, sampling
 from stormlake.plans.runs import run_row
+from stormlake.session import materialize
 
 LABEL = "disaster_occurred"
 
@@ -114,7 +115,7 @@ def _balance(train: DataFrame, method: str | None, seed: int) -> DataFrame:
         return train
     rows = train.select(F.monotonically_increasing_id().alias("id"),
                         vector_to_array("features").alias("features"), LABEL)
-    rows = rows.checkpoint(eager=True)  # ids must stay fixed across the samplers' passes
+    rows = materialize(rows)  # ids must stay fixed across the samplers' passes
     if method == "RandomUnderSampler":
         out = sampling.random_under_sample(rows, LABEL, ["id"], seed)
     elif method == "SMOTE":
@@ -143,10 +144,10 @@ def search(est, maps: list[dict], train: DataFrame, seed: int = C.SEED, val_size
     """
     from multiprocessing.pool import ThreadPool
 
-    rows = train.withColumn("__rid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    rows = materialize(train.withColumn("__rid", F.monotonically_increasing_id()))
     parts = sampling.stratified_split(rows, LABEL, ["__rid"], test_size=val_size, seed=seed)
-    fit_part = parts.where(F.col("split") == "train").select("features", LABEL).checkpoint(eager=True)
-    val_part = parts.where(F.col("split") == "test").select("features", LABEL).checkpoint(eager=True)
+    fit_part = materialize(parts.where(F.col("split") == "train").select("features", LABEL))
+    val_part = materialize(parts.where(F.col("split") == "test").select("features", LABEL))
 
     def score(i: int) -> float:
         model = est.copy(maps[i]).fit(fit_part)
@@ -173,9 +174,9 @@ def train_one(spark: SparkSession, table: DataFrame, model: str, base: str, city
     test = split.where(F.col("split") == "test")
     train, test = _assemble(train, test, feats)
     # cut lineage once: every trial, the refit and the scoring reuse these
-    test = test.checkpoint(eager=True)
+    test = materialize(test)
     train = _balance(train.select("features", F.col(LABEL).cast("double").alias(LABEL)), balancing, seed)
-    train = train.select("features", F.col(LABEL).cast("double").alias(LABEL)).checkpoint(eager=True)
+    train = materialize(train.select("features", F.col(LABEL).cast("double").alias(LABEL)))
 
     make, draw, to_params = MODELS[model]
     est = make()
@@ -188,7 +189,7 @@ def train_one(spark: SparkSession, table: DataFrame, model: str, base: str, city
     pred = best.transform(test).select(
         F.col(LABEL).cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"),
         vector_to_array("probability")[1].alias("score"))
-    pred = pred.checkpoint(eager=True)
+    pred = materialize(pred)
     m = metrics.binary_metrics(pred).first().asDict()
     m["auc_roc"] = metrics.roc_auc(pred).first()["auc_roc"]
     params = {"balancing_method": balancing or "None", **drawn[best_i],

@@ -75,3 +75,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return f"{base.rstrip('/')}/stormlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Reliable checkpoint (cuts lineage; survives executor loss) in the shared dir."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

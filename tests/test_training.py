@@ -32,3 +32,12 @@ def test_feature_scores_rank(spark):
     out = anova_f_scores(t, feats, group_cols=["city_id"], k=2).where("city_id = 0").collect()
     assert sorted(r["rank"] for r in out) == [1, 2, 3, 4]
     assert sum(r.selected for r in out) == 2
+
+
+def test_boosted_families_train(spark):
+    t = _table(spark).where(F.col("city_id") == 6)
+    for model in ("boosted_trees_a", "boosted_trees_b"):
+        run, pred = train_one(spark, t, model, "base_2", "albuquerque", "RandomUnderSampler", n_trials=1)
+        r = run.first()
+        assert r.params["model"] == model and r.status == "FINISHED"
+        assert set(r.metrics) >= {"precision", "recall", "f1_score", "training_time"}

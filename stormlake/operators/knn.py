@@ -50,37 +50,59 @@ def sq_distance(a: Column, b: Column) -> Column:
                        lambda s, v: s + v)
 
 
-def _block_top_k(k: int, exclude_self: bool, keep_cols: list[str], out_cols: list[str]):
-    """Cogroup function: k nearest points of each query within one bucket group."""
+Q_CHUNK = 2048   # query rows per distance block
+P_CHUNK = 8192   # point rows per distance block (block = 128 MiB of float64)
+
+
+def _block_top_k(k: int, exclude_self: bool, keep_cols: list[str], out_cols: list[str],
+                 q_chunk: int = Q_CHUNK, p_chunk: int = P_CHUNK):
+    """Cogroup function: k nearest points of each query within one bucket group.
+
+    Distances are computed in blocks of at most q_chunk x p_chunk, keeping the
+    running k best per query, so memory stays bounded however many rows one
+    bucket holds.
+    """
     def run(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         if q.empty or p.empty:   # typed empty frame (untyped columns break the Arrow writer)
             return pd.DataFrame({c: pd.Series([], dtype={"dist2": "float64", "rank": "int32"}.get(c, object))
                                  for c in out_cols})
         Q = np.stack(q["qf"].to_numpy())
         P = np.stack(p["nf"].to_numpy())
-        d = np.zeros((len(Q), len(P)))
-        for j in range(Q.shape[1]):          # left-to-right sum over dimensions
-            diff = Q[:, j:j + 1] - P[None, :, j]
-            d += diff * diff
         qid = q["qid"].to_numpy()
         nid = p["nid"].to_numpy()
-        if exclude_self:
-            d[qid[:, None] == nid[None, :]] = np.inf
-        # order by (distance, neighbour id) within each query row
-        rank_id = np.argsort(np.argsort(nid, kind="stable"), kind="stable")
-        order = np.lexsort((np.broadcast_to(rank_id, d.shape), d), axis=1)[:, :k]
-        rows = np.repeat(np.arange(len(Q)), order.shape[1])
-        cols = order.ravel()
-        dist = d[rows, cols]
-        ok = np.isfinite(dist)
-        # ids as plain object series: pyarrow-backed string columns would reach
-        # the Arrow writer as chunked arrays
-        out = {"qid": pd.Series(qid[rows][ok], dtype=object), "nid": pd.Series(nid[cols][ok], dtype=object),
-               "dist2": dist[ok],
-               "rank": np.tile(np.arange(1, order.shape[1] + 1), len(Q))[ok].astype("int32")}
-        for c in keep_cols:
-            out[c] = pd.Series(p[c].to_numpy()[cols][ok], dtype=object)
-        return pd.DataFrame(out)[out_cols]
+        # neighbour-id rank: ties in distance break by id, whatever the id type
+        nrank = np.argsort(np.argsort(nid, kind="stable"), kind="stable")
+        parts = []
+        for q0 in range(0, len(Q), q_chunk):
+            qs = slice(q0, q0 + q_chunk)
+            best_d = np.full((len(Q[qs]), 0), np.inf)
+            best_j = np.zeros((len(Q[qs]), 0), dtype=np.int64)
+            for p0 in range(0, len(P), p_chunk):
+                ps = slice(p0, p0 + p_chunk)
+                d = np.zeros((len(Q[qs]), len(P[ps])))
+                for j in range(Q.shape[1]):          # left-to-right sum over dimensions
+                    diff = Q[qs, j:j + 1] - P[None, ps, j]
+                    d += diff * diff
+                if exclude_self:
+                    d[qid[qs][:, None] == nid[ps][None, :]] = np.inf
+                cand_d = np.concatenate([best_d, d], axis=1)
+                cand_j = np.concatenate([best_j, np.broadcast_to(np.arange(p0, p0 + d.shape[1]), d.shape)],
+                                        axis=1)
+                order = np.lexsort((nrank[cand_j], cand_d), axis=1)[:, :k]
+                best_d = np.take_along_axis(cand_d, order, axis=1)
+                best_j = np.take_along_axis(cand_j, order, axis=1)
+            rows = np.repeat(np.arange(q0, q0 + best_d.shape[0]), best_d.shape[1])
+            cols = best_j.ravel()
+            dist = best_d.ravel()
+            ok = np.isfinite(dist)
+            part = {"qid": pd.Series(qid[rows][ok], dtype=object),
+                    "nid": pd.Series(nid[cols][ok], dtype=object),
+                    "dist2": dist[ok],
+                    "rank": np.tile(np.arange(1, best_d.shape[1] + 1), best_d.shape[0])[ok].astype("int32")}
+            for c in keep_cols:
+                part[c] = pd.Series(p[c].to_numpy()[cols][ok], dtype=object)
+            parts.append(pd.DataFrame(part)[out_cols])
+        return pd.concat(parts, ignore_index=True)
     return run
 
 
@@ -91,7 +113,7 @@ def _final_top_k(pairs: DataFrame, k: int) -> DataFrame:
 
 def knn(queries: DataFrame, points: DataFrame, k: int, id_col: str = "id",
         feat_col: str = "features", exclude_self: bool = True, bucket_size: int = 256,
-        keep_cols: list[str] | None = None) -> DataFrame:
+        keep_cols: list[str] | None = None, chunks: tuple[int, int] = (Q_CHUNK, P_CHUNK)) -> DataFrame:
     """(qid, nid, dist2, rank[, keep_cols of the neighbour]) for the k nearest points."""
     keep_cols = keep_cols or []
     P = points.select(F.col(id_col).alias("nid"), F.col(feat_col).cast("array<double>").alias("nf"),
@@ -114,7 +136,7 @@ def knn(queries: DataFrame, points: DataFrame, k: int, id_col: str = "id",
     hi_b = int(math.floor(st["hi"] / w))
     P = P.withColumn("nb", F.floor(F.col("np") / F.lit(w)))
     Q = Q.withColumn("qb", F.floor(F.col("qp") / F.lit(w)))
-    fn = _block_top_k(k, exclude_self, keep_cols, out_cols)
+    fn = _block_top_k(k, exclude_self, keep_cols, out_cols, *chunks)
 
     # 1. own and adjacent buckets
     P3 = P.withColumn("jb", F.explode(F.array(F.col("nb") - 1, F.col("nb"), F.col("nb") + 1)))

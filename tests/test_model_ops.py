@@ -75,7 +75,7 @@ def test_knn_exact(spark, clustered):
     df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)],
                                "id long, features array<double>")
     got = {}
-    for r in knn(df, df, 5, bucket_size=16).collect():
+    for r in knn(df, df, 5, bucket_size=16, chunks=(7, 5)).collect():
         got.setdefault(r.qid, []).append((r.rank, r.nid))
     got = {q: [n for _, n in sorted(v)] for q, v in got.items()}
     assert got == _brute(x, 5)

@@ -16,13 +16,54 @@ from pyspark.sql import functions as F
 from stormlake import config as C
 
 
+def with_halo(df: DataFrame, keys: list[str], order: list[str | Column], block: Column,
+              halo: int) -> tuple[DataFrame, list[str]]:
+    """Cut each ``keys`` series into blocks and give every block a halo: copies
+    of the ``halo`` rows that come just before it (from however many earlier
+    blocks that takes).  Returns the rows (``__halo`` marks the copies) and
+    the partition columns for windows of at most ``halo`` rows of history.
+
+    Row positions come from a window per (keys, block) plus a small table of
+    block sizes; a row at position p is copied to every later block whose
+    first position s has s - halo <= p.
+    """
+    B = "__wblk"
+    d = df.withColumn(B, block)
+    part = [*keys, B]
+    d = d.withColumn("__rn", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
+    blocks = d.groupBy(*part).agg(F.count(F.lit(1)).alias("__bn"))
+    wk = Window.partitionBy(*keys).orderBy(B)
+    blocks = blocks.withColumn("__start", F.coalesce(
+        F.sum("__bn").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1)
+    nxt = F.collect_list(F.struct(F.col(B).alias("b"), F.col("__start").alias("s"))).over(
+        wk.rowsBetween(1, max(halo, 1)))
+    blocks = blocks.withColumn("__next", nxt).select(*part, "__start", "__next")
+    d = d.join(blocks, part, "left").withColumn("__pos", F.col("__start") + F.col("__rn") - 1)
+    copies = (d.select("*", F.explode(F.filter("__next", lambda t: t["s"] - halo <= F.col("__pos")))
+                       .alias("__t"))
+               .withColumn(B, F.col("__t.b")).drop("__t"))
+    own = d.withColumn("__halo", F.lit(False))
+    out = own.unionByName(copies.withColumn("__halo", F.lit(True)))
+    return out.drop("__rn", "__start", "__next", "__pos"), part
+
+
 def sma(df: DataFrame, col: str, keys: list[str], order: list[str | Column],
-        window: int = C.MOVING_AVERAGE_WINDOW, out: str | None = None) -> DataFrame:
-    """WN1: trailing mean of ``window`` rows, null until the window is full of values."""
+        window: int = C.MOVING_AVERAGE_WINDOW, out: str | None = None,
+        block: Column | None = None) -> DataFrame:
+    """WN1: trailing mean of ``window`` rows, null until the window is full of values.
+
+    ``block`` (monotone in ``order``, e.g. the year) splits a long series so no
+    task sorts a whole series; each block sees the ``window - 1`` rows before it.
+    """
     out = out or f"{col}_moving_average_sma"
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(window - 1), 0)
     x = F.col(col).cast("double")
-    return df.withColumn(out, F.when(F.count(x).over(w) == window, F.avg(x).over(w)))
+    if block is None:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(window - 1), 0)
+        return df.withColumn(out, F.when(F.count(x).over(w) == window, F.avg(x).over(w)))
+    d, part = with_halo(df, keys, order, block, window - 1)
+    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(-(window - 1), 0)
+    d = d.withColumn(out, F.when(F.count(x).over(w) == window, F.avg(x).over(w)))
+    return d.where(~F.col("__halo")).select(*df.columns, out)
 
 
 def ema_depth(span: int, bits: int = 64) -> int:
@@ -34,23 +75,27 @@ def ema_depth(span: int, bits: int = 64) -> int:
 
 
 def ema(df: DataFrame, col: str, keys: list[str], order: list[str | Column],
-        span: int = C.MOVING_AVERAGE_WINDOW, out: str | None = None) -> DataFrame:
+        span: int = C.MOVING_AVERAGE_WINDOW, out: str | None = None,
+        block: Column | None = None) -> DataFrame:
     """WN2: exponential moving average, alpha = 2/(span+1), y0 = x0 (non-adjusted).
 
     y_t = (1-alpha) y_{t-1} + alpha x_t, folded left over the last K rows with
     K = ``ema_depth(span)``.  Rows within K of the series start are folded from
     the first row, i.e. exactly; older history weighs below 2^-64 and is cut.
-    Null inputs leave the running value unchanged.
+    Null inputs leave the running value unchanged.  ``block`` as for ``sma``
+    (each block sees the K rows before it).
     """
     out = out or f"{col}_moving_average_ema"
     alpha = 2.0 / (span + 1)
     k = ema_depth(span)
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-k, 0)
+    src, part = (df, keys) if block is None else with_halo(df, keys, order, block, k)
+    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(-k, 0)
     hist = F.filter(F.collect_list(F.col(col).cast("double")).over(w), lambda v: v.isNotNull())
     folded = F.aggregate(
         F.slice(hist, 2, k + 1), F.element_at(hist, 1),
         lambda acc, v: acc * F.lit(1.0 - alpha) + v * F.lit(alpha))
-    return df.withColumn(out, F.when(F.size(hist) > 0, folded))
+    res = src.withColumn(out, F.when(F.size(hist) > 0, folded))
+    return res if block is None else res.where(~F.col("__halo")).select(*df.columns, out)
 
 
 def _null_safe_join(df: DataFrame, small: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

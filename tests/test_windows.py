@@ -35,3 +35,16 @@ def test_spine_has_no_gaps(spark):
     df = spark.createDataFrame([(0, 1990), (0, 1995), (1, 2000)], "k int, year int")
     got = sorted((r.k, r.year) for r in year_spine(df, ["k"]).collect())
     assert got == [(0, y) for y in range(1990, 1996)] + [(1, 2000)]
+
+
+def test_blocked_windows_equal_whole_series(spark):
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(11)
+    rows = [(k, t, float(v)) for k in range(3) for t, v in enumerate(rng.normal(size=200 + 37 * k))]
+    df = spark.createDataFrame(rows, "k int, t int, c double")
+    blk = F.floor(F.col("t") / 5)          # blocks far shorter than the EMA history (64 rows)
+    for fn in (sma, ema):
+        whole = {(r.k, r.t): r[-1] for r in fn(df, "c", ["k"], ["t"]).collect()}
+        cut = {(r.k, r.t): r[-1] for r in fn(df, "c", ["k"], ["t"], block=blk).collect()}
+        assert whole.keys() == cut.keys()
+        assert all((whole[key] is None and cut[key] is None) or whole[key] == cut[key] for key in whole)

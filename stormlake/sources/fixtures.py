@@ -29,9 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(df)
 
 
+SPREAD_MAX = 64   # a single file is at most a few GB: 64 parts is plenty on any cluster
+
+
 def spread(df: DataFrame) -> DataFrame:
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    parts = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_MAX)
+    return df.repartition(parts) if df.rdd.getNumPartitions() < parts else df
 
 
 def city_name(city_id) -> F.Column:

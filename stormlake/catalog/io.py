@@ -82,5 +82,9 @@ def q_disaster_stream_silver(spark, sf):
     write_named_csv(raw, root)
     out = scratch_path(spark, "stream-silver")
     q = silver_disaster_stream(spark, root, out, scratch_path(spark, "stream-ckpt"))
-    q.awaitTermination()
+    if not q.awaitTermination(1800):   # available-now: ends once the files are processed
+        q.stop()
+        raise TimeoutError("raw storm-report stream did not finish")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
     return spark.read.parquet(out).drop("batch_id")

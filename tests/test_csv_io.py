@@ -52,3 +52,15 @@ def test_json_dimensions(spark, tmp_path):
 def test_scratch_under_checkpoint_dir(spark):
     from stormlake.session import ensure_checkpoint_dir
     assert scratch_path(spark, "x").startswith(ensure_checkpoint_dir(spark).replace("file:", "").rstrip("/"))
+
+
+def test_scan_raw_dispatch_and_missing(spark, tmp_path):
+    from stormlake.sources.files import read_parquet_or_none, scan_raw
+    root = tmp_path / "raw"
+    _write(str(root / "disaster" / "chicago_x.csv"), "A,B\n1,2\n")
+    out = scan_raw(spark, str(root), {"disaster": (["A", "B"], ["B"]), "base_9": (["A"], [])},
+                   processors={})
+    assert set(out) == {"disaster"}                       # missing folder skipped
+    r = out["disaster"].first()                           # no processor: passed through
+    assert (r.A, r.B, r.city, r.source) == ("1", 2.0, "chicago", "disaster")
+    assert read_parquet_or_none(spark, str(tmp_path / "none")) is None

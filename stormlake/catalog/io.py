@@ -88,3 +88,29 @@ def q_disaster_stream_silver(spark, sf):
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.parquet(out).drop("batch_id")
+
+
+@register("hourly_day_means_stream", lambda: f"""
+SELECT city_id, date, {', '.join(f'avg({c}) AS {c}' for c in O.SILVER3H_MEAS)}
+FROM ({O.silver_base3_hourly()}) h GROUP BY city_id, date""")
+def q_hourly_day_means_stream(spark, sf):
+    """AG1 as a streaming aggregation: the silver hourly table arrives as a
+    Parquet file stream; a watermarked one-day window per city, complete mode,
+    each batch written through ``foreachBatch``."""
+    from stormlake.catalog.layers import silver_base3_hourly_df
+    from stormlake.streaming.ingest import day_means_to_parquet
+
+    cols = O.SILVER3H_MEAS
+    src = scratch_path(spark, "hourly-src")
+    (silver_base3_hourly_df(spark, sf)
+        .select("city_id", F.to_timestamp("date_raw").alias("obs_ts"), *cols)
+        .write.parquet(src))
+    schema = "city_id int, obs_ts timestamp, " + ", ".join(f"{c} double" for c in cols)
+    out = scratch_path(spark, "hourly-means")
+    q = day_means_to_parquet(spark, src, schema, cols, out, scratch_path(spark, "hourly-ckpt"))
+    if not q.awaitTermination(1800):
+        q.stop()
+        raise TimeoutError("hourly stream did not finish")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(out)

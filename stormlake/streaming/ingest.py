@@ -58,3 +58,17 @@ def hourly_day_means_stream(hourly: DataFrame, cols: list[str], ts: str = "obs_t
             .groupBy("city_id", F.window(ts, "1 day").alias("day"))
             .agg(*[F.avg(c).alias(c) for c in cols])
             .select("city_id", F.to_date(F.col("day.start")).alias("date"), *cols))
+
+
+def day_means_to_parquet(spark: SparkSession, src_path: str, schema: str, cols: list[str],
+                         out_path: str, checkpoint: str, ts: str = "obs_ts") -> StreamingQuery:
+    """Run ``hourly_day_means_stream`` over a Parquet file stream; each batch
+    rewrites the full result (complete mode) to ``out_path`` -- no driver-side sink."""
+    stream = spark.readStream.schema(schema).parquet(src_path)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(out_path)
+
+    return (hourly_day_means_stream(stream, cols, ts).writeStream.outputMode("complete")
+            .foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing, quality, shards, token_counts, token_ids, warc
+from . import decontaminate, mixing, quality, shards, token_counts, token_ids, topk, warc
 
 QUERIES = {
     "op1_token_ids": token_ids.op1_token_ids,
+    "op2_topk": topk.op2_topk,
+    "op3_decontaminate": decontaminate.op3_decontaminate,
     "op6_shards": shards.op6_shards,
     "op7_mix": mixing.op7_mix,
     "op8_warc": warc.op8_warc,
@@ -13,5 +15,7 @@ QUERIES = {
     "op10_quality": quality.op10_quality,
 }
 SQL = {
+    "op2_topk": topk.OP2_SQL,
+    "op3_decontaminate": decontaminate.OP3_SQL,
     "op8_warc": warc.OP8_SQL,
 }

@@ -207,6 +207,22 @@ def taken(docs: DataFrame, slots: DataFrame, pieces: DataFrame) -> DataFrame:
     return docs.join(got, "unit", "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
 
 
+def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **settings) -> DataFrame:
+    """The rows of docs, with all their columns, as the mix takes them: each as
+    many times as its words are taken, to the nearest whole number (a half counts
+    up); rows with less than half of their words taken are left out.  Rows equal
+    in key, source and size share what falls on them evenly."""
+    stages = Stages(docs.sparkSession, "mix")
+    rows = pick(docs, doc_id=key, source=source, size=words_in(docs[text]))
+    got = taken(*mix(stages, rows, **settings)).where("size > 0")
+    times = got.groupBy("doc_id", "source", "size").agg(
+        F.floor(F.sum("taken") / (F.first("size") * F.count(F.lit(1))) + 0.5).cast("int").alias("n"))
+    times = stages.save(times.where("n > 0").select(*[F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "source", "size", "n")]), "times")
+    here = docs.join(times, docs[key].eqNullSafe(times["_mix_doc_id"]) & docs[source].eqNullSafe(times["_mix_source"])
+                     & (words_in(docs[text]) == times["_mix_size"]))
+    return here.select(*[docs[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col("_mix_n"))).alias("_mix_copy")).drop("_mix_copy")
+
+
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = pick(docs, doc_id="doc_id", source="source", size=words_in(docs["text"]))

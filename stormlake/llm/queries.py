@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, quality, shards, token_counts, token_ids, topk, warc
+from . import (decontaminate, jaccard_join, mixing, quality, shards, suffix_dedup, token_counts,
+               token_ids, topk, warc)
 
 QUERIES = {
     "op1_token_ids": token_ids.op1_token_ids,
     "op2_topk": topk.op2_topk,
     "op3_decontaminate": decontaminate.op3_decontaminate,
+    "op4_jaccard_join": jaccard_join.op4_jaccard_join,
+    "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op6_shards": shards.op6_shards,
     "op7_mix": mixing.op7_mix,
     "op8_warc": warc.op8_warc,

@@ -15,22 +15,28 @@ from stormlake.sources import fixtures as X
 from stormlake.sources.files import (file_name, read_gold, scan_raw, write_named_csv,
                                      write_parquet)
 
-DISASTER_CSV_COLS = ["EVENT_ID", "CZ_NAME_STR", "BEGIN_DATE", "EVENT_TYPE", "EVENT_NARRATIVE"]
+def _reports(spark, sf):
+    return X.storm_events_raw(spark, sf).select(
+        F.col("ordinal").cast("string").alias("EVENT_ID"), "CZ_NAME_STR", "BEGIN_DATE",
+        "EVENT_TYPE", "EVENT_NARRATIVE",
+        F.concat(F.lower(X.city_name(F.col("city_id"))), F.lit("_storm_events")).alias("file"))
+
+
+def _in_file_order(df, *order):
+    """One CSV a file name, its rows in the given order."""
+    return df.repartition("file").sortWithinPartitions("file", *order)
 
 
 @register("disaster_csv_silver", O.silver_disaster)
 def q_disaster_csv_silver(spark, sf):
     """SC5 -> SC6/SC1 -> SC7 -> PL4: storm reports written as one CSV per city,
-    scanned back with the bad-line policy, identity parsed from file names."""
-    raw = X.storm_events_raw(spark, sf).select(
-        F.col("ordinal").cast("string").alias("EVENT_ID"), "CZ_NAME_STR", "BEGIN_DATE",
-        "EVENT_TYPE", "EVENT_NARRATIVE",
-        F.concat(F.lower(X.city_name(F.col("city_id"))), F.lit("_storm_events")).alias("file"))
+    scanned back with the bad-line policy, identity parsed from file names; the
+    first report of a day and type is the first of its file."""
     root = scratch_path(spark, "raw")
-    write_named_csv(raw, f"{root}/base_disaster")
-    scanned = scan_raw(spark, root, {"base_disaster": (DISASTER_CSV_COLS, [])})["base_disaster"]
-    d = scanned.withColumn("ordinal", F.col("EVENT_ID").cast("long"))
-    return silver.silver_disaster(d)
+    write_named_csv(_in_file_order(_reports(spark, sf), F.col("EVENT_ID").cast("long")), f"{root}/base_disaster")
+    d = scan_raw(spark, root)["base_disaster"].withColumn("ordinal", F.col("row_order")).drop("granularity")
+    first = silver.silver_disaster(d.withColumn("ordinal", F.struct("row_order", F.col("EVENT_ID").cast("long").alias("id"))))
+    return first.withColumn("ordinal", F.col("ordinal.id")).drop("source", "file", "city")
 
 
 _B1_DAILY = ["date", "temperature_2m_max", "temperature_2m_min", "temperature_2m_mean", "rain_sum",
@@ -38,20 +44,57 @@ _B1_DAILY = ["date", "temperature_2m_max", "temperature_2m_min", "temperature_2m
 _B1_HOURLY = ["date", "relative_humidity_2m", "pressure_msl", "surface_pressure"]
 
 
+def _base1_files(spark, sf):
+    """base_1's daily and hourly files as the source names them, in one folder."""
+    root = scratch_path(spark, "raw")
+    name = lambda g: file_name(X.city_name(F.col("city_id")), g).alias("file")
+    write_named_csv(X.raw_base1_daily(spark, sf).select(*_B1_DAILY, name("daily")), f"{root}/base_1")
+    write_named_csv(X.raw_base1_hourly(spark, sf).select(*_B1_HOURLY, name("hourly")), f"{root}/base_1", mode="append")
+    return scan_raw(spark, root, numeric={"base_1": [*_B1_DAILY[1:], *_B1_HOURLY[1:]]})["base_1"]
+
+
 @register("silver_base1_from_csv", O.silver_base1)
 def q_silver_base1_from_csv(spark, sf):
-    """SC5 named weather files ``{city}_{daily|hourly}_1973_2024`` -> SC6 scan
-    -> PL1 on the daily files."""
-    daily = X.raw_base1_daily(spark, sf)
-    hourly = X.raw_base1_hourly(spark, sf)
+    """SC5 named weather files ``{city}_{daily|hourly}_1973_2024`` -> SC6 scan of
+    both kinds, each by its own header -> PL1 on the daily files."""
+    daily = _base1_files(spark, sf).where("granularity = 'daily'")
+    return silver.silver_base1(daily.select("city_id", *_B1_DAILY))
+
+
+@register("silver_base1_hourly_from_csv", lambda: "SELECT city_id, date, date_raw, date_format, relative_humidity, "
+          f"sea_level_air_pressure, surface_air_pressure FROM ({O.silver_base1_hourly()}) s")
+def q_silver_base1_hourly_from_csv(spark, sf):
+    """The same folder's hourly files: PL1."""
+    hourly = _base1_files(spark, sf).where("granularity = 'hourly'")
+    return silver.silver_base1(hourly.select("city_id", *_B1_HOURLY))
+
+
+# files of one folder with three header layouts, one of them of no known city
+_LAYOUTS = [["DATE", "PRCP", "TMAX", "TMIN", "SNWD"], ["TMIN", "TMAX", "DATE", "NAME"], ["NAME", "DATE", "PRCP", "AWND", "TMAX", "WSFG", "TMIN"]]
+
+
+def _layout_sql() -> str:
+    cols = ["PRCP", "TMAX", "TMIN", "SNWD", "AWND", "WSFG"]
+    has = lambda c: ", ".join(str(i) for i, l in enumerate(_LAYOUTS) if c in l)
+    sel = ", ".join(f"CASE WHEN city_id % 3 IN ({has(c)}) THEN {c} END AS {c}" for c in cols)
+    name = f"CASE WHEN city_id = 7 THEN 'boston' ELSE {X.CITY_NAME_SQL}[city_id + 1] END || '_station'"
+    return f"""SELECT {name} AS file, CASE WHEN city_id <> 7 THEN {X.CITY_NAME_SQL}[city_id + 1] END AS city,
+  CASE WHEN city_id <> 7 THEN city_id END AS city_id, DATE, {sel} FROM ({X.RAW_BASE2_DAILY_SQL}) r"""
+
+
+@register("mixed_header_scan", _layout_sql)
+def q_mixed_header_scan(spark, sf):
+    """SC1/SC6/SC7/PJ1: a folder whose files have three header layouts, extra
+    columns and a city that is not known: columns are found by name, file by file."""
+    raw = X.raw_base2_daily(spark, sf)
+    name = F.concat(F.when(F.col("city_id") == 7, F.lit("boston")).otherwise(X.city_name(F.col("city_id"))),
+                    F.lit("_station")).alias("file")
     root = scratch_path(spark, "raw")
-    name = lambda g: file_name(X.city_name(F.col("city_id")), g).alias("file")
-    write_named_csv(daily.select(*_B1_DAILY, name("daily")), f"{root}/base_1")
-    write_named_csv(hourly.select(*_B1_HOURLY, name("hourly")), f"{root}/base_1", mode="append")
-    layouts = {"base_1/*daily*": (_B1_DAILY, _B1_DAILY[1:]),
-               "base_1/*hourly*": (_B1_HOURLY, _B1_HOURLY[1:])}
-    procs = {"base_1/*daily*": lambda d: silver.silver_base1(d.select("city_id", *_B1_DAILY))}
-    return scan_raw(spark, root, layouts, procs)["base_1/*daily*"]
+    for i, layout in enumerate(_LAYOUTS):
+        part = raw.where(F.col("city_id") % 3 == i)
+        write_named_csv(part.select(*layout, name), f"{root}/base_2", mode="append")
+    cols = ["PRCP", "TMAX", "TMIN", "SNWD", "AWND", "WSFG"]
+    return scan_raw(spark, root, numeric={"base_2": cols})["base_2"].select("file", "city", "city_id", "DATE", *cols)
 
 
 @register("gold_allow_list_scan", lambda: f"""
@@ -67,38 +110,37 @@ def q_gold_allow_list_scan(spark, sf):
     return read_gold(spark, path)
 
 
+def _finish(q) -> None:
+    """Wait for an available-now stream; it ends once the files are processed."""
+    if not q.awaitTermination(1800):
+        q.stop()
+        raise TimeoutError("the stream did not finish")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
 @register("disaster_stream_silver", O.silver_disaster)
 def q_disaster_stream_silver(spark, sf):
     """Structured Streaming: storm-report CSV files picked up by a file stream
-    (available-now trigger), PL4 applied per micro-batch in ``foreachBatch``,
-    silver read back."""
-    from stormlake.streaming.ingest import silver_disaster_stream
+    (available-now trigger, three files a batch), PL4 applied per micro-batch in
+    ``foreachBatch``, batches merged on read."""
+    from stormlake.streaming.ingest import read_silver_disaster, silver_disaster_stream
 
-    raw = X.storm_events_raw(spark, sf).select(
-        F.col("ordinal").cast("string").alias("EVENT_ID"), "CZ_NAME_STR", "BEGIN_DATE",
-        "EVENT_TYPE", "EVENT_NARRATIVE",
-        F.concat(F.lower(X.city_name(F.col("city_id"))), F.lit("_storm_events")).alias("file"))
     root = scratch_path(spark, "stream-raw")
-    write_named_csv(raw, root)
+    write_named_csv(_reports(spark, sf).repartition("file"), root)
     out = scratch_path(spark, "stream-silver")
-    q = silver_disaster_stream(spark, root, out, scratch_path(spark, "stream-ckpt"))
-    if not q.awaitTermination(1800):   # available-now: ends once the files are processed
-        q.stop()
-        raise TimeoutError("raw storm-report stream did not finish")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(out).drop("batch_id")
+    _finish(silver_disaster_stream(spark, root, out, scratch_path(spark, "stream-ckpt"), max_files=3))
+    return read_silver_disaster(spark, out)
 
 
 @register("hourly_day_means_stream", lambda: f"""
 SELECT city_id, date, {', '.join(f'avg({c}) AS {c}' for c in O.SILVER3H_MEAS)}
 FROM ({O.silver_base3_hourly()}) h GROUP BY city_id, date""")
 def q_hourly_day_means_stream(spark, sf):
-    """AG1 as a streaming aggregation: the silver hourly table arrives as a
-    Parquet file stream; a watermarked one-day window per city, complete mode,
-    each batch written through ``foreachBatch``."""
+    """AG1 over a stream: the silver hourly table arrives as a Parquet file stream
+    (two files a batch); each batch's sums and counts are added up on read."""
     from stormlake.catalog.layers import silver_base3_hourly_df
-    from stormlake.streaming.ingest import day_means_to_parquet
+    from stormlake.streaming.ingest import day_partials_to_parquet, read_day_means
 
     cols = O.SILVER3H_MEAS
     src = scratch_path(spark, "hourly-src")
@@ -107,10 +149,5 @@ def q_hourly_day_means_stream(spark, sf):
         .write.parquet(src))
     schema = "city_id int, obs_ts timestamp, " + ", ".join(f"{c} double" for c in cols)
     out = scratch_path(spark, "hourly-means")
-    q = day_means_to_parquet(spark, src, schema, cols, out, scratch_path(spark, "hourly-ckpt"))
-    if not q.awaitTermination(1800):
-        q.stop()
-        raise TimeoutError("hourly stream did not finish")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(out)
+    _finish(day_partials_to_parquet(spark, src, schema, cols, out, scratch_path(spark, "hourly-ckpt"), max_files=2))
+    return read_day_means(spark, out, cols)

@@ -1,14 +1,17 @@
 """End-to-end jobs over folder layouts (the source's stage scripts E1-E4).
 
 * ``raw_to_silver``: every raw source folder -> its silver tables
-  ``{silver}/{source}/{daily|hourly}`` (Parquet, partitioned by city).
-* ``silver_to_gold``: silver -> ``{gold}`` partitioned by (source, city).
+  ``{silver}/{source}/{daily|hourly}`` (Parquet, partitioned by city); a folder of no
+  known source passes through as it is.
+* ``silver_to_gold``: silver -> ``{gold}/{source}`` partitioned by city, a table a
+  source, since their columns differ.
 * ``disaster_report``: the PL8/PL9 tables from silver disasters.
 * ``train_models``: allow-listed gold cities -> run rows appended to ``{runs}``.
 
-Raw layout as the source writes it: ``{raw}/{source}/{city}_{daily|hourly}_1973_2024.csv``
-and ``{raw}/base_disaster/*.csv`` (one file per city, EVENT_ID ordering the
-reports).  One job per stage covers every city.
+Raw layout as the source writes it: ``{raw}/{source}/*.csv``, every file read by
+its own header; ``daily`` in a file's name makes it daily, any other is hourly.
+City and file stay columns all the way, so a file of no known city keeps its own
+date format, gaps and name.  One job per stage covers every city.
 """
 
 from __future__ import annotations
@@ -18,118 +21,118 @@ from pyspark.sql import functions as F
 
 from stormlake import config as C
 from stormlake.operators.features import model_table
+from stormlake.operators.profile import null_percentages, schema_profile
 from stormlake.plans import gold, silver, trends
 from stormlake.plans.runs import log_runs
-from stormlake.sources.files import read_csv_or_none, read_gold, write_parquet
+from stormlake.sources.files import exists, read_gold, scan_raw, write_parquet
 from stormlake.session import materialize
 
-DISASTER_COLS = ["EVENT_ID", "CZ_NAME_STR", "BEGIN_DATE", "EVENT_TYPE", "EVENT_NARRATIVE"]
+# raw columns that are text; every other column of a weather folder is a number
+TEXT_COLUMNS = {"base_1": ["date"], "base_2": ["DATE", "NAME", "STATION", "PGTM"], "base_3": ["time"]}
+PROCESSORS = {"base_1": silver.silver_base1, "base_2": silver.silver_base2, "base_3": silver.silver_base3}
 
 
-def header_of(spark: SparkSession, path: str) -> list[str] | None:
-    """Column names from the header of the files under ``path`` (no data scan)."""
-    try:
-        return spark.read.options(header=True, recursiveFileLookup=True,
-                                  pathGlobFilter="*.csv").csv(path).columns
-    except Exception:  # noqa: BLE001 - a missing folder has no header
-        return None
+def _numeric(source: str) -> list[str]:
+    return [c for c in C.COLUMN_MAP[source] if c not in TEXT_COLUMNS[source]]
 
 
-def _read(spark: SparkSession, path: str, date_col: str) -> DataFrame | None:
-    cols = header_of(spark, path)
-    if not cols:
-        return None
-    numeric = [c for c in cols if c not in (date_col, "NAME", "STATION", "PGTM")]
-    return read_csv_or_none(spark, path, cols, numeric)
-
-
-def _keep_ids(df: DataFrame) -> DataFrame:
-    return df.drop("source", "file")
+def _tidy(df: DataFrame) -> DataFrame:
+    return df.drop("source", "row_order")
 
 
 def raw_to_silver(spark: SparkSession, raw: str, out: str) -> dict[str, str]:
-    """E1: scan each known source folder, clean it per its rules, write silver."""
+    """E1: scan every folder, clean known sources per their rules, write silver."""
     written = {}
-    plan = {
-        "base_1": ("date", silver.silver_base1),
-        "base_2": ("DATE", silver.silver_base2),
-        "base_3": ("time", silver.silver_base3),
-    }
-    for source, (date_col, fn) in plan.items():
-        for gran in ("daily", "hourly"):
-            df = _read(spark, f"{raw}/{source}/*{gran}*", date_col)
-            if df is None:
-                continue
-            # hourly rows keep their time of day as the in-day order
-            s = fn(_keep_ids(df).drop("city"))
-            s = s.drop("granularity").withColumn("city", F.element_at(
-                F.array(*[F.lit(c) for c in C.CITIES]), F.col("city_id") + 1))
-            write_parquet(s, f"{out}/{source}/{gran}", ["city"])
-            written[source] = f"{out}/{source}"
-    d = read_csv_or_none(spark, f"{raw}/base_disaster", DISASTER_COLS)
-    if d is not None:
-        s = silver.silver_disaster(_keep_ids(d).drop("city", "granularity").withColumn(
-            "ordinal", F.col("EVENT_ID").cast("long")))
-        write_parquet(s, f"{out}/base_disaster", ["city_id"])
-        written["base_disaster"] = f"{out}/base_disaster"
+    for source, df in scan_raw(spark, raw, numeric={s: _numeric(s) for s in PROCESSORS}).items():
+        if source in PROCESSORS:
+            for kind in ("daily", "hourly"):
+                part = df.where(F.col("granularity") == kind)
+                if part.isEmpty():
+                    continue
+                # only the columns that these files have
+                part = part.select(*[c for c in part.columns if c not in _absent(part, source)])
+                write_parquet(_tidy(PROCESSORS[source](part)).drop("granularity"), f"{out}/{source}/{kind}", ["city"])
+        elif source == "base_disaster":
+            s = silver.silver_disaster(df.drop("granularity").withColumn("ordinal", F.col("row_order")))
+            write_parquet(_tidy(s).drop("ordinal"), f"{out}/{source}", ["city"])
+        else:
+            write_parquet(_tidy(df), f"{out}/{source}", ["city"])
+        written[source] = f"{out}/{source}"
     return written
 
 
-def _silver(spark: SparkSession, root: str, source: str, gran: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{root}/{source}/{gran}").drop("city")
-    except Exception:  # noqa: BLE001 - a source may be absent
-        return None
+def _absent(df: DataFrame, source: str) -> list[str]:
+    """Mapped columns without a value in any row: they came from files of the other kind."""
+    cols = [c for c in df.columns if c in C.COLUMN_MAP[source]]
+    row = df.agg(*[F.count(c).alias(c) for c in cols]).first()
+    return [c for c in cols if row[c] == 0]
+
+
+def _silver(spark: SparkSession, root: str, source: str, kind: str) -> DataFrame | None:
+    path = f"{root}/{source}/{kind}"
+    return spark.read.parquet(path).drop("file") if exists(spark, path) else None
 
 
 def silver_to_gold(spark: SparkSession, root: str, out: str) -> list[str]:
-    """E2: one gold table per source, all cities together, partitioned by (source, city)."""
+    """E2: one gold table per source, all cities together, partitioned by city.
+    A source without daily silver is left out, and so are hourly means without hourly silver."""
     dis = spark.read.parquet(f"{root}/base_disaster")
     done = []
-    builders = {
-        "base_1": lambda: gold.gold_base1(_silver(spark, root, "base_1", "daily"),
-                                          _silver(spark, root, "base_1", "hourly"), dis),
-        "base_2": lambda: gold.gold_base2(_silver(spark, root, "base_2", "daily"), dis),
-        "base_3": lambda: gold.gold_base3(_silver(spark, root, "base_3", "daily"),
-                                          _silver(spark, root, "base_3", "hourly"), dis),
-    }
-    for source, build in builders.items():
-        try:
-            g = build()
-        except Exception:  # noqa: BLE001 - a source without its silver tables is skipped
+    for source in PROCESSORS:
+        daily, hourly = (_silver(spark, root, source, kind) for kind in ("daily", "hourly"))
+        if daily is None:
             continue
-        g = g.withColumns({"source": F.lit(source), "city": F.element_at(
-            F.array(*[F.lit(c) for c in C.CITIES]), F.col("city_id") + 1)})
-        write_parquet(g, out, ["source", "city"], mode="append" if done else "overwrite")
+        if source == "base_2":
+            g = gold.gold_base2(daily.drop("city"), dis)
+        elif hourly is None:
+            raise FileNotFoundError(f"{root}/{source}/hourly: {source} needs its hourly silver")
+        else:
+            g = (gold.gold_base1 if source == "base_1" else gold.gold_base3)(daily.drop("city"), hourly.drop("city"), dis)
+        names = F.array(*[F.lit(c) for c in C.CITIES])
+        g = g.withColumns({"source": F.lit(source), "city": F.when(
+            F.col("city_id").isNotNull(), F.element_at(names, F.col("city_id") + 1))})
+        write_parquet(g, f"{out}/{source}", ["city"])
         done.append(source)
     return done
 
 
 def disaster_report(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """E4: the trend and count tables for every city at once."""
+    """E4 / PL9: profile, null shares, trend and count tables for every city at
+    once; ``report_rank`` gives the order in which a table is presented."""
     d = spark.read.parquet(f"{root}/base_disaster")
+    return report_tables(d.select("city_id", "location", "date", "eventType"))
+
+
+def report_tables(d: DataFrame) -> dict[str, DataFrame]:
     return {
+        "profile": schema_profile(d),
+        "null_pct": trends.ranked(null_percentages(d, ["location", "date", "eventType"], ["city_id"]),
+                                  [F.desc("null_pct"), "column_name"], ["city_id"]),
         "over_years": trends.disasters_over_years(d),
-        "by_year": trends.disasters_by_year(d),
-        "by_type": trends.disasters_by_type(d),
-        "by_season": trends.disasters_by_season(d),
-        "by_city": trends.disasters_by_city(d),
+        "by_year": trends.ranked(trends.disasters_by_year(d), ["year"], ["city_id"]),
+        "by_type": trends.ranked(trends.disasters_by_type(d), ["count", "eventType"], ["city_id"]),
+        "by_season": trends.ranked(trends.disasters_by_season(d), ["season"], ["city_id"]),
+        "by_city": trends.ranked(trends.disasters_by_city(d), ["count", "city_id"]),
         "types_over_years": trends.event_types_over_years(d),
     }
 
 
 def train_models(spark: SparkSession, gold_root: str, runs_path: str,
                  models: list[str] | None = None, balancers: list[str | None] | None = None,
-                 n_trials: int = C.N_TRIALS) -> DataFrame:
-    """E3 / PL11: allow-listed (source, city) tables x balancers x models -> run rows."""
+                 n_trials: int = C.N_TRIALS, allow: dict[str, list[str]] | None = None) -> DataFrame:
+    """E3 / PL11: allow-listed (source, city) tables x balancers x models -> run
+    rows; every run is appended to ``runs_path`` as it ends, failed ones with their error."""
     from stormlake.plans.training import train_matrix
 
-    g = read_gold(spark, gold_root)
-    pairs = [(r.source, r.city) for r in g.select("source", "city").distinct().collect()]
+    allow = allow or C.TRAINING_CITIES
     tables = {}
-    for source, city in sorted(pairs):
-        part = g.where((F.col("source") == source) & (F.col("city") == city)).drop("source", "city")
-        tables[(source, city)] = materialize(model_table(part, ["city_id"]))
-    runs = train_matrix(spark, tables, models, balancers, n_trials)
-    log_runs(runs, runs_path)
-    return runs
+    for source in sorted(allow):
+        if not exists(spark, f"{gold_root}/{source}"):
+            continue
+        g = read_gold(spark, f"{gold_root}/{source}", {source: allow[source]})
+        for city in sorted(allow[source]):
+            part = g.where(F.col("city") == city).drop("source", "city")
+            if not part.isEmpty():
+                tables[(source, city)] = materialize(model_table(part, ["city_id"]))
+    return train_matrix(spark, tables, models, balancers, n_trials, log=lambda r: log_runs(r, runs_path),
+                        models_path=f"{runs_path}-models")

@@ -15,16 +15,32 @@ from stormlake import config as C
 from stormlake.functions.dates import parse_dates_per_file
 from stormlake.functions.scalars import mid_range
 from stormlake.operators.aggregate import numeric_columns
-from stormlake.operators.interpolate import gated_fill
+from stormlake.operators.interpolate import gated_fill, month_block
 from stormlake.operators.project import (drop_null_rows, drop_tolerant, rename_by_map,
                                          select_existing, select_strict)
 from stormlake.operators.window import first_per_key
 
 ID_COLS = ["city_id"]
+# columns that tell one input file from another, where the scan gives them
+FILE_COLS = ["city", "source", "file", "granularity"]
 
 
 def _ids(df: DataFrame, extra: list[str] | None = None) -> list[str]:
-    return [c for c in ID_COLS + (extra or []) if c in df.columns]
+    return [c for c in ID_COLS + FILE_COLS + (extra or []) if c in df.columns]
+
+
+def _position(df: DataFrame, order_extra: list[str] | None = None) -> list[str]:
+    """What orders the rows of one file: its own row order where the scan gives
+    it, else the date and the given columns."""
+    return ["row_order"] if "row_order" in df.columns else ["date", "date_raw", *(order_extra or [])]
+
+
+def _block(df: DataFrame):
+    """What cuts a file's rows for the gap fill: its splits where rows come in file
+    order, else the month."""
+    if "row_order" in df.columns:
+        return F.floor(F.col("row_order.split") / (1 << 20))
+    return month_block("date")
 
 
 def _measures(df: DataFrame, exclude: list[str]) -> list[str]:
@@ -43,7 +59,7 @@ def silver_base2(raw: DataFrame, limit: float = C.SILVER_FILL_LIMIT) -> DataFram
     """PL2: select known columns, rename, date, mid-range average, drop wind
     columns, gap fill columns with 0 < null % <= limit per city."""
     ids = _ids(raw)
-    df = select_existing(raw, ids + C.BASE2_SELECT)
+    df = select_existing(raw, ids + C.BASE2_SELECT + ["row_order"])
     df = rename_by_map(df, "base_2")
     df = parse_dates_per_file(df, "date", ids)
     if "average_temperature" in df.columns:
@@ -54,7 +70,7 @@ def silver_base2(raw: DataFrame, limit: float = C.SILVER_FILL_LIMIT) -> DataFram
             F.lit(None).cast("double"), "maximum_temperature", "minimum_temperature"))
     df = drop_tolerant(df, C.BASE2_DROP)
     cols = _measures(df, exclude=ids + ["date_format"])
-    return gated_fill(df, cols, ids, ["date", "date_raw"], limit, block=F.year("date"))
+    return gated_fill(df, cols, ids, _position(df), limit, block=_block(df))
 
 
 def silver_base3(raw: DataFrame, limit: float = C.SILVER_FILL_LIMIT,
@@ -69,8 +85,7 @@ def silver_base3(raw: DataFrame, limit: float = C.SILVER_FILL_LIMIT,
     df = rename_by_map(raw, "base_3")
     df = parse_dates_per_file(df, "date", ids)
     cols = _measures(df, exclude=ids + order_extra + ["date_format"])
-    return gated_fill(df, cols, ids, ["date", "date_raw", *order_extra], limit,
-                      block=F.year("date"))
+    return gated_fill(df, cols, ids, _position(df, order_extra), limit, block=_block(df))
 
 
 def silver_disaster(raw: DataFrame, ordinal: str = "ordinal") -> DataFrame:
@@ -81,4 +96,10 @@ def silver_disaster(raw: DataFrame, ordinal: str = "ordinal") -> DataFrame:
     df = drop_null_rows(df, subset=C.DISASTER_SELECT)
     df = rename_by_map(df, "base_disaster")
     df = parse_dates_per_file(df, "date", ids)
-    return first_per_key(df, ids + ["date", "eventType"], ordinal)
+    return first_per_key(df, [c for c in ids if c not in ("source", "file", "granularity")] + ["date", "eventType"], ordinal)
+
+
+def merge_first(parts: DataFrame, ordinal: str = "ordinal") -> DataFrame:
+    """First report of each (city, date, event type) over parts that were each
+    reduced to theirs."""
+    return first_per_key(parts, _ids(parts) + ["date", "eventType"], ordinal)

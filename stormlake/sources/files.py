@@ -8,7 +8,8 @@ layouts (``{root}/{source}/file={stem}/part-*.csv``) parse the same way.
 
 from __future__ import annotations
 
-import json
+import csv
+import io
 import re
 
 from pyspark.errors import AnalysisException
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stormlake import config as C
+from stormlake.operators.project import coalesce_nan
+from stormlake.operators.sets import union_all_by_name
 
 OVERFLOW = "_overflow"
 
@@ -55,8 +58,8 @@ def city_id_of(city: Column, cities: list[str] | None = None) -> Column:
 
 
 def granularity_of(name: Column) -> Column:
-    g = F.regexp_extract(F.lower(name), r"_(daily|hourly)(?:_|$)", 1)
-    return F.when(g != "", g)
+    """``daily`` if the file name says so, else ``hourly``, as the source takes it."""
+    return F.when(F.contains(F.lower(name), F.lit("daily")), F.lit("daily")).otherwise(F.lit("hourly"))
 
 
 def with_identity(df: DataFrame) -> DataFrame:
@@ -70,60 +73,118 @@ def with_identity(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # SC1: CSV with the source's bad-line policy
 # --------------------------------------------------------------------------
-def read_csv_lenient(spark: SparkSession, path: str, columns: list[str],
-                     numeric: list[str] | None = None) -> DataFrame:
-    """Read CSV files with a known header; too-long rows are skipped, short rows padded.
-
-    One extra trailing column catches surplus fields; rows that fill it are
-    dropped (what ``on_bad_lines='skip'`` does), rows with too few fields keep
-    nulls.  Quoted fields may span lines.  Null tokens become null, numeric
-    columns are parsed with ``try_cast``.  File identity columns are added.
-    """
-    numeric = set(numeric or [])
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
-                          + [T.StructField(OVERFLOW, T.StringType())])
-    df = (spark.read.schema(schema)
-          .options(header=True, multiLine=True, escape='"', mode="PERMISSIVE",
-                   recursiveFileLookup=True, pathGlobFilter="*.csv")
-          .csv(path))
-    df = with_identity(df).where(F.col(OVERFLOW).isNull()).drop(OVERFLOW)
-    out = {}
-    for c in columns:
-        v = F.when(F.col(c).isin(C.NULL_TOKENS), F.lit(None)).otherwise(F.col(c))
-        out[c] = v.try_cast("double") if c in numeric else v
-    return df.withColumns(out)
+HEADER_BYTES = 1 << 16  # of a file's beginning, read to find its header line
+
+
+def csv_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Header -> the CSV files under ``path`` (a folder or glob, read through
+    subfolders) that have it.
+
+    Only each file's first bytes are read, by the file system's client on the
+    driver: one list of file names and one line a file.  Empty files have no
+    header and are left out; a missing location gives no files."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    found: dict[tuple[str, ...], list[str]] = {}
+    todo = [x.getPath() for x in (fs.globStatus(root) or [])]
+    files = []
+    while todo:
+        at = todo.pop()
+        status = fs.getFileStatus(at)
+        if status.isDirectory():
+            todo += [x.getPath() for x in fs.listStatus(at) if not x.getPath().getName().startswith(("_", "."))]
+        elif at.getName().lower().endswith(".csv") and status.getLen() > 0:
+            files.append(at)
+    for at in sorted(files, key=lambda x: x.toString()):
+        stream = fs.open(at)
+        try:
+            start = bytes(stream.readNBytes(HEADER_BYTES))
+        finally:
+            stream.close()
+        names = next(csv.reader(io.StringIO(start.decode("utf-8-sig", "replace"))), [])
+        header = tuple(n.strip() or f"_c{i}" for i, n in enumerate(names))
+        if header:
+            found.setdefault(header, []).append(at.toString())
+    return found
+
+
+def _unique(names: tuple[str, ...]) -> list[str]:
+    """Column names told apart as a repeated header name needs (x, x.1, ...)."""
+    seen: dict[str, int] = {}
+    out = []
+    for n in names:
+        k = seen.get(n.lower(), 0)
+        seen[n.lower()] = k + 1
+        out.append(n if k == 0 else f"{n}.{k}")
+    return out
+
 
+def read_csv_lenient(spark: SparkSession, path: str, columns: list[str] | None = None,
+                     numeric: list[str] | None = None, multi_line: bool = False) -> DataFrame:
+    """Read the CSV files under ``path``, each by the names in its own header.
 
-def read_csv_or_none(spark: SparkSession, path: str, columns: list[str],
-                     numeric: list[str] | None = None) -> DataFrame | None:
-    """SC1 error path: an unreadable / missing location gives None."""
+    Files are read in one scan for each different header and put together by name;
+    a column that a file lacks is null there.  ``columns`` keeps the named ones
+    that some file has (default: all).  Rows with more fields than their header
+    are skipped (what ``on_bad_lines='skip'`` does), rows with fewer keep nulls.
+    Null tokens become null; ``numeric`` columns (default: none) are parsed with ``try_cast``.
+    ``multi_line``: quoted fields may span lines; such a file is one task's work.
+    Adds the file's identity and ``row_order``, which orders the rows of a file.
+    """
+    headers = csv_headers(spark, path)
+    if not headers:
+        raise FileNotFoundError(f"no CSV file under {path}")
+    parts = []
+    for header, files in headers.items():
+        names = _unique(header)
+        schema = T.StructType([T.StructField(f"_f{i}", T.StringType()) for i in range(len(names))]
+                              + [T.StructField(OVERFLOW, T.StringType())])
+        df = (spark.read.schema(schema)
+              .options(header=True, multiLine=multi_line, escape='"', mode="PERMISSIVE", enforceSchema=True).csv(files))
+        df = with_identity(df).withColumn("row_order", F.struct(
+            F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row")))
+        keep = [(i, n) for i, n in enumerate(names) if columns is None or n in columns]
+        value = lambda i: F.when(F.col(f"_f{i}").isin(C.NULL_TOKENS), F.lit(None)).otherwise(F.col(f"_f{i}"))
+        cast = lambda i, n: value(i).try_cast("double") if n in (numeric or []) else value(i)
+        parts.append(df.where(F.col(OVERFLOW).isNull()).select(
+            *[cast(i, n).alias(n) for i, n in keep], "source", "file", "city", "granularity", "city_id", "row_order"))
+    return coalesce_nan(union_all_by_name(parts))
+
+
+def read_csv_or_none(spark: SparkSession, path: str, columns: list[str] | None = None,
+                     numeric: list[str] | None = None, multi_line: bool = False) -> DataFrame | None:
+    """SC1 error path: a missing location, or one without CSV files, gives None."""
     try:
-        df = read_csv_lenient(spark, path, columns, numeric)
-        df.schema  # noqa: B018 - resolve now so a missing path fails here
-        return df
-    except AnalysisException:
+        return read_csv_lenient(spark, path, columns, numeric, multi_line)
+    except FileNotFoundError:
         return None
 
 
 # --------------------------------------------------------------------------
 # SC6: every source folder under a root, dispatched on its name
 # --------------------------------------------------------------------------
-def scan_raw(spark: SparkSession, root: str, layouts: dict[str, tuple[list[str], list[str]]],
-             processors: dict | None = None) -> dict[str, DataFrame]:
-    """Read ``{root}/{key}`` for each known layout and apply its processor.
-
-    ``layouts``: key -> (header columns, numeric columns); a key is a source
-    folder, optionally with a glob for one kind of file in it (e.g.
-    ``base_1/*daily*``).  Keys without a processor pass through unchanged
-    (the generic processor); missing folders are skipped.
+def source_folders(spark: SparkSession, root: str) -> list[str]:
+    """Names of the folders under ``root``."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(root)
+    return sorted(x.getPath().getName() for x in at.getFileSystem(conf).listStatus(at)
+                  if x.isDirectory() and not x.getPath().getName().startswith(("_", ".")))
+
+
+def scan_raw(spark: SparkSession, root: str, processors: dict | None = None,
+             numeric: dict[str, list[str]] | None = None, multi_line: tuple[str, ...] = ("base_disaster",)) -> dict[str, DataFrame]:
+    """Read every folder under ``root`` and apply its processor.
+
+    A folder without a processor passes through unchanged (the generic
+    processor); one without CSV files is left out.  ``numeric``: folder -> columns read as numbers.
     """
-    processors = processors or {}
+    processors, numeric = processors or {}, numeric or {}
     out = {}
-    for key, (cols, numeric) in layouts.items():
-        df = read_csv_or_none(spark, f"{root.rstrip('/')}/{key}", cols, numeric)
-        if df is None:
-            continue
-        out[key] = processors.get(key, lambda d: d)(df)
+    for name in source_folders(spark, root):
+        df = read_csv_or_none(spark, f"{root.rstrip('/')}/{name}", None, numeric.get(name), name in multi_line)
+        if df is not None:
+            out[name] = processors.get(name, lambda d: d)(df)
     return out
 
 
@@ -147,6 +208,12 @@ def read_parquet_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at ``path``, in whatever store it names."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def write_named_csv(df: DataFrame, path: str, name_col: str = "file", mode: str = "overwrite") -> None:
     """SC5: CSV with header, one folder per file name (``file={name}``)."""
     (df.write.mode(mode).partitionBy(name_col)
@@ -196,12 +263,6 @@ def column_map_dict(df: DataFrame) -> dict[str, dict[str, str]]:
     return out
 
 
-def dump_json(obj, path: str) -> None:
-    """Write a config object as a local JSON file (tests, examples)."""
-    with open(path, "w", encoding="utf-8") as fh:
-        json.dump(obj, fh, ensure_ascii=False, indent=2)
-
-
 # --------------------------------------------------------------------------
 # SC11: gold scan limited to chosen cities per source
 # --------------------------------------------------------------------------
@@ -216,4 +277,5 @@ def allow_list_filter(allow: dict[str, list[str]] | None = None) -> Column:
 
 
 def read_gold(spark: SparkSession, path: str, allow: dict[str, list[str]] | None = None) -> DataFrame:
+    """One gold table (of one source, or of several with the same columns), pruned to the chosen cities."""
     return spark.read.parquet(path).where(allow_list_filter(allow))

@@ -1,15 +1,19 @@
 """Incremental raw -> silver with Structured Streaming.
 
 The source processes whole folders in batch; new raw files can instead be
-picked up as they land.  Two forms:
-
-* ``silver_disaster_stream``: a file stream of storm-report CSVs; each
-  micro-batch holds whole files, so the per-file rules of PL4 (date format
-  choice, first-kept duplicates) apply unchanged inside ``foreachBatch``.
-  Every batch is written to its own ``batch_id`` folder with overwrite, so a
-  retried batch replaces its own output (idempotent).
-* ``hourly_day_means_stream``: AG1 on arriving hourly observations -- a
-  watermarked one-day tumbling window per city, emitted once the day closes.
+picked up as they land.  Both forms write what each micro-batch adds to a folder
+of its own (overwritten when a batch is tried again) and are merged on read, so
+the result does not depend on how files fall into batches, and no batch
+rewrites what earlier ones wrote.
+
+* ``silver_disaster_stream`` / ``read_silver_disaster``: a file stream of
+  storm-report CSVs.  A file is never split between batches, so the per-file
+  date format is chosen within one; each batch is reduced to its first report
+  of every (city, date, event type), and the first over all batches is taken on read.
+* ``day_partials_to_parquet`` / ``read_day_means``: AG1 on arriving hourly
+  observations: sums and counts per city and day of each batch, added up on read.
+* ``hourly_day_means_stream``: AG1 as a watermarked one-day window per city, a
+  day being given out once it is closed.
 """
 
 from __future__ import annotations
@@ -20,37 +24,47 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stormlake import config as C
-from stormlake.plans.silver import silver_disaster
+from stormlake.plans.silver import merge_first, silver_disaster
 from stormlake.sources.files import OVERFLOW, with_identity
 
 DISASTER_COLS = ["EVENT_ID", "CZ_NAME_STR", "BEGIN_DATE", "EVENT_TYPE", "EVENT_NARRATIVE"]
 
 
-def raw_disaster_stream(spark: SparkSession, path: str, max_files: int = 64) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in DISASTER_COLS]
+def raw_disaster_stream(spark: SparkSession, path: str, columns: list[str] | None = None,
+                        max_files: int | None = None) -> DataFrame:
+    """File stream of storm-report CSVs with the header ``columns`` (a stream's
+    schema is fixed, so one stream reads files of one header)."""
+    columns = columns or DISASTER_COLS
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
                           + [T.StructField(OVERFLOW, T.StringType())])
-    df = (spark.readStream.schema(schema)
-          .options(header=True, multiLine=True, escape='"', mode="PERMISSIVE",
-                   recursiveFileLookup=True, pathGlobFilter="*.csv", maxFilesPerTrigger=max_files)
-          .csv(path))
-    df = with_identity(df).where(F.col(OVERFLOW).isNull()).drop(OVERFLOW)
+    reader = spark.readStream.schema(schema).options(
+        header=True, multiLine=True, escape='"', mode="PERMISSIVE", recursiveFileLookup=True, pathGlobFilter="*.csv")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    df = with_identity(reader.csv(path)).where(F.col(OVERFLOW).isNull()).drop(OVERFLOW)
     return df.withColumns({c: F.when(F.col(c).isin(C.NULL_TOKENS), F.lit(None)).otherwise(F.col(c))
-                           for c in DISASTER_COLS})
+                           for c in columns})
 
 
-def silver_disaster_stream(spark: SparkSession, raw_path: str, out_path: str,
-                           checkpoint: str, available_now: bool = True) -> StreamingQuery:
+def silver_disaster_stream(spark: SparkSession, raw_path: str, out_path: str, checkpoint: str,
+                           available_now: bool = True, columns: list[str] | None = None,
+                           max_files: int | None = None) -> StreamingQuery:
     """Start the raw storm-report -> silver stream (PL4 per micro-batch)."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        s = silver_disaster(batch.withColumn("ordinal", F.col("EVENT_ID").cast("long")))
+        s = silver_disaster(batch.drop("granularity").withColumn("ordinal", F.col("EVENT_ID").cast("long")))
         s.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
-    w = (raw_disaster_stream(spark, raw_path).writeStream
+    w = (raw_disaster_stream(spark, raw_path, columns, max_files).writeStream
          .foreachBatch(write_batch).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
+def read_silver_disaster(spark: SparkSession, out_path: str) -> DataFrame:
+    """The silver table of all batches so far."""
+    return merge_first(spark.read.parquet(out_path).drop("batch_id", "source", "file", "city"))
+
+
 def hourly_day_means_stream(hourly: DataFrame, cols: list[str], ts: str = "obs_ts",
                             lateness: str = "1 day") -> DataFrame:
     """AG1 on a stream: per city and UTC day, mean of each column."""
@@ -60,15 +74,27 @@ def hourly_day_means_stream(hourly: DataFrame, cols: list[str], ts: str = "obs_t
             .select("city_id", F.to_date(F.col("day.start")).alias("date"), *cols))
 
 
-def day_means_to_parquet(spark: SparkSession, src_path: str, schema: str, cols: list[str],
-                         out_path: str, checkpoint: str, ts: str = "obs_ts") -> StreamingQuery:
-    """Run ``hourly_day_means_stream`` over a Parquet file stream; each batch
-    rewrites the full result (complete mode) to ``out_path`` -- no driver-side sink."""
-    stream = spark.readStream.schema(schema).parquet(src_path)
+def day_partials_to_parquet(spark: SparkSession, src_path: str, schema: str, cols: list[str],
+                            out_path: str, checkpoint: str, ts: str = "obs_ts",
+                            max_files: int | None = None) -> StreamingQuery:
+    """Sums and counts per (city, day) of each micro-batch of a Parquet file stream."""
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+        day = batch.withColumn("date", F.to_date(ts))
+        (day.groupBy("city_id", "date").agg(
+            *[F.sum(c).alias(f"sum_{c}") for c in cols], *[F.count(c).alias(f"n_{c}") for c in cols])
+         .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}"))
+
+    return (reader.parquet(src_path).writeStream.foreachBatch(write_batch)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
 
-    return (hourly_day_means_stream(stream, cols, ts).writeStream.outputMode("complete")
-            .foreachBatch(write_batch).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+def read_day_means(spark: SparkSession, out_path: str, cols: list[str]) -> DataFrame:
+    """Day means over all batches so far; a day without any value of a column has none."""
+    d = spark.read.parquet(out_path).groupBy("city_id", "date").agg(
+        *[F.sum(f"sum_{c}").alias(f"sum_{c}") for c in cols], *[F.sum(f"n_{c}").alias(f"n_{c}") for c in cols])
+    return d.select("city_id", "date", *[
+        F.when(F.col(f"n_{c}") > 0, F.col(f"sum_{c}") / F.col(f"n_{c}")).alias(c) for c in cols])

@@ -1,13 +1,19 @@
+import json
 import os
 
 from stormlake import config as C
 from stormlake.session import scratch_path
-from stormlake.sources.files import (column_map_dict, dump_json, load_cities, load_column_map,
+from stormlake.sources.files import (column_map_dict, load_cities, load_column_map,
                                      load_stations, read_csv_lenient, read_csv_or_none)
 
 COLS = ["EVENT_ID", "CZ_NAME_STR", "BEGIN_DATE", "EVENT_TYPE", "EVENT_NARRATIVE"]
 
 
+def dump_json(obj, path):
+    with open(path, "w", encoding="utf-8") as fh:
+        json.dump(obj, fh, ensure_ascii=False)
+
+
 def _write(path, text):
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "w") as fh:
@@ -22,7 +28,7 @@ def test_bad_line_policy(spark, tmp_path):
            "2,NEW YORK,01/03/2020\n"                      # short: padded
            "3,NEW YORK,01/04/2020,Hail,x,surplus\n"       # long: skipped
            "4,NEW YORK,01/05/2020,Flood,NA\n")
-    df = read_csv_lenient(spark, str(root / "base_disaster"), COLS)
+    df = read_csv_lenient(spark, str(root / "base_disaster"), COLS, multi_line=True)
     rows = {r.EVENT_ID: r for r in df.collect()}
     assert sorted(rows) == ["1", "2", "4"]
     assert rows["1"].EVENT_NARRATIVE == "two\nlines"
@@ -51,16 +57,49 @@ def test_json_dimensions(spark, tmp_path):
 
 def test_scratch_under_checkpoint_dir(spark):
     from stormlake.session import ensure_checkpoint_dir
-    assert scratch_path(spark, "x").startswith(ensure_checkpoint_dir(spark).replace("file:", "").rstrip("/"))
+    assert scratch_path(spark, "x").startswith(ensure_checkpoint_dir(spark).rstrip("/"))
 
 
 def test_scan_raw_dispatch_and_missing(spark, tmp_path):
     from stormlake.sources.files import read_parquet_or_none, scan_raw
     root = tmp_path / "raw"
     _write(str(root / "disaster" / "chicago_x.csv"), "A,B\n1,2\n")
-    out = scan_raw(spark, str(root), {"disaster": (["A", "B"], ["B"]), "base_9": (["A"], [])},
-                   processors={})
-    assert set(out) == {"disaster"}                       # missing folder skipped
+    os.makedirs(root / "base_9")
+    out = scan_raw(spark, str(root), numeric={"disaster": ["B"]})
+    assert set(out) == {"disaster"}                       # a folder without files is left out
     r = out["disaster"].first()                           # no processor: passed through
     assert (r.A, r.B, r.city, r.source) == ("1", 2.0, "chicago", "disaster")
     assert read_parquet_or_none(spark, str(tmp_path / "none")) is None
+
+
+def test_headers_by_name(spark, tmp_path):
+    """Files of one folder with their own headers, a surplus column, a city not known."""
+    d = tmp_path / "raw" / "base_2"
+    _write(str(d / "dallas_daily.csv"), "DATE,PRCP,TMIN\n2020-01-01,1.5,-3\n")
+    _write(str(d / "houston.csv"), "TMIN,STATION,DATE,PRCP\n7,X9,2020-01-02,20\n")
+    _write(str(d / "boston_daily_1973_2024.csv"), "DATE,TMIN\n2020-01-03,4\n")
+    df = read_csv_lenient(spark, str(d), ["DATE", "PRCP", "TMIN"], ["PRCP", "TMIN"])
+    rows = {r.file: r for r in df.collect()}
+    r = rows["dallas_daily"]
+    assert (r.DATE, r.PRCP, r.TMIN, r.city, r.granularity) == ("2020-01-01", 1.5, -3.0, "dallas", "daily")
+    r = rows["houston"]
+    assert (r.DATE, r.PRCP, r.TMIN, r.city, r.granularity) == ("2020-01-02", 20.0, 7.0, "houston", "hourly")
+    r = rows["boston_daily_1973_2024"]
+    assert (r.DATE, r.PRCP, r.TMIN, r.city, r.city_id) == ("2020-01-03", None, 4.0, None, None)
+    assert "STATION" not in df.columns
+
+
+def test_unknown_folder_passes_through(spark, tmp_path):
+    from stormlake.plans import jobs
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "silver")
+    _write(f"{raw}/base_9/miami_x.csv", "A,B\n1,2\n")
+    _write(f"{raw}/base_2/boston_daily.csv", "DATE,PRCP,TMAX,TMIN\n13/02/2020,1,5,1\n14/02/2020,,6,2\n15/02/2020,3,7,3\n")
+    _write(f"{raw}/base_disaster/miami_storms.csv",
+           "EVENT_ID,STATE,CZ_NAME_STR,BEGIN_DATE,MAGNITUDE,EVENT_TYPE,EVENT_NARRATIVE\n"
+           "9,FL,MIAMI,01/02/2020,1,Hail,\"a\nb\"\n3,FL,MIAMI,01/02/2020,2,Hail,later\n")
+    assert set(jobs.raw_to_silver(spark, raw, out)) == {"base_2", "base_9", "base_disaster"}
+    assert spark.read.parquet(f"{out}/base_9").first().A == "1"
+    b = sorted((str(r.date), r.city) for r in spark.read.parquet(f"{out}/base_2/daily").collect())
+    assert b == [("2020-02-13", None), ("2020-02-14", None), ("2020-02-15", None)]
+    s = spark.read.parquet(f"{out}/base_disaster").collect()
+    assert [(str(r.date), r.eventType, r.city) for r in s] == [("2020-01-02", "Hail", "miami")]

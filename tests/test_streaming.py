@@ -3,7 +3,8 @@ import os
 from pyspark.sql import functions as F
 
 from stormlake.session import scratch_path
-from stormlake.streaming.ingest import hourly_day_means_stream, silver_disaster_stream
+from stormlake.streaming.ingest import (hourly_day_means_stream, read_silver_disaster,
+                                        silver_disaster_stream)
 
 
 def test_disaster_stream_available_now(spark, tmp_path):
@@ -15,7 +16,7 @@ def test_disaster_stream_available_now(spark, tmp_path):
     out = scratch_path(spark, "stream-out")
     q = silver_disaster_stream(spark, str(tmp_path / "raw"), out, scratch_path(spark, "stream-ckpt"))
     q.awaitTermination(120)
-    rows = spark.read.parquet(out).collect()
+    rows = read_silver_disaster(spark, out).collect()
     # 13/02 forces d/M/yyyy for the file; the two Hail reports of one day keep the first
     assert sorted((str(r.date), r.eventType, r.ordinal) for r in rows) == [
         ("2020-02-01", "Hail", 1), ("2020-02-13", "Flood", 3)]
@@ -33,3 +34,19 @@ def test_hourly_means_stream(spark, tmp_path):
     q.stop()
     got = [(str(r.date), r.x) for r in spark.sql("SELECT * FROM day_means_t").collect()]
     assert ("2020-01-01", 2.0) in got
+
+
+def test_one_file_a_batch_gives_the_batch_result(spark, tmp_path):
+    """Two files of one city, each read by a batch of its own: the first report over both is kept."""
+    head = "EVENT_ID,CZ_NAME_STR,BEGIN_DATE,EVENT_TYPE,EVENT_NARRATIVE\n"
+    for name, rows in [("dallas_a", "5,DALLAS,01/02/2020,Hail,x\n6,DALLAS,01/03/2020,Flood,x\n"),
+                       ("dallas_b", "2,DALLAS,2020-01-02,Hail,y\n7,DALLAS,2020-01-03,Flood,y\n")]:
+        folder = tmp_path / "raw" / f"file={name}"
+        os.makedirs(folder)
+        (folder / "part.csv").write_text(head + rows)
+    out = scratch_path(spark, "stream-out")
+    q = silver_disaster_stream(spark, str(tmp_path / "raw"), out, scratch_path(spark, "stream-ckpt"), max_files=1)
+    q.awaitTermination(120)
+    assert len([f for f in os.listdir(out.removeprefix("file:")) if f.startswith("batch_id=")]) == 2
+    got = sorted((str(r.date), r.eventType, r.ordinal) for r in read_silver_disaster(spark, out).collect())
+    assert got == [("2020-01-02", "Hail", 2), ("2020-01-03", "Flood", 6)]

@@ -8,8 +8,6 @@ single sort.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,12 +64,17 @@ def sma(df: DataFrame, col: str, keys: list[str], order: list[str | Column],
     return d.where(~F.col("__halo")).select(*df.columns, out)
 
 
-def ema_depth(span: int, bits: int = 64) -> int:
-    """Rows of history after which the EMA weight of older rows is below 2**-bits."""
-    alpha = 2.0 / (span + 1)
-    if alpha >= 1.0:
-        return 0
-    return int(math.ceil(bits * math.log(2.0) / -math.log(1.0 - alpha)))
+def _fold(history: Column, alpha: float, start: Column) -> Column:
+    """Run the average over an array of struct(v): state is the value so far and
+    the weight it has left, which decays by (1 - alpha) a row, also over nulls."""
+    keep = F.lit(1.0 - alpha)
+
+    def step(s, x):
+        v = x["v"]
+        y = (F.when(v.isNull(), s["y"]).when(s["y"].isNull(), v)
+             .otherwise((s["w"] * s["y"] + F.lit(alpha) * v) / (s["w"] + F.lit(alpha))))
+        return F.struct(y.alias("y"), F.when(v.isNull(), s["w"] * keep).otherwise(keep).alias("w"))
+    return F.aggregate(history, start, step)
 
 
 def ema(df: DataFrame, col: str, keys: list[str], order: list[str | Column],
@@ -79,23 +82,64 @@ def ema(df: DataFrame, col: str, keys: list[str], order: list[str | Column],
         block: Column | None = None) -> DataFrame:
     """WN2: exponential moving average, alpha = 2/(span+1), y0 = x0 (non-adjusted).
 
-    y_t = (1-alpha) y_{t-1} + alpha x_t, folded left over the last K rows with
-    K = ``ema_depth(span)``.  Rows within K of the series start are folded from
-    the first row, i.e. exactly; older history weighs below 2^-64 and is cut.
-    Null inputs leave the running value unchanged.  ``block`` as for ``sma``
-    (each block sees the K rows before it).
+    A value x that comes n rows after the last one gives
+    y = (w y + alpha x) / (w + alpha) with w = (1 - alpha)^n, so weights decay
+    over nulls; a null row repeats the average so far.
+
+    Every value is folded from the first row of its series.  Without ``block`` a
+    row looks at all rows before it: for short series.  With ``block`` (monotone in
+    ``order``) a series is cut: each block is first reduced to what it does to
+    any state that enters it, the states are carried over the small table of
+    blocks, and each block is then run from its own entry state.
     """
     out = out or f"{col}_moving_average_ema"
     alpha = 2.0 / (span + 1)
-    k = ema_depth(span)
-    src, part = (df, keys) if block is None else with_halo(df, keys, order, block, k)
-    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(-k, 0)
-    hist = F.filter(F.collect_list(F.col(col).cast("double")).over(w), lambda v: v.isNotNull())
-    folded = F.aggregate(
-        F.slice(hist, 2, k + 1), F.element_at(hist, 1),
-        lambda acc, v: acc * F.lit(1.0 - alpha) + v * F.lit(alpha))
-    res = src.withColumn(out, F.when(F.size(hist) > 0, folded))
-    return res if block is None else res.where(~F.col("__halo")).select(*df.columns, out)
+    x = F.struct(F.col(col).cast("double").alias("v"))
+    none = F.struct(F.lit(None).cast("double").alias("y"), F.lit(1.0).alias("w"))
+    if block is None:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, _fold(F.collect_list(x).over(w), alpha, none)["y"])
+    B = "__wblk"
+    d = df.withColumn(B, block)
+    part = [*keys, B]
+    inside = Window.partitionBy(*part).orderBy(*order)
+    d = d.withColumn("__hist", F.collect_list(x).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    # the last row's history is the whole block
+    whole = d.groupBy(*part).agg(F.max_by("__hist", F.size("__hist")).alias("__all"))
+    carried = Window.partitionBy(*keys).orderBy(B).rowsBetween(Window.unboundedPreceding, -1)
+    entry = whole.select(*part, _entry_states(whole, alpha, carried, none).alias("__in"))
+    return (_null_safe_join(d, entry, part).withColumn(out, _fold(F.col("__hist"), alpha, F.col("__in"))["y"])
+            .select(*df.columns, out))
+
+
+def _entry_states(whole: DataFrame, alpha: float, before, none: Column) -> Column:
+    """The state in which each block is entered.  A block turns the state (y, w)
+    that enters it into (a y' + b, w'), where y' is the average at its first value
+    f, k rows in: y' = (w q y + alpha f) / (w q + alpha) with q = (1 - alpha)^k."""
+    keep = F.lit(1.0 - alpha)
+    start = F.struct(F.lit(None).cast("double").alias("f"), F.lit(1.0).alias("q"), F.lit(1.0).alias("a"),
+                     F.lit(0.0).alias("b"), F.lit(1.0).alias("w"))
+
+    def step(s, x):
+        v, first = x["v"], s["f"].isNull()
+        a = s["w"] / (s["w"] + F.lit(alpha))
+        on = v.isNotNull() & ~first
+        return F.struct(
+            F.when(first, v).otherwise(s["f"]).alias("f"),
+            F.when(first & v.isNull(), s["q"] * keep).otherwise(s["q"]).alias("q"),
+            F.when(on, a * s["a"]).otherwise(s["a"]).alias("a"),
+            F.when(on, a * s["b"] + F.lit(alpha) * v / (s["w"] + F.lit(alpha))).otherwise(s["b"]).alias("b"),
+            F.when(v.isNull(), s["w"] * keep).otherwise(keep).alias("w"))
+
+    does = F.aggregate(F.col("__all"), start, step)
+
+    def enter(s, e):
+        at = s["w"] * e["q"]
+        y1 = F.when(s["y"].isNull(), e["f"]).otherwise((at * s["y"] + F.lit(alpha) * e["f"]) / (at + F.lit(alpha)))
+        y = F.when(e["f"].isNull(), s["y"]).otherwise(e["a"] * y1 + e["b"])
+        w = F.when(e["f"].isNull(), F.when(s["y"].isNull(), s["w"]).otherwise(at)).otherwise(e["w"])
+        return F.struct(y.alias("y"), w.alias("w"))
+    return F.aggregate(F.collect_list(does).over(before), none, enter)
 
 
 def _null_safe_join(df: DataFrame, small: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

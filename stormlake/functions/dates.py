@@ -4,8 +4,9 @@ The source tries each format on the *whole column of one file*; the first that
 parses every row wins, else the text is left as is.  Here every row is parsed
 under all formats in one projection, one grouped aggregate counts the failures
 per file (partial aggregation, so a huge file is still spread over tasks), and
-the small per-file verdict is joined back (AQE broadcasts it by its measured
-size).  Rows whose file has no winning format get a null ``date`` and keep the
+the per-file verdict is written and read back, so that the planner joins it
+by its measured size: broadcast while it is small, and the big side is not
+shuffled on a handful of file keys.  Rows whose file has no winning format get a null ``date`` and keep the
 text in ``date_raw``.
 """
 
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stormlake import config as C
+from stormlake.session import materialize
 
 
 def _clean_text(c: Column) -> Column:
@@ -45,8 +47,9 @@ def parse_dates_per_file(df: DataFrame, col: str, file_keys: list[str],
     for i in reversed(range(len(formats))):
         choice = F.when(F.col(fails[i]) == 0, F.lit(i)).otherwise(
             choice if choice is not None else F.lit(None).cast("int"))
-    verdict = verdict.select(*file_keys, choice.alias("date_format"))
-    d = d.join(verdict, on=file_keys, how="left")
+    verdict = materialize(verdict.select(*[F.col(k).alias(f"__k_{k}") for k in file_keys], choice.alias("date_format")))
+    same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in file_keys]  # a file of no known city is a file too
+    d = d.join(verdict, same, "left").drop(*[f"__k_{k}" for k in file_keys])
     value = F.lit(None).cast("date")
     for i in reversed(range(len(formats))):
         value = F.when(F.col("date_format") == i, F.col(parsed[i])).otherwise(value)

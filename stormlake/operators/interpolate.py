@@ -6,8 +6,8 @@ distance; leading nulls stay null; trailing nulls repeat the last value.
 
 Plan.  A series (one ``keys`` value, ordered by ``order``) can be as long as a
 city's whole history, so it is never sorted in one task.  It is cut into
-blocks by a coarse column that is monotone in ``order`` (the year by default,
-so a block holds at most one year of one station):
+blocks by a coarse integer that is monotone in ``order`` (the plans use the
+month, so a block holds at most one month of one station):
 
 1. one window pass per (keys, block): row number and, per column, the last
    non-null value/position at or before the row and the first at or after it;
@@ -42,6 +42,11 @@ def _lerp(pv: Column, pp: Column, nv: Column, np_: Column, pos: Column) -> Colum
     return ((nv - pv) / (np_ - pp)) * (pos - pp) + pv
 
 
+def month_block(date: str | Column) -> Column:
+    """Months since year 0: a block key that is monotone in the date."""
+    return F.year(date) * 12 + F.month(date)
+
+
 def interpolate_linear(df: DataFrame, cols: list[str], keys: list[str],
                        order: list[str | Column], block: Column | None = None,
                        limit: float | None = None, include_zero: bool = False,
@@ -65,7 +70,9 @@ def interpolate_linear(df: DataFrame, cols: list[str], keys: list[str],
         out = interpolate_linear(df, work, keys, order, block, limit, include_zero, report, prune=False)
         return out.withColumns({c: F.col(c).cast("double") for c in rest})
     B = "__blk"
-    d = df.withColumn(B, block if block is not None else F.lit(0))
+    # rows without a block (no date) sort first and are a block of their own
+    first = F.lit(-(1 << 31)).cast("int")
+    d = df.withColumn(B, F.coalesce(block.cast("int"), first) if block is not None else F.lit(0))
     part = [*keys, B]
     w = Window.partitionBy(*part).orderBy(*order)
     d = d.withColumn("__rn", F.row_number().over(w))
@@ -110,7 +117,8 @@ def interpolate_linear(df: DataFrame, cols: list[str], keys: list[str],
             carry[f"__pct{i}"] = round_half_even(pct, 2)
     s = s.withColumns(carry).select(*part, "__off", *carry.keys())
 
-    d = d.join(s, on=part, how="left")
+    s = s.withColumnsRenamed({k: f"__s_{k}" for k in part})
+    d = d.join(s, [F.col(k).eqNullSafe(F.col(f"__s_{k}")) for k in part], "left").drop(*[f"__s_{k}" for k in part])
     pos = F.col("__off") + F.col("__rn")
     out = {}
     for i, c in enumerate(cols):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from stormlake import config as C
 from stormlake.functions.scalars import fill_from, occurred, season
 from stormlake.operators.aggregate import day_means
-from stormlake.operators.interpolate import gated_fill
+from stormlake.operators.interpolate import gated_fill, month_block
 from stormlake.operators.joins import full_outer_null_safe, left_on
 from stormlake.operators.project import drop_strict
 from stormlake.session import materialize
@@ -69,6 +69,6 @@ def gold_base3(daily: DataFrame, hourly: DataFrame, disaster_silver: DataFrame,
     # dir, which also cuts the long silver lineage
     d = materialize(d)
     cols = [c for c in d.columns if c not in KEYS]
-    d = gated_fill(d, cols, ["city_id"], ["date"], limit, block=F.year("date"))
+    d = gated_fill(d, cols, ["city_id"], ["date"], limit, block=month_block("date"))
     g = full_outer_null_safe(d, _disasters(disaster_silver), KEYS, null_safe=["date"])
     return _label(g.withColumn("season", season("date")))

@@ -71,13 +71,15 @@ def q_disasters_by_city(spark, sf):
         "city_id", "city", "lat", "lon", "station", "count")
 
 
+_TYPE_COUNTS = ", ".join(f"count(*) FILTER (WHERE eventType = '{v}') AS \"{v}\"" for v in X.EVENT_TYPE_VALUES)
+
+
 @register("event_types_over_years", lambda: f"""
-PIVOT (SELECT city_id, {YEAR_SQL} AS year, eventType FROM ({SD()}) s
-       WHERE date IS NOT NULL AND eventType IS NOT NULL)
-ON eventType USING count(*) GROUP BY city_id, year""")
+SELECT city_id, {YEAR_SQL} AS year, {_TYPE_COUNTS}
+FROM ({SD()}) s WHERE date IS NOT NULL AND eventType IS NOT NULL GROUP BY city_id, {YEAR_SQL}""")
 def q_event_types_over_years(spark, sf):
     """AG6: (city, year) x event type, missing -> 0."""
-    return trends.event_types_over_years(silver_disaster_df(spark, sf))
+    return trends.event_types_over_years(silver_disaster_df(spark, sf), values=X.EVENT_TYPE_VALUES)
 
 
 @register("event_counts_per_file", lambda: f"""

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stormlake import config as C
 from stormlake.functions.scalars import with_date_parts
 from stormlake.operators.project import drop_strict
+from stormlake.session import materialize
 
 
 def standard_scale(df: DataFrame, cols: list[str], group_cols: list[str] | None = None,
@@ -14,16 +16,19 @@ def standard_scale(df: DataFrame, cols: list[str], group_cols: list[str] | None
     """FN10: (x - mean) / population std per group; a constant column divides by 1.
 
     Statistics come from one grouped aggregate over ``fit_on`` (default: the
-    frame itself) -- one row per group -- joined back; nulls are skipped in
-    the fit and stay null.
+    frame itself, written once so that it is not computed twice) -- one row per
+    group, written and joined back by its measured size, so that the big side is
+    not shuffled on a few group keys; nulls are skipped in the fit and stay null.
     """
+    if fit_on is None:
+        df = materialize(df)
     src = fit_on if fit_on is not None else df
     if not group_cols:  # one statistics row, joined on a constant key
         df, src, group_cols = df.withColumn("__g", F.lit(0)), src.withColumn("__g", F.lit(0)), ["__g"]
     stats = src.groupBy(*group_cols).agg(
         *[F.avg(F.col(c).cast("double")).alias(f"__mu{i}") for i, c in enumerate(cols)],
         *[F.stddev_pop(F.col(c).cast("double")).alias(f"__sd{i}") for i, c in enumerate(cols)])
-    d = df.join(stats, on=group_cols, how="left")
+    d = df.join(materialize(stats), on=group_cols, how="left")
     out = {}
     for i, c in enumerate(cols):
         sd = F.col(f"__sd{i}")
@@ -38,8 +43,7 @@ def one_hot(df: DataFrame, col: str, categories: list[str | None], prefix: str |
             null_name: str = "nan") -> DataFrame:
     """FN11: one 0/1 double column per category (sorted), null is its own category.
 
-    ``categories`` is the fitted vocabulary (see ``categories_of``); it is a
-    handful of values, never data-sized.
+    ``categories`` is a fixed vocabulary of a handful of values.
     """
     prefix = prefix or col
     cats = sorted([c for c in categories if c is not None])
@@ -53,32 +57,23 @@ def one_hot(df: DataFrame, col: str, categories: list[str | None], prefix: str |
     return df.withColumns(out)
 
 
-MAX_CATEGORIES = 10000
-
-
-def categories_of(df: DataFrame, col: str, max_categories: int = MAX_CATEGORIES) -> list[str | None]:
-    """Distinct values of a low-cardinality column, for one-hot encoding.
-
-    The driver receives at most ``max_categories + 1`` values; more than that is
-    an error (a one-hot of that width is not a feature table), never a
-    silent cut.
-    """
-    vals = [r[0] for r in df.select(col).distinct().limit(max_categories + 1).collect()]
-    if len(vals) > max_categories:
-        raise ValueError(f"{col} has more than {max_categories} distinct values")
-    return vals
+#: The seasons a date can fall into, and none (a disaster-only day of base_1 and base_2).
+SEASONS: list[str | None] = [C.SEASON_WINTER, C.SEASON_SPRING, C.SEASON_SUMMER, C.SEASON_AUTUMN, None]
 
 
 EXCLUDE = ["date", "season", "eventType", "disaster_occurred"]
 
 
 def model_table(gold: DataFrame, group_cols: list[str] | None = None,
-                seasons: list[str | None] | None = None) -> DataFrame:
+                seasons: list[str | None] | None = None, fit_on: DataFrame | None = None) -> DataFrame:
     """PL10: scale every feature per (source, city), one-hot the season, add
-    year / month / day, drop date, event type and season."""
+    year / month / day, drop date, event type and season.
+
+    Scaling is fitted on all rows, as in the source, unless ``fit_on`` names
+    the rows to fit it on (a training part)."""
     group_cols = group_cols if group_cols is not None else ["city_id"]
     feats = [c for c in gold.columns if c not in EXCLUDE and c not in group_cols]
-    d = standard_scale(gold, feats, group_cols)
-    d = one_hot(d, "season", seasons if seasons is not None else categories_of(gold, "season"))
+    d = standard_scale(gold, feats, group_cols, fit_on)
+    d = one_hot(d, "season", SEASONS if seasons is None else seasons)
     d = with_date_parts(d, "date")
     return drop_strict(d, ["date", "eventType", "season"])

@@ -30,11 +30,12 @@ def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "predi
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
-            group_cols: list[str] | None = None, buckets: int = 256) -> DataFrame:
+            group_cols: list[str] | None = None, bucket_rows: int = 1 << 18) -> DataFrame:
     """AG13: exact ROC AUC by the rank-sum (Mann-Whitney) formula, ties at half.
 
     Ranks need a global order of the scores; it is split by quantile buckets of
-    the score (``QuantileDiscretizer``, JVM-side): bucket totals give each
+    the score (``QuantileDiscretizer``, JVM-side), one for about ``bucket_rows``
+    rows: bucket totals give each
     bucket's starting rank through a window over the small bucket table, and
     ranks inside a bucket come from a window partitioned by bucket, over
     distinct scores.  Tied rows share the average rank.  One class -> null.
@@ -44,8 +45,9 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
     g = group_cols or []
     d = df.select(*g, F.col(label).alias("__y"), F.col(score).cast("double").alias("__s"))
     d = d.where(F.col("__s").isNotNull())
+    buckets = max(2, -(-d.count() // bucket_rows))
     qd = QuantileDiscretizer(numBuckets=buckets, inputCol="__s", outputCol="__b",
-                             relativeError=0.001, handleInvalid="keep")
+                             relativeError=min(0.001, 0.25 / buckets), handleInvalid="keep")
     d = qd.fit(d).transform(d)
     per = d.groupBy(*g, "__b", "__s").agg(
         F.count(F.lit(1)).alias("__n"), F.sum((F.col("__y") == 1).cast("long")).alias("__pos"))
@@ -61,9 +63,14 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
         F.sum(F.col("__pos") * rank).alias("__rsum"),
         F.sum("__pos").alias("__np"),
         (F.sum("__n") - F.sum("__pos")).alias("__nn"))
-    auc = (F.col("__rsum") - F.col("__np") * (F.col("__np") + 1) / F.lit(2.0)) / (
-        F.col("__np") * F.col("__nn"))
-    return t.select(*g, F.when((F.col("__np") > 0) & (F.col("__nn") > 0), auc).alias("auc_roc"))
+    return t.select(*g, auc_of("__rsum", "__np", "__nn").alias("auc_roc"))
+
+
+def auc_of(rank_sum: str, positives: str, negatives: str):
+    """The rank-sum formula in doubles: products of counts pass 64 bits."""
+    p, n = F.col(positives).cast("double"), F.col(negatives).cast("double")
+    auc = (F.col(rank_sum) - p * (p + 1) / F.lit(2.0)) / (p * n)
+    return F.when((p > 0) & (n > 0), auc)
 
 
 def confusion_matrix(spark_df: DataFrame, label: str = "label", prediction: str = "prediction",

@@ -37,7 +37,7 @@ def quota_select(df: DataFrame, label: str, u_col: str, id_cols: list[str],
     ``quotas``: (label, quota) -- one row per class.
     """
     b = F.floor(F.col(u_col) * F.lit(U_BUCKETS)).cast("int")
-    d = df.withColumn("__ub", b)
+    d = materialize(df.withColumn("__ub", b))  # read four times below
     hist = d.groupBy(label, "__ub").agg(F.count(F.lit(1)).alias("__c"))
     w = Window.partitionBy(label).orderBy("__ub").rowsBetween(Window.unboundedPreceding, -1)
     hist = hist.withColumn("__before", F.coalesce(F.sum("__c").over(w), F.lit(0)))
@@ -46,8 +46,9 @@ def quota_select(df: DataFrame, label: str, u_col: str, id_cols: list[str],
     bnd = (hist.where((F.col("__before") < F.col("__q")) & (F.col("__before") + F.col("__c") >= F.col("__q")))
                .select(label, F.col("__ub").alias("__bb"), F.col("__before").alias("__bbefore"),
                        "__q"))
-    qs = quotas.withColumnRenamed("quota", "__q2")
-    d = d.join(bnd, label, "left").join(qs, label, "left")
+    # a row a class, written: joined by its size, so the rows are not dealt out by a few labels
+    bounds = materialize(quotas.withColumnRenamed("quota", "__q2").join(bnd, label, "left"))
+    d = d.join(bounds, label, "left")
     inner = d.where(F.col("__ub") == F.col("__bb"))
     rw = Window.partitionBy(label).orderBy(u_col, *id_cols)
     inner = inner.withColumn(flag, (F.row_number().over(rw) + F.col("__bbefore")) <= F.col("__q"))
@@ -60,8 +61,8 @@ def quota_select(df: DataFrame, label: str, u_col: str, id_cols: list[str],
 def stratified_split(df: DataFrame, label: str, id_cols: list[str], test_size: float = C.TEST_SIZE,
                      seed: int = C.SEED) -> DataFrame:
     """SM1: add ``split`` = 'train' / 'test'; per class, ceil(test_size * n) rows go to test."""
-    d = df.withColumn("__u", uniform(*id_cols, seed=seed))
-    q = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
+    d = materialize(df.withColumn("__u", uniform(*id_cols, seed=seed)))
+    q = d.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
     q = q.select(label, (F.col("__n") - F.ceil(F.col("__n") * F.lit(test_size))).alias("quota"))
     s = quota_select(d, label, "__u", id_cols, q, flag="__train")
     return s.withColumn("split", F.when(F.col("__train"), "train").otherwise("test")).drop("__u", "__train")
@@ -78,12 +79,14 @@ def random_under_sample(df: DataFrame, label: str, id_cols: list[str], seed: int
     return s.where(F.col("__keep")).drop("__u", "__keep")
 
 
-def _minority(df: DataFrame, label: str) -> tuple[object, object, int, int]:
+def _to_grow(df: DataFrame, label: str) -> list[tuple[object, int, int]]:
+    """(class, its rows, rows it lacks to the largest class), smallest class first."""
     counts = class_counts(df, label)
     if len(counts) < 2:
         raise ValueError("need two classes to balance")
-    (mino, n_min), (majo, n_maj) = sorted(counts.items(), key=lambda kv: (kv[1], str(kv[0])))[:2]
-    return mino, majo, n_min, n_maj
+    most = max(counts.values())
+    by_size = sorted(counts.items(), key=lambda kv: (kv[1], str(kv[0])))
+    return [(value, n, most - n) for value, n in by_size if n < most]
 
 
 def _synthesise(base: DataFrame, quota_col: str, nn: DataFrame, feats: DataFrame, k: int,
@@ -113,43 +116,43 @@ def _originals(df: DataFrame, id_col: str, feat_col: str, label: str) -> DataFra
 
 def smote(df: DataFrame, label: str, id_col: str = "id", feat_col: str = "features",
           k: int = C.SMOTE_K, seed: int = C.SEED) -> DataFrame:
-    """SM2: synthesize minority rows until the two classes are equal.
+    """SM2: synthesize rows of every smaller class until all have as many as the largest.
 
-    The G = n_maj - n_min new rows are spread evenly: every minority row gets
-    G // n_min, and the G % n_min rows of smallest u one more.
+    The G new rows of a class of n are spread evenly: every row of it gets
+    G // n, and the G % n rows of smallest u one more.
     """
-    mino, _, n_min, n_maj = _minority(df, label)
-    G = n_maj - n_min
-    M = df.where(F.col(label) == F.lit(mino))
-    nn = knn(M, M, k, id_col, feat_col)
-    base = M.withColumn("__u", uniform(id_col, F.lit("base"), seed=seed))
-    q = base.sparkSession.createDataFrame([(mino, G % n_min)], f"{label} {dict(df.dtypes)[label]}, quota bigint")
-    base = quota_select(base, label, "__u", [id_col], q, flag="__extra")
-    base = base.withColumn("__quota", F.lit(G // n_min) + F.col("__extra").cast("int"))
-    new = _synthesise(base, "__quota", nn, M, k, id_col, feat_col, label, mino, seed)
-    return _originals(df, id_col, feat_col, label).unionByName(new)
+    out = _originals(df, id_col, feat_col, label)
+    for value, n, G in _to_grow(df, label):
+        M = df.where(F.col(label) == F.lit(value))
+        nn = knn(M, M, k, id_col, feat_col)
+        base = M.withColumn("__u", uniform(id_col, F.lit("base"), seed=seed))
+        q = base.sparkSession.createDataFrame([(value, G % n)], f"{label} {dict(df.dtypes)[label]}, quota bigint")
+        base = quota_select(base, label, "__u", [id_col], q, flag="__extra")
+        base = base.withColumn("__quota", F.lit(G // n) + F.col("__extra").cast("int"))
+        out = out.unionByName(_synthesise(base, "__quota", nn, M, k, id_col, feat_col, label, value, seed))
+    return out
 
 
 def adasyn(df: DataFrame, label: str, id_col: str = "id", feat_col: str = "features",
            k: int = C.ADASYN_K, seed: int = C.SEED) -> DataFrame:
-    """SM3: like SMOTE, with each minority row's share of the G new rows
-    proportional to the majority share among its k nearest rows of any class
-    (g_i = round-half-even(r_i / sum r * G)); no row has a majority neighbour ->
-    nothing is generated."""
-    mino, _, n_min, n_maj = _minority(df, label)
-    G = n_maj - n_min
-    M = df.where(F.col(label) == F.lit(mino))
-    around = knn(M, df, k, id_col, feat_col, keep_cols=[label])
-    ratio = around.groupBy("qid").agg(
-        (F.sum((F.col(label) != F.lit(mino)).cast("double")) / F.lit(float(k))).alias("__r"))
-    tot = ratio.agg(F.sum("__r").alias("__rs")).withColumn("__one", F.lit(1))
-    g = ratio.withColumn("__one", F.lit(1)).join(tot, "__one").drop("__one")
-    share = F.bround(F.col("__r") / F.col("__rs") * F.lit(float(G)), 0)
-    g = g.withColumn("__quota", F.when(F.col("__rs") > 0, share).otherwise(F.lit(0.0)).cast("int"))
-    base = M.join(g.select(F.col("qid").alias(id_col), "__quota"), id_col)
-    nn = knn(M, M, k, id_col, feat_col)
-    new = _synthesise(base, "__quota", nn, M, k, id_col, feat_col, label, mino, seed)
-    return _originals(df, id_col, feat_col, label).unionByName(new)
+    """SM3: like SMOTE, with each row's share of its class's G new rows
+    proportional to the share of other classes among its k nearest rows of any
+    class (g_i = round-half-even(r_i / sum r * G)); if no row has a neighbour of another
+    class, nothing is generated."""
+    out = _originals(df, id_col, feat_col, label)
+    for value, _, G in _to_grow(df, label):
+        M = df.where(F.col(label) == F.lit(value))
+        around = knn(M, df, k, id_col, feat_col, keep_cols=[label])
+        ratio = around.groupBy("qid").agg(
+            (F.sum((F.col(label) != F.lit(value)).cast("double")) / F.lit(float(k))).alias("__r"))
+        tot = ratio.agg(F.sum("__r").alias("__rs")).withColumn("__one", F.lit(1))
+        g = ratio.withColumn("__one", F.lit(1)).join(tot, "__one").drop("__one")
+        share = F.bround(F.col("__r") / F.col("__rs") * F.lit(float(G)), 0)
+        g = g.withColumn("__quota", F.when(F.col("__rs") > 0, share).otherwise(F.lit(0.0)).cast("int"))
+        base = M.join(g.select(F.col("qid").alias(id_col), "__quota"), id_col)
+        nn = knn(M, M, k, id_col, feat_col)
+        out = out.unionByName(_synthesise(base, "__quota", nn, M, k, id_col, feat_col, label, value, seed))
+    return out
 
 
 def edited_nearest_neighbours(df: DataFrame, label: str, id_col: str = "sample_id",

@@ -20,13 +20,13 @@ def expected_not_seen(expected: DataFrame, seen: DataFrame) -> DataFrame:
     """ST2: distinct expected values absent from the data (anti join on a bounded list)."""
     col = expected.columns[0]
     s = seen.select(F.col(seen.columns[0]).alias(col)).where(F.col(col).isNotNull())
-    return expected.distinct().join(s, on=col, how="left_anti")
+    return expected.distinct().join(s.distinct(), on=col, how="left_anti")
 
 
 def seen_not_expected(seen: DataFrame, expected: DataFrame) -> DataFrame:
     """ST3: distinct values in the data that are not expected."""
     col = seen.columns[0]
-    e = F.broadcast(expected.select(F.col(expected.columns[0]).alias(col)))
+    e = expected.select(F.col(expected.columns[0]).alias(col))
     return seen.where(F.col(col).isNotNull()).distinct().join(e, on=col, how="left_anti")
 
 

@@ -22,9 +22,10 @@ import math
 import time
 
 import numpy as np
+from pyspark.errors import PySparkException
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,10 +35,11 @@ from stormlake.plans.runs import run_row
 from stormlake.session import materialize
 
 LABEL = "disaster_occurred"
+MOST_DEPTH = 30  # Spark's trees go no deeper
 
 
 # --------------------------------------------------------------------------
-# search spaces (random draws, seeded)
+# search spaces (random draws, seeded); the ranges are fixed values
 # --------------------------------------------------------------------------
 def _draw_tree(rng: np.random.Generator) -> dict:
     return {"max_depth": int(rng.integers(2, 51)), "min_samples_split": int(rng.integers(2, 11)),
@@ -65,7 +67,7 @@ def _tree_estimator():
 
 def _tree_params(est, p: dict) -> dict:
     strategy = {None: "all", "sqrt": "sqrt", "log2": "log2"}[p["max_features"]]
-    return {est.maxDepth: min(p["max_depth"], 30), est.minInstancesPerNode: p["min_samples_leaf"],
+    return {est.maxDepth: min(p["max_depth"], MOST_DEPTH), est.minInstancesPerNode: p["min_samples_leaf"],
             est.featureSubsetStrategy: strategy}
 
 
@@ -81,7 +83,7 @@ def _boost_a_params(est, p: dict) -> dict:
 
 def _boost_b_params(est, p: dict) -> dict:
     depth = p["max_depth"] if p["max_depth"] > 0 else math.ceil(math.log2(p["num_leaves"]))
-    return {est.maxIter: p["n_estimators"], est.maxDepth: min(depth, 30),
+    return {est.maxIter: p["n_estimators"], est.maxDepth: min(depth, MOST_DEPTH),
             est.stepSize: p["learning_rate"], est.minInfoGain: p["min_gain_to_split"]}
 
 
@@ -96,8 +98,11 @@ MODELS = {
 # features and balancing
 # --------------------------------------------------------------------------
 def feature_columns(table: DataFrame, exclude: list[str] | None = None) -> list[str]:
+    """Numeric columns that have a value in some row (a column without any has no mean to fill it with)."""
     ex = set(exclude or []) | {LABEL}
-    return [c for c, t in table.dtypes if c not in ex and t in ("double", "int", "bigint", "float")]
+    cols = [c for c, t in table.dtypes if c not in ex and t in ("double", "int", "bigint", "float")]
+    some = table.agg(*[F.count(c).alias(c) for c in cols]).first() if cols else {}
+    return [c for c in cols if some[c] > 0]
 
 
 def _assemble(train: DataFrame, test: DataFrame, feats: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -109,13 +114,19 @@ def _assemble(train: DataFrame, test: DataFrame, feats: list[str]) -> tuple[Data
     return va.transform(imp.transform(train)), va.transform(imp.transform(test))
 
 
+def _numbered(rows: DataFrame, name: str) -> DataFrame:
+    """Add an id made of the row's values and, for rows equal in all of them, their number among these."""
+    h = rows.withColumn("__h", F.xxhash64("features", LABEL))
+    w = Window.partitionBy("__h").orderBy(LABEL)
+    return h.withColumn(name, F.xxhash64("__h", F.row_number().over(w))).drop("__h")
+
+
 def _balance(train: DataFrame, method: str | None, seed: int) -> DataFrame:
     """SM2-SM5 on assembled rows: features as an array, back to a vector."""
     if method is None:
         return train
-    rows = train.select(F.monotonically_increasing_id().alias("id"),
-                        vector_to_array("features").alias("features"), LABEL)
-    rows = materialize(rows)  # ids must stay fixed across the samplers' passes
+    rows = train.select(vector_to_array("features").alias("features"), LABEL)
+    rows = materialize(_numbered(rows, "id"))
     if method == "RandomUnderSampler":
         out = sampling.random_under_sample(rows, LABEL, ["id"], seed)
     elif method == "SMOTE":
@@ -126,7 +137,6 @@ def _balance(train: DataFrame, method: str | None, seed: int) -> DataFrame:
         out = sampling.smote_enn(rows, LABEL, seed=seed)
     else:
         raise ValueError(method)
-    from pyspark.ml.functions import array_to_vector
     return out.select(array_to_vector("features").alias("features"), F.col(LABEL).cast("double").alias(LABEL))
 
 
@@ -144,7 +154,8 @@ def search(est, maps: list[dict], train: DataFrame, seed: int = C.SEED, val_size
     """
     from multiprocessing.pool import ThreadPool
 
-    rows = materialize(train.withColumn("__rid", F.monotonically_increasing_id()))
+    arrays = train.withColumn("features", vector_to_array("features"))
+    rows = materialize(_numbered(arrays, "__rid").withColumn("features", array_to_vector("features")))
     parts = sampling.stratified_split(rows, LABEL, ["__rid"], test_size=val_size, seed=seed)
     fit_part = materialize(parts.where(F.col("split") == "train").select("features", LABEL))
     val_part = materialize(parts.where(F.col("split") == "test").select("features", LABEL))
@@ -164,8 +175,12 @@ def search(est, maps: list[dict], train: DataFrame, seed: int = C.SEED, val_size
 # --------------------------------------------------------------------------
 def train_one(spark: SparkSession, table: DataFrame, model: str, base: str, city: str,
               balancing: str | None = None, n_trials: int = C.N_TRIALS, seed: int = C.SEED,
-              id_cols: list[str] | None = None, parallelism: int = 8) -> tuple[DataFrame, DataFrame]:
-    """Split, balance, search, refit, score.  Returns (run row, test predictions)."""
+              id_cols: list[str] | None = None, parallelism: int = 8,
+              models_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Split, balance, search, refit, score.  Returns (run row, test predictions).
+
+    The run row holds the parameters that were used and the confusion counts; the
+    fitted model is saved under ``models_path`` by the run's id."""
     t0 = time.time()
     id_cols = id_cols or ["year", "month", "day"]
     feats = feature_columns(table, exclude=["city_id"])
@@ -192,17 +207,25 @@ def train_one(spark: SparkSession, table: DataFrame, model: str, base: str, city
     pred = materialize(pred)
     m = metrics.binary_metrics(pred).first().asDict()
     m["auc_roc"] = metrics.roc_auc(pred).first()["auc_roc"]
-    params = {"balancing_method": balancing or "None", **drawn[best_i],
+    used = {p.name: v for p, v in maps[best_i].items()}
+    params = {"balancing_method": balancing or "None", **used,
               "collumn_target": LABEL, "base": base, "city": city, "model": model}
+    cells = {f"count_{r['actual']}{r['predicted']}": r["count"] for r in metrics.confusion_matrix(pred).collect()}
     mets = {"precision": m["precision"], "recall": m["recall"], "f1_score": m["f1_score"],
-            "auc_roc": m["auc_roc"], "training_time": time.time() - t0}
-    return run_row(spark, f"DataBase_{base}", params, mets, t0), pred
+            "auc_roc": m["auc_roc"], "training_time": time.time() - t0, **cells}
+    row = run_row(spark, f"DataBase_{base}", params, mets, t0)
+    if models_path:
+        best.write().overwrite().save(f"{models_path}/{row.first()['run_id']}")
+    return row, pred
 
 
 def train_matrix(spark: SparkSession, tables: dict[tuple[str, str], DataFrame],
                  models: list[str] | None = None, balancers: list[str | None] | None = None,
-                 n_trials: int = C.N_TRIALS) -> DataFrame:
-    """PL11: every (source, city) table x balancer x model; one run row each."""
+                 n_trials: int = C.N_TRIALS, log=None, models_path: str | None = None) -> DataFrame:
+    """PL11: every (source, city) table x balancer x model; one run row each.
+
+    ``log`` gets each row as its run ends, so that a later failure loses none.  A
+    run that Spark or the data fail is recorded with its error, and the others go on."""
     models = models or list(MODELS)
     balancers = C.BALANCING_METHODS if balancers is None else balancers
     rows = []
@@ -210,11 +233,13 @@ def train_matrix(spark: SparkSession, tables: dict[tuple[str, str], DataFrame],
         for b in balancers:
             for m in models:
                 try:
-                    r, _ = train_one(spark, table, m, base, city, b, n_trials)
-                except ValueError as e:  # e.g. one class only: record, do not hide
+                    r, _ = train_one(spark, table, m, base, city, b, n_trials, models_path=models_path)
+                except (ValueError, PySparkException) as e:
                     r = run_row(spark, f"DataBase_{base}", {"balancing_method": b or "None",
                                 "model": m, "base": base, "city": city, "error": str(e)[:200]},
                                 {}, time.time(), status="FAILED")
+                if log:
+                    log(r)
                 rows.append(r)
     out = rows[0]
     for r in rows[1:]:

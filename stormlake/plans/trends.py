@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stormlake import config as C
@@ -38,6 +38,12 @@ def disasters_over_years(disasters: DataFrame, keys: list[str] | None = None,
                     "count_moving_average_sma", "count_moving_average_ema")
 
 
+def ranked(report: DataFrame, order: list, keys: list[str] | None = None) -> DataFrame:
+    """ST1: a report's presented order as a column (a report is a few rows a key)."""
+    w = Window.partitionBy(*(keys or [])).orderBy(*order)
+    return report.withColumn("report_rank", F.row_number().over(w))
+
+
 def disasters_by_year(disasters: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """AG2: rows per year (unparseable dates dropped)."""
     keys = keys if keys is not None else ["city_id"]

@@ -38,8 +38,9 @@ from pyspark.sql import functions as F
 
 from .common import Stages, open_store, partitions, pick, table, with_running_total
 
-VOLUME_BYTES = 64 << 20
-ROLL_BYTES = 8 << 20
+VOLUME_BYTES = 32 << 20
+ROLL_BYTES = 4 << 20
+MOST_VOLUMES = 1 << 16
 MIN_REVISIT = 0
 DATE = "1970-01-01T00:00:00Z"  # the tables hold no time of capture
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -112,45 +113,75 @@ class _File:
         return self.name, self.volume, self.no, self.records, self.bytes, self.sha1.hexdigest(), self.first, self.last
 
 
+def _assign(bounds: list):
+    """mapInArrow: add each row's volume, the last one that begins at its key or before."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        first = np.asarray(bounds, np.int64)
+        for batch in batches:
+            key = pc.fill_null(batch.column("key"), np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+            volume = np.maximum(np.searchsorted(first, key, side="right") - 1, 0)
+            yield batch.append_column("volume", pa.array(volume, pa.int64()))
+    return run
+
+
 def _writer(root: str, roll_bytes: int):
+    """mapInArrow over rows sorted by (volume, key, digest, kind): a plan row
+    comes before the pages it is about."""
     def run(batches):
-        names, file, done = [x.split()[0] for x in _MANIFEST.split(", ")], None, []
+        import pyarrow as pa
+        manifest = pa.schema([("file", pa.string()), ("volume", pa.int64()), ("no", pa.int32()), ("records", pa.int64()),
+                              ("bytes", pa.int64()), ("sha1", pa.string()), ("first_key", pa.int64()), ("last_key", pa.int64())])
+        file, plan, done = None, None, []
         for batch in batches:
-            for r in batch.to_pylist():
-                if file and (file.volume != r["volume"] or file.bytes >= roll_bytes):
-                    done.append(file.commit())
-                    same = file.volume == r["volume"]
-                    file = _File(root, r["volume"], file.no + 1 if same else 0)
-                file = file or _File(root, r["volume"], 0)
-                file.add(r["key"], record(r["key"], r["url"], r["payload"] or b"", r["digest"], r["n"], r["refers_to"]))
+            for lo in range(0, batch.num_rows, 256):
+                for r in batch.slice(lo, 256).to_pylist():
+                    if r["kind"] == 0:
+                        plan = r
+                        continue
+                    if file and (file.volume != r["volume"] or file.bytes >= roll_bytes):
+                        done.append(file.commit())
+                        same = file.volume == r["volume"]
+                        file = _File(root, r["volume"], file.no + 1 if same else 0)
+                    file = file or _File(root, r["volume"], 0)
+                    file.add(r["key"], record(r["key"], r["url"], r["payload"] or b"", r["digest"], plan["n"], plan["refers_to"]))
         if file:
             done.append(file.commit())
         if done:
-            yield pa.RecordBatch.from_pylist([dict(zip(names, d, strict=True)) for d in done], schema=manifest)
-    import pyarrow as pa
-    manifest = pa.schema([("file", pa.string()), ("volume", pa.int64()), ("no", pa.int32()), ("records", pa.int64()),
-                          ("bytes", pa.int64()), ("sha1", pa.string()), ("first_key", pa.int64()), ("last_key", pa.int64())])
+            yield pa.RecordBatch.from_pylist([dict(zip(manifest.names, d, strict=True)) for d in done], schema=manifest)
     return run
 
 
 def write_warc(pages: DataFrame, root: str, volume_bytes: int = VOLUME_BYTES, roll_bytes: int = ROLL_BYTES,
                min_revisit: int = MIN_REVISIT) -> DataFrame:
-    """Write pages(key, url, payload) under ``root``; returns the manifest."""
+    """Write pages(key, url, payload) under ``root``; returns the manifest.
+
+    There are at most MOST_VOLUMES volumes (larger ones if need be), so the list
+    of the keys they begin at stays small; by it the pages are dealt out in one
+    shuffle, together with the plan's rows."""
     spark = pages.sparkSession
     stages = Stages(spark, "warc")
     store, base = open_store(root)
     store.create_dir(base, recursive=True)
-    plan = decide(stages, pages, min_revisit).withColumn(
-        "size", F.when(F.col("refers_to").isNull(), F.col("n")).otherwise(F.lit(0)) + 512)
-    plan = with_running_total(stages, plan, ["key", "digest"], "size", "before")
-    plan = stages.save(plan.select("key", "digest", "n", "refers_to",
-                                   F.floor(F.col("before") / volume_bytes).alias("volume")).distinct(), "plan")
-    hashed = pages.withColumn("digest", F.sha1(F.coalesce(F.col("payload"), F.lit(b"")))).alias("p")
-    rows = (hashed.join(plan.alias("q"), F.expr("p.key <=> q.key AND p.digest = q.digest"))
-            .select("p.key", "p.url", F.when(F.expr("q.refers_to IS NULL"), F.col("p.payload")).alias("payload"),
-                    "p.digest", "q.n", "q.refers_to", "q.volume"))
-    rows = rows.repartition(partitions(spark), "volume").sortWithinPartitions("volume", "key", "digest")
-    rows.mapInArrow(_writer(root, roll_bytes), _MANIFEST).write.mode("overwrite").parquet(f"{root}/_manifest")
+    plan = stages.save(decide(stages, pages, min_revisit).withColumn(
+        "size", F.when(F.col("refers_to").isNull(), F.col("n")).otherwise(F.lit(0)) + 512), "plan")
+    total = plan.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    volume_bytes = max(volume_bytes, -(-total // MOST_VOLUMES))
+    cut = with_running_total(stages, plan.select("key", "size"), ["key"], "size", "before").groupBy(
+        F.floor(F.col("before") / volume_bytes).alias("volume")).agg(F.min("key").alias("first"))
+    bounds = [r["first"] if r["first"] is not None else -(1 << 63) for r in cut.orderBy("volume").collect()]
+
+    body = F.coalesce(F.col("payload"), F.lit(b""))
+    rows = pages.select("key", F.sha1(body).alias("digest"), F.lit(1).alias("kind"), "url", "payload",
+                        F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("refers_to"))
+    about = plan.select("key", "digest", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"),
+                        F.lit(None).cast("binary").alias("payload"), "n", "refers_to").distinct()
+    dealt = about.unionByName(rows).mapInArrow(
+        _assign(bounds), "key long, digest string, kind int, url string, payload binary, n long, refers_to long, volume long")
+    dealt = dealt.repartition(partitions(spark), "volume").sortWithinPartitions("volume", "key", "digest", "kind")
+    dealt.mapInArrow(_writer(root, roll_bytes), _MANIFEST).write.mode("overwrite").parquet(f"{root}/_manifest")
     return spark.read.parquet(f"{root}/_manifest")
 
 

@@ -20,5 +20,8 @@ QUERIES = {
 SQL = {
     "op2_topk": topk.OP2_SQL,
     "op3_decontaminate": decontaminate.OP3_SQL,
+    "op4_jaccard_join": jaccard_join.OP4_SQL,
+    "op5_suffix_dedup": suffix_dedup.OP5_SQL,
+    "op6_shards": shards.OP6_SQL,
     "op8_warc": warc.OP8_SQL,
 }

@@ -96,3 +96,21 @@ def write_shards(df: DataFrame, key: str, path: str, shards: int = SHARDS,
 def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_table(table(spark, sf_dir, "documents"), "doc_id", "text")
 
+
+
+OP6_SQL = """
+WITH RECURSIVE steps AS (SELECT range AS b, range::BIGINT AS c, 0 AS k FROM range(256)
+  UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
+tab AS (SELECT list(c ORDER BY b) AS t FROM steps WHERE k = 8),
+d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT doc_id, CAST(len(h) // 2 + 16 AS BIGINT) AS size, xor(list_reduce(
+    [4294967295] || [('0x' || substr(h, 2 * i - 1, 2))::BIGINT FOR i IN range(1, len(h) // 2 + 1)],
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS text_crc32 FROM d, tab),
+s AS (SELECT doc_id, i, -ln((CAST(('0x' || substr(md5(doc_id::VARCHAR || ':' || i), 1, 13))::BIGINT AS DOUBLE) + 0.5::DOUBLE)
+    / 4503599627370496::DOUBLE) AS score FROM documents, range(41) r(i)),
+w AS (SELECT doc_id, arg_min(i, score) FILTER (WHERE i < 40) AS shard, arg_min(i, score) AS grown_shard FROM s GROUP BY doc_id)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY md5(concat_ws(':', doc_id, size, text_crc32, shard, grown_shard))) - 1 AS slot,
+  CAST(grown_shard AS INTEGER) AS grown_shard
+FROM c JOIN w USING (doc_id)
+"""

@@ -24,6 +24,7 @@ written, in a fixed order, and are told apart in the index by their ordinal unde
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 
@@ -38,56 +39,99 @@ from .common import Stages, mix64, open_store, partitions, pick, table
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 BUCKET_KEYS = 50_000
-CACHE_WORDS = 300_000
+CACHE_PIECES = 800_000
 
 _U = np.uint64
 
 
 # --- encoding ---------------------------------------------------------------
 
+class _Pieces(dict):
+    """piece -> ids as bytes; a piece not seen before is encoded on look-up."""
+
+    def __init__(self, encode, most: int):
+        super().__init__()
+        self.encode, self.most = encode, most
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= self.most:
+            self.clear()
+        # punctuation after a letter is always a piece of its own
+        stem = piece.rstrip(_PUNCTUATION)
+        if stem and stem != piece and stem[-1].isalpha() and "|>" not in piece:
+            ids = self[stem] + self[piece[len(stem):]]
+        else:
+            ids = self.encode(piece)
+        self[piece] = ids
+        return ids
+
+
+_PUNCTUATION = '!"#$%&()*+,-./:;<=>?@[]^_`{|}~'
+#: Letters up to here have no composed forms to make and lower one by one.
+_NOT_PLAIN = re.compile("[\u0130\u0250-\U0010ffff]")
+
+
+def _byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: printable
+    ones stand for themselves, the others come from U+0100 on, in order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    out, other = [""] * 256, 0
+    for b in range(256):
+        if b in shown:
+            out[b] = chr(b)
+        else:
+            out[b], other = chr(0x100 + other), other + 1
+    return out
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class Encoder:
     """ids of a text by the tokenizers library, as bytes.
 
-    The vocabulary's rules drop white space and never join across it, and they
-    lower letters first, so a text's ids are those of its space-separated
-    pieces in a row, and ASCII pieces may be lowered beforehand.  Pieces that
-    come again are looked up instead of encoded again; ``_separable`` checks that the
-    tokenizer's rules are these, and without them whole texts are encoded.
+    The vocabulary's rules drop white space and never join across it, part
+    letters from punctuation, and lower letters first, so a text's ids are those
+    of its space-separated pieces in a row, and plain letters may be lowered
+    beforehand.  Pieces that come again are looked up instead of encoded again.
+    ``_separable`` checks that the tokenizer's rules are these; without them
+    whole texts are encoded.
     """
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, cache_pieces: int = CACHE_PIECES):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.separable = self._separable()
-        self.cache_words, self.cache = cache_words, {}
+        self.pieces = _Pieces(self._ids_of_piece, cache_pieces)
 
     def _separable(self) -> bool:
         import json
         rules = json.loads(self.tokenizer.to_str())
         norm = [x.get("type") for x in (rules["normalizer"] or {}).get("normalizers", [])]
-        split = [x for x in (rules["pre_tokenizer"] or {}).get("pretokenizers", []) if x["type"] == "Split"]
-        return (norm == ["NFC", "Replace", "Lowercase"] and len(split) == 1 and split[0]["behavior"] == "Removed"
-                and split[0]["invert"] and r"[^\s" in split[0]["pattern"]["Regex"]
-                and not any(" " in x["content"] for x in rules["added_tokens"]))
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, self.dtype).tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        steps = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
+        return (norm == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in steps] == ["Split", "ByteLevel"]
+                and steps[0]["behavior"] == "Removed" and steps[0]["invert"] and not steps[1]["add_prefix_space"]
+                and steps[0]["pattern"]["Regex"].endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+                and all(x["content"].endswith("|>") and " " not in x["content"] for x in rules["added_tokens"]))
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.asarray(ids, self.dtype).tobytes()
+
+    def _ids_of_piece(self, piece: str) -> bytes:
+        if piece.isalpha() and not _NOT_PLAIN.search(piece):  # one run of letters: nothing is left to split
+            letters = piece.lower()
+            if not letters.isascii():
+                letters = "".join(_BYTE_LETTERS[b] for b in letters.encode())
+            return self._bytes([t.id for t in self.tokenizer.model.tokenize(letters)])
+        return self._bytes(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
     def __call__(self, text: str) -> bytes:
         if not self.separable:
-            return self._ids([text])[0]
-        words = text.lower().split(" ") if text.isascii() else [
-            w.lower() if w.isascii() else w for w in text.split(" ")]
-        cache = self.cache
-        if new := set(words).difference(cache):
-            if len(cache) > self.cache_words:
-                cache.clear()
-                new = set(words)
-            new = list(new)
-            cache.update(zip(new, self._ids(new), strict=True))
-        return b"".join(map(cache.__getitem__, words))
+            return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if text.isascii() or not _NOT_PLAIN.search(text):
+            text = text.lower()
+        return b"".join(map(self.pieces.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 _ENCODERS: dict[str, Encoder] = {}

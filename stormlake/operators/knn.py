@@ -1,25 +1,26 @@
-"""Exact k-nearest neighbours without a cross join (SM6).
+"""Exact k-nearest neighbours (SM6).
 
 Points are projected onto one fixed unit direction ``u``; for any two points
 |u.(a-b)| <= ||a-b||, so every neighbour within radius r of a query lies within
 r of it on the projection.  The projection is cut into buckets of width w:
 
-1. candidates: the queries of bucket b meet the points of buckets b-1..b+1
-   (points are copied to their two neighbouring bucket keys; a cogroup on the
-   bucket key); the k best give a radius r_q;
+1. candidates: each query meets the points of its own and the two adjacent
+   buckets; the k best give a radius r_q;
 2. certification: if [p_q - r_q, p_q + r_q] lies inside the three buckets
    already searched, those k are exact;
-3. the other queries are copied to every bucket their band touches and meet
-   each bucket's points again; the best k over all their buckets are exact by
-   the bound above.  A query with fewer than k candidates searches the whole
-   bucket range.
-
-Each cogroup (one bucket) is a block of queries x points: distances are one
-numpy pass per dimension, summed left to right exactly as the SQL twin does,
-and the k best per query are kept (ties by neighbour id).  Spark partitions
-and shuffles the work by bucket; no group is larger than the queries and
-points of one bucket neighbourhood.  Bucket width is chosen from the point
-count so a bucket holds about ``bucket_size`` points.
+3. the other queries meet the points of every bucket their band touches; the k best
+   over all of these are exact by the bound above.  A query with fewer than k candidates
+   searches the whole bucket range.
+
+A bucket is never one group: its points and the queries sent to it are dealt
+by hash into blocks of at most about ``P_CHUNK`` points and ``Q_CHUNK`` queries, and every pair of
+blocks is one task's work, whatever the skew; the blocks' k best are merged by query.
+Distances are one numpy pass per dimension, summed left to right exactly as the
+SQL twin does (ties by neighbour id).
+
+What the bound saves depends on the data: where distances between
+neighbours are not small against the spread of the projection (as in many
+dimensions without structure), bands touch most buckets and nearly all pairs are compared.
 """
 
 from __future__ import annotations
@@ -138,12 +139,24 @@ def knn(queries: DataFrame, points: DataFrame, k: int, id_col: str = "id",
     Q = Q.withColumn("qb", F.floor(F.col("qp") / F.lit(w)))
     fn = _block_top_k(k, exclude_self, keep_cols, out_cols, *chunks)
 
+    def meet(asked: DataFrame) -> DataFrame:
+        """asked(jb, qid, qf): the k best of each query among the points of the buckets jb."""
+        q_size = asked.groupBy("jb").agg(F.count(F.lit(1)).alias("m"))
+        p_size = P.groupBy(F.col("nb").alias("jb")).agg(F.count(F.lit(1)).alias("n"))
+        cells = materialize(q_size.join(p_size, "jb").select(
+            "jb", F.ceil(F.col("m") / chunks[0]).cast("int").alias("sq"), F.ceil(F.col("n") / chunks[1]).cast("int").alias("sp")))
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        left = (asked.join(cells, "jb").withColumn("bq", F.pmod(F.xxhash64("qid"), F.col("sq")).cast("int"))
+                .withColumn("bp", every("sp")).select("jb", "bp", "bq", "qid", "qf"))
+        right = (P.withColumnRenamed("nb", "jb").join(cells, "jb")
+                 .withColumn("bp", F.pmod(F.xxhash64("nid"), F.col("sp")).cast("int"))
+                 .withColumn("bq", every("sq")).select("jb", "bp", "bq", "nid", "nf", *keep_cols))
+        part = left.groupBy("jb", "bp", "bq").cogroup(right.groupBy("jb", "bp", "bq")).applyInPandas(fn, schema)
+        return _final_top_k(part, k)
+
     # 1. own and adjacent buckets
-    P3 = P.withColumn("jb", F.explode(F.array(F.col("nb") - 1, F.col("nb"), F.col("nb") + 1)))
-    best = (Q.withColumn("jb", F.col("qb")).select("jb", "qid", "qf").groupBy("jb")
-              .cogroup(P3.select("jb", "nid", "nf", *keep_cols).groupBy("jb"))
-              .applyInPandas(fn, schema))
-    best = materialize(best)
+    near = F.explode(F.array(F.col("qb") - 1, F.col("qb"), F.col("qb") + 1))
+    best = materialize(meet(Q.select(near.alias("jb"), "qid", "qf")))
     rad = best.groupBy("qid").agg(F.count(F.lit(1)).alias("found"), F.max("dist2").alias("r2"))
     # 2. certify (a hair of slack against rounding in the projections)
     qr = Q.join(rad, "qid", "left")
@@ -158,10 +171,6 @@ def knn(queries: DataFrame, points: DataFrame, k: int, id_col: str = "id",
     b_hi = F.when(F.col("found") == k, F.floor((F.col("qp") + r) / F.lit(w))).otherwise(F.lit(hi_b))
     b_lo = F.greatest(b_lo, F.lit(lo_b)).cast("long")
     b_hi = F.least(b_hi, F.lit(hi_b)).cast("long")
-    q2 = todo.select(F.explode(F.sequence(b_lo, b_hi)).alias("jb"), "qid", "qf")
-    part = (q2.groupBy("jb")
-              .cogroup(P.select(F.col("nb").cast("long").alias("jb"), "nid", "nf", *keep_cols).groupBy("jb"))
-              .applyInPandas(fn, schema))
-    redo = _final_top_k(part, k)
+    redo = meet(todo.select(F.explode(F.sequence(b_lo, b_hi)).alias("jb"), "qid", "qf"))
     first = best.join(certified, "qid", "left_semi")
     return first.select(*out_cols).unionByName(redo.select(*out_cols))

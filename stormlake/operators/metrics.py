@@ -30,7 +30,8 @@ def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "predi
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
-            group_cols: list[str] | None = None, bucket_rows: int = 1 << 18) -> DataFrame:
+            group_cols: list[str] | None = None, buckets: int | None = None,
+            bucket_rows: int = 1 << 18) -> DataFrame:
     """AG13: exact ROC AUC by the rank-sum (Mann-Whitney) formula, ties at half.
 
     Ranks need a global order of the scores; it is split by quantile buckets of
@@ -45,7 +46,7 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
     g = group_cols or []
     d = df.select(*g, F.col(label).alias("__y"), F.col(score).cast("double").alias("__s"))
     d = d.where(F.col("__s").isNotNull())
-    buckets = max(2, -(-d.count() // bucket_rows))
+    buckets = buckets or max(2, -(-d.count() // bucket_rows))
     qd = QuantileDiscretizer(numBuckets=buckets, inputCol="__s", outputCol="__b",
                              relativeError=min(0.001, 0.25 / buckets), handleInvalid="keep")
     d = qd.fit(d).transform(d)

@@ -87,3 +87,33 @@ def test_smote_balances(spark):
     df = spark.createDataFrame(rows, "id long, features array<double>, y int")
     out = sampling.smote(df, "y").groupBy("y").count().collect()
     assert {r.y: r["count"] for r in out} == {0: 170, 1: 170}
+
+
+def test_auc_formula_beyond_64_bits(spark):
+    """Counts of four thousand million a class: their product passes 64 bits."""
+    n = 4_000_000_000
+    row = spark.createDataFrame([(n * (n + 1) / 2.0 + n * float(n), n, n)], "rsum double, np long, nn long")
+    assert abs(row.select(metrics.auc_of("rsum", "np", "nn").alias("a")).first().a - 1.0) < 1e-9
+
+
+def test_balancers_raise_every_class(spark):
+    from stormlake.operators import sampling
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(c, 1, 3).tolist(), c) for i, c in enumerate([0] * 10 + [1] * 20 + [2] * 70)]
+    df = spark.createDataFrame(rows, "id long, features array<double>, y int")
+    n = {r.y: r["count"] for r in sampling.smote(df, "y").groupBy("y").count().collect()}
+    assert n == {0: 70, 1: 70, 2: 70}
+
+
+def test_knn_many_equal_points_in_small_blocks(spark):
+    """One projection value for most points: blocks are small and the result exact."""
+    rows = [(i, [1.0, 2.0] if i < 60 else [float(i), 0.0]) for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, features array<double>")
+    got = knn(df, df, 3, chunks=(16, 8)).collect()
+    near = {}
+    for r in got:
+        near.setdefault(r.qid, []).append((r.dist2, r.nid))
+    p = {i: np.asarray(x) for i, x in rows}
+    for q, found in near.items():
+        exp = sorted((float(((p[q] - p[i]) ** 2).sum()), i) for i in p if i != q)[:3]
+        assert sorted(found) == exp

@@ -27,14 +27,19 @@ def _in_file_order(df, *order):
     return df.repartition("file").sortWithinPartitions("file", *order)
 
 
+def storm_files(spark, sf):
+    """Storm reports written as one CSV per city and scanned back."""
+    root = scratch_path(spark, "raw")
+    write_named_csv(_in_file_order(_reports(spark, sf), F.col("EVENT_ID").cast("long")), f"{root}/base_disaster")
+    return scan_raw(spark, root)["base_disaster"]
+
+
 @register("disaster_csv_silver", O.silver_disaster)
 def q_disaster_csv_silver(spark, sf):
     """SC5 -> SC6/SC1 -> SC7 -> PL4: storm reports written as one CSV per city,
     scanned back with the bad-line policy, identity parsed from file names; the
     first report of a day and type is the first of its file."""
-    root = scratch_path(spark, "raw")
-    write_named_csv(_in_file_order(_reports(spark, sf), F.col("EVENT_ID").cast("long")), f"{root}/base_disaster")
-    d = scan_raw(spark, root)["base_disaster"].withColumn("ordinal", F.col("row_order")).drop("granularity")
+    d = storm_files(spark, sf).drop("granularity")
     first = silver.silver_disaster(d.withColumn("ordinal", F.struct("row_order", F.col("EVENT_ID").cast("long").alias("id"))))
     return first.withColumn("ordinal", F.col("ordinal.id")).drop("source", "file", "city")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from stormlake import config as C
@@ -15,10 +17,12 @@ from stormlake.operators.aggregate import day_means, event_counts_per_file, year
 from stormlake.operators.joins import left_null_safe_suffixed
 from stormlake.operators.profile import distinct_values, null_percentages, schema_profile
 from stormlake.operators.project import head
-from stormlake.operators.sets import expected_not_seen, seen_not_expected, vocabulary
+from stormlake.operators.sets import expected_not_seen, seen_not_expected, union_all_by_name, vocabulary
 from stormlake.operators.window import duplicates_report
 from stormlake.plans import gold, trends
+from stormlake.session import materialize, scratch_path
 from stormlake.sources import fixtures as X
+from stormlake.sources.files import city_id_of, load_cities, load_stations
 
 SD = O.silver_disaster
 YEAR_SQL = "CAST(year(date) AS INTEGER)"
@@ -65,10 +69,21 @@ SELECT d.city_id, d.city, d.lat, d.lon, d.station, c.count FROM
   (SELECT city_id, count(*) AS count FROM ({SD()}) s GROUP BY city_id) c
 JOIN (VALUES {_CITY_ROWS}) d(city_id, city, lat, lon, station) ON c.city_id = d.city_id""")
 def q_disasters_by_city(spark, sf):
-    """AG5 with the city dimension (SC8/SC9) attached by a broadcast of 8 rows."""
+    """AG5 with the city and station dimensions loaded from their JSON files (SC8, SC9)."""
     counts = trends.disasters_by_city(silver_disaster_df(spark, sf))
-    return counts.join(F.broadcast(X.city_dim(spark)), "city_id").select(
-        "city_id", "city", "lat", "lon", "station", "count")
+    dim = _city_dim(spark)
+    return counts.join(dim, "city_id").select("city_id", "city", "lat", "lon", "station", "count")
+
+
+def _city_dim(spark):
+    """The dimensions as the source keeps them, one JSON array a file."""
+    def load(reader, rows):
+        path = scratch_path(spark, "dimension")
+        spark.createDataFrame([(json.dumps(rows, ensure_ascii=False),)], "value string").coalesce(1).write.text(path)
+        return reader(spark, path)
+    cities = load(load_cities, [{"city": c, "coordinates": list(C.CITY_COORDINATES[c])} for c in C.CITIES])
+    stations = load(load_stations, [{"city": c, "sation": C.CITY_STATIONS[c]} for c in C.CITIES])
+    return cities.join(stations, "city").withColumn("city_id", city_id_of(F.col("city")))
 
 
 _TYPE_COUNTS = ", ".join(f"count(*) FILTER (WHERE eventType = '{v}') AS \"{v}\"" for v in X.EVENT_TYPE_VALUES)
@@ -90,9 +105,10 @@ SELECT source_file, EVENT_TYPE, count, file_rows FROM (
         FROM ({X.STORM_EVENTS_RAW_SQL}) r) f GROUP BY source_file, EVENT_TYPE) x
 WHERE EVENT_TYPE IS NOT NULL""")
 def q_event_counts_per_file(spark, sf):
-    """AG7: event counts per raw file."""
-    raw = X.storm_events_raw(spark, sf).withColumn(
-        "source_file", F.concat(F.lower("CZ_NAME_STR"), F.lit("_storm_events.csv")))
+    """AG7: event counts per raw file, by the names of the files that are read."""
+    from stormlake.catalog.io import storm_files
+
+    raw = storm_files(spark, sf).withColumn("source_file", F.concat("file", F.lit(".csv")))
     return event_counts_per_file(raw, "source_file", "EVENT_TYPE").select(
         "source_file", "EVENT_TYPE", "count", "file_rows")
 
@@ -218,3 +234,73 @@ def q_value_key_join(spark, sf):
     means = day_means(silver_base3_hourly_df(spark, sf), ["city_id", "date"],
                       ["dewpoint", "relative_humidity", *_JN3_KEYS])
     return left_null_safe_suffixed(daily, means, ["city_id", *_JN3_KEYS])
+
+
+# --- PL9: the disaster report as one table -----------------------------------
+_REPORT_COLS = ["location", "date", "eventType"]
+_SILVER_COLS = ["city_id", *_REPORT_COLS]
+
+
+def _report_sql() -> str:
+    counts = [("by_year", f"CAST({YEAR_SQL} AS VARCHAR)", "item", "date IS NOT NULL"),
+              ("by_type", "eventType", "n, item", "eventType IS NOT NULL"),
+              ("by_season", O.season("date"), "item", "true")]
+    parts = [f"""SELECT '{name}' AS report, city_id, item, CAST(n AS DOUBLE) AS value,
+  row_number() OVER (PARTITION BY city_id ORDER BY {order}) AS report_rank FROM (
+  SELECT city_id, {item} AS item, count(*) AS n FROM s WHERE {keep} GROUP BY 1, 2)""" for name, item, order, keep in counts]
+    parts.append("""SELECT 'by_city' AS report, city_id, CAST(city_id AS VARCHAR) AS item, CAST(n AS DOUBLE) AS value,
+  row_number() OVER (ORDER BY n, city_id) AS report_rank FROM (SELECT city_id, count(*) AS n FROM s GROUP BY 1)""")
+    nulls = " UNION ALL ".join(
+        f"SELECT city_id, '{c}' AS item, round_even((count(*) - count({c})) / count(*) * 100.0::DOUBLE, 2) AS value FROM s GROUP BY 1"
+        for c in _REPORT_COLS)
+    parts.append(f"""SELECT 'null_pct' AS report, city_id, item, value,
+  row_number() OVER (PARTITION BY city_id ORDER BY value DESC, item) AS report_rank FROM ({nulls})""")
+    parts += [f"SELECT 'profile' AS report, NULL AS city_id, '{c}' AS item, CAST(count({c}) AS DOUBLE) AS value, {i} AS report_rank FROM s"
+              for i, c in enumerate(_SILVER_COLS)]
+    return f"WITH s AS ({SD()}) " + " UNION ALL ".join(parts)
+
+
+@register("disaster_report", _report_sql)
+def q_disaster_report(spark, sf):
+    """PL9 / ST1: profile, null shares and counts per year, type, season and city in
+    one table, each with the order in which it is presented."""
+    from stormlake.plans.jobs import report_tables
+
+    t = report_tables(materialize(silver_disaster_df(spark, sf).select(*_SILVER_COLS)))
+    value = {"by_year": ("year", "count"), "by_type": ("eventType", "count"), "by_season": ("season", "count"),
+             "by_city": ("city_id", "count"), "null_pct": ("column_name", "null_pct"), "profile": ("column_name", "non_null")}
+    parts = []
+    for name, (item, number) in value.items():
+        d = t[name]
+        if name == "profile":
+            d = d.withColumns({"city_id": F.lit(None).cast("int"), "report_rank": F.col("position")})
+        parts.append(d.select(F.lit(name).alias("report"), "city_id", F.col(item).cast("string").alias("item"),
+                              F.col(number).cast("double").alias("value"), F.col("report_rank").cast("long")))
+    return union_all_by_name(parts)
+
+
+# --- weather silver: duplicates and nulls, before and after the gap fill ------
+def _weather_quality_sql() -> str:
+    before = O.silver_base3_daily(-1.0)  # a gate that fills nothing
+    parts = [f"""SELECT city_id, '{stage}' AS stage, '{c}' AS column_name,
+  round_even((count(*) - count({c})) / count(*) * 100.0::DOUBLE, 2) AS null_pct FROM {stage} GROUP BY city_id"""
+             for stage in ("before", "after") for c in O.SILVER3_MEAS]
+    dup = """SELECT city_id, 'after' AS stage, 'duplicated dates' AS column_name, CAST(sum(CASE WHEN n > 1 THEN n ELSE 0 END) AS DOUBLE) AS null_pct
+  FROM (SELECT city_id, date, count(*) AS n FROM after GROUP BY 1, 2) GROUP BY city_id"""
+    return f"WITH before AS ({before}), after AS ({O.silver_base3_daily()}) " + " UNION ALL ".join([*parts, dup])
+
+
+@register("weather_quality", _weather_quality_sql)
+def q_weather_quality(spark, sf):
+    """AG8 / WN5 on weather silver: null shares per city and column before and after
+    the gap fill, and rows whose date is there more than once."""
+    from stormlake.plans.silver import silver_base3
+
+    raw = X.raw_base3_daily(spark, sf)
+    tables = {"before": materialize(silver_base3(raw, limit=-1.0)), "after": materialize(silver_base3(raw))}
+    parts = [null_percentages(d, O.SILVER3_MEAS, ["city_id"]).withColumn("stage", F.lit(name)) for name, d in tables.items()]
+    again = duplicates_report(tables["after"].select("city_id", "date"), ["city_id", "date"]).groupBy("city_id").count()
+    cities = tables["after"].select("city_id").distinct().join(again, "city_id", "left")
+    parts.append(cities.select("city_id", F.lit("after").alias("stage"), F.lit("duplicated dates").alias("column_name"),
+                               F.coalesce("count", F.lit(0)).cast("double").alias("null_pct")))
+    return union_all_by_name(parts)

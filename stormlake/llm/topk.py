@@ -75,7 +75,7 @@ class CoverTree:
             centres, near, owner = [centre], far.copy(), np.zeros(len(rows), np.int64)
             # the farthest point becomes a centre until all lie within the scale; a
             # node that would fall apart into few points a child stays a leaf
-            while near.max() > scale and len(centres) <= max(2, len(rows) // FEW):
+            while near.max() > scale and len(centres) <= max(2 * FEW, len(rows) // FEW):
                 centres.append(int(rows[int(near.argmax())]))
                 d = distance(rows, centres[-1])
                 closer = d < near
@@ -144,7 +144,7 @@ class Search:
                 continue
             if not qn_children and not dn_children:
                 self._score(qx, dx, data.ids, int(qlo), int(qhi), int(dlo), int(dhi))
-            elif dn_children and (not qn_children or data.radius[b] >= q.radius[a]):
+            elif dn_children and (not qn_children or data.radius[b] > 2 * q.radius[a]):  # queries part first
                 below = np.arange(dchild, dchild + dn_children)
                 ub = bound(a, below)
                 # the last pushed is the next taken: the most promising child

@@ -132,6 +132,11 @@ class Stages:
         self._paths[id(out)] = (out, path)
         return out
 
+    def keep(self, *tables: DataFrame) -> None:
+        """Delete all stage tables but these; what is left to run may read only these."""
+        kept = {id(t) for t in tables}
+        self.drop(*[t for i, (t, _) in list(self._paths.items()) if i not in kept])
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete these stage tables' files; nothing may read them afterwards."""
         for t in tables:

@@ -149,6 +149,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, rares
     vocabulary, phrases, parts = phrases_of(stages, items, window)
     postings = build_index(stages, docs, vocabulary)
     found = stages.save(phrase_matches(stages, postings, parts, rarest), "matches")
+    stages.keep(found, postings, vocabulary, phrases)
     hit = (found.select(*_DOC, F.explode(F.expr("sequence(start, start + length - 1)")).alias("pos"))
            .distinct().groupBy(*_DOC).agg(F.count(F.lit(1)).alias("n_hit")))
     names = (found.join(phrases, "phrase_id").groupBy(*_DOC)
@@ -168,6 +169,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", key
     vocabulary, _, parts = phrases_of(stages, items, window)
     found = phrase_matches(stages, build_index(stages, pick(docs, doc_id=key, text=text), vocabulary), parts)
     bad = stages.save(found.select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct(), "bad")
+    stages.keep(bad)
     return docs.join(bad, docs[key].eqNullSafe(bad["_bad_id"]) & (F.xxhash64(docs[text]) == bad["_bad_hash"]), "left_anti")
 
 

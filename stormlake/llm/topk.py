@@ -235,7 +235,8 @@ def search(stages: Stages, vectors: DataFrame, is_query: Column, k: int = K) ->
     queries = stages.save(plant(stages, asked, n_asked, QUERY_BLOCK), "queries")
     q_blocks, runs = queries.count(), -(-data.count() // RUN)
     if not q_blocks or not runs:
-        return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score")).limit(0)
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    stages.keep(data, queries)
     # every query block meets every run of data blocks under a key of their own
     left = data.select(F.floor(F.col("no") / RUN).alias("run"), "no", "tree",
                        F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("q"))

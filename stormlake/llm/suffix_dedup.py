@@ -113,27 +113,57 @@ def anchors(texts: list[bytes], length: int, gram: int) -> dict[str, np.ndarray]
             "g": h[a].view(np.int64), "r": region.view(np.int64)}
 
 
+def _later(rows: pd.DataFrame) -> np.ndarray:
+    """Rows of a batch whose region has an earlier place, at the same offsets, in the batch."""
+    g, r, span = (rows[c].to_numpy() for c in ("g", "r", "span"))
+    key = mix64(g.view(np.uint64) ^ mix64(r.view(np.uint64) + span.astype(np.uint64)))
+    _, of, times = np.unique(key, return_inverse=True, return_counts=True)
+    out = np.zeros(len(rows), bool)
+    i = np.flatnonzero(times[of] > 1)
+    if len(i):
+        doc = rows["doc_id"].iloc[i]
+        place = [~doc.isna().to_numpy(), doc.fillna(0).to_numpy(np.int64), rows["text_hash"].to_numpy()[i], rows["pos"].to_numpy()[i]]
+        keys = [g[i], r[i], span[i], *place]
+        by = np.lexsort(keys[::-1])
+        keys = [k[by] for k in keys]
+        new = np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys[:3]], axis=0)])
+        first = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
+        out[i[by]] = np.any([k != k[first] for k in keys[3:]], axis=0)
+    return out
+
+
 def _find_anchors(length: int, gram: int):
+    """mapInPandas: documents -> rows.  Rows that a batch already shows to be
+    repeats are done: they need no gram and are dealt out by their place, so a passage that
+    very many documents share sends one row a batch to its gram's task."""
     def run(batches):
         for pdf in batches:
-            pieces, names = [], []  # segments of texts, with (row, offset)
-            for i, text in enumerate(pdf["text"]):
-                for lo in range(0, max(1, len(text) - length + 1), SEGMENT):
-                    pieces.append(text[lo:lo + SEGMENT + length - 1])
-                    names.append((i, lo))
-            names = np.asarray(names, np.int64).reshape(-1, 2)
-            ids, hashes = pdf["doc_id"].astype("Int64"), pdf["text_hash"].to_numpy(np.int64)
-            for lo, hi in chunks(pieces):
-                got = anchors(pieces[lo:hi], length, gram)
-                if got:
-                    row, offset = names[lo:hi][got["text"]].T
-                    yield pd.DataFrame({
-                        "g": got["g"], "r": got["r"], "doc_id": ids.iloc[row].to_numpy(), "text_hash": hashes[row],
-                        "pos": got["pos"] + offset, "span": (got["lo"] << 8 | got["hi"]).astype(np.int32)}).astype({"doc_id": "Int64"})
+            found = list(one(pdf))
+            if found:
+                rows = pd.concat(found, ignore_index=True)
+                done = _later(rows)
+                spread = mix64(rows["pos"].to_numpy().view(np.uint64) ^ mix64(rows["text_hash"].to_numpy().view(np.uint64)))
+                yield rows.assign(g=np.where(done, spread.view(np.int64), rows["g"]), done=done)
+
+    def one(pdf):
+        pieces, names = [], []  # segments of texts, with (row, offset)
+        for i, text in enumerate(pdf["text"]):
+            for lo in range(0, max(1, len(text) - length + 1), SEGMENT):
+                pieces.append(text[lo:lo + SEGMENT + length - 1])
+                names.append((i, lo))
+        names = np.asarray(names, np.int64).reshape(-1, 2)
+        ids, hashes = pdf["doc_id"].astype("Int64"), pdf["text_hash"].to_numpy(np.int64)
+        for lo, hi in chunks(pieces):
+            got = anchors(pieces[lo:hi], length, gram)
+            if got:
+                row, offset = names[lo:hi][got["text"]].T
+                yield pd.DataFrame({
+                    "g": got["g"], "r": got["r"], "doc_id": ids.iloc[row].to_numpy(), "text_hash": hashes[row],
+                    "pos": got["pos"] + offset, "span": (got["lo"] << 8 | got["hi"]).astype(np.int32)}).astype({"doc_id": "Int64"})
     return run
 
 
-_ROW = "g long, r long, doc_id long, text_hash long, pos long, span int"
+_ROW = "g long, r long, doc_id long, text_hash long, pos long, span int, done boolean"
 
 
 def _split_repeats(batches):
@@ -142,6 +172,10 @@ def _split_repeats(batches):
     shares its gram with another region (not whole).  Holds one row back."""
     held = last = None  # the last region's first row, maybe to be given out; the last row's first place
     for pdf in batches:
+        done = pdf["done"].to_numpy(bool)
+        if done.any():
+            yield pdf[done].assign(whole=True).astype({"doc_id": "Int64"})
+            pdf = pdf[~done]
         if not len(pdf):
             continue
         n = len(pdf)
@@ -359,7 +393,7 @@ def repeated_starts(stages: Stages, docs: DataFrame, length: int = LENGTH, gram:
                        F.sha2(F.expr(f"substring(region, hi - o + 1, {length})"), 256).alias("digest")))
     place = F.struct("doc_id", "text_hash", "start")
     earliest = windows.groupBy("digest").agg(F.min(place).alias("place"))
-    rest = (windows.join(earliest, "digest").where(~place.eqNullSafe(F.col("place")))
+    rest = (windows.join(earliest.hint("merge"), "digest").where(~place.eqNullSafe(F.col("place")))
             .select(*_DOC, F.col("start").alias("first"), F.col("start").alias("last")))
     return whole.unionByName(part).unionByName(rest)
 
@@ -401,6 +435,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
                        F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text"))
     starts = repeated_starts(stages, rows, length, gram, hot)
     spans = stages.save(starts.groupBy(*_DOC).agg(F.collect_list(F.struct("first", "last")).alias("spans")), "spans")
+    stages.keep(spans)
     return (rows.alias("d").join(spans.alias("s"), _same_doc("d", "s"), "left").select("d.doc_id", "d.text", "s.spans")
             .mapInPandas(_cut_all(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
 
@@ -408,3 +443,22 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
     return remove_repeats(docs).drop("kept")
+
+
+OP5_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, i, md5_number(substr(h, CAST(2 * i + 1 AS BIGINT), 200)) AS s FROM (
+  SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM d)),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS n FROM p),
+e AS (SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, true) AS new FROM f WHERE n > 1),
+g AS (SELECT doc_id, i, sum(new::INTEGER) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM e),
+spans AS (SELECT doc_id, run, min(i) AS lo, max(i) + 100 AS hi FROM g GROUP BY doc_id, run),
+cuts AS (SELECT doc_id, run, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS before FROM spans),
+k AS (SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans, max(hi) AS last,
+    string_agg(substr(h, CAST(2 * before + 1 AS BIGINT), CAST(2 * (lo - before) AS BIGINT)), '' ORDER BY lo) AS head
+  FROM cuts JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, CAST(2 * coalesce(last, 0) + 1 AS BIGINT)))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""

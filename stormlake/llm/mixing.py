@@ -193,7 +193,8 @@ def mix(stages: Stages, rows: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCH
               .withColumn("n", F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.col("from"))
               .select("unit", "no", "block", (F.col("from") - F.col("start")).alias("start"), "n"))
 
-    slots = draw_shards(quotas, shard_blocks, seed).select(
+    # dealt out before a row becomes many slots: the planner judges by bytes and would take few tasks
+    slots = draw_shards(quotas, shard_blocks, seed).repartition(n, "no", "slot").select(
         "shard", "no", "n_blocks", F.explode(F.sequence(F.col("slot"), F.col("slot") + F.col("count") - 1)).alias("slot"))
     slots = slots.select("shard", "no", "slot", _block_of("slot", "n_blocks", "no", F.lit(seed)).alias("block"))
     return docs, slots, pieces
@@ -202,9 +203,10 @@ def mix(stages: Stages, rows: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCH
 def taken(docs: DataFrame, slots: DataFrame, pieces: DataFrame) -> DataFrame:
     """docs with ``taken``: the words of each row in the mix, repeats counted."""
     times = slots.groupBy("no", "block").agg(F.count(F.lit(1)).alias("times"))
-    got = (pieces.join(times, ["no", "block"]).groupBy("unit")
+    # the planner can't see how many rows the slots are, and would broadcast them
+    got = (pieces.join(times.hint("merge"), ["no", "block"]).groupBy("unit")
            .agg(F.sum(F.col("n") * F.col("times")).cast("long").alias("taken")))
-    return docs.join(got, "unit", "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
+    return docs.join(got.hint("merge"), "unit", "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
 
 
 def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **settings) -> DataFrame:
@@ -218,7 +220,9 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source"
     times = got.groupBy("doc_id", "source", "size").agg(
         F.floor(F.sum("taken") / (F.first("size") * F.count(F.lit(1))) + 0.5).cast("int").alias("n"))
     times = stages.save(times.where("n > 0").select(*[F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "source", "size", "n")]), "times")
-    here = docs.join(times, docs[key].eqNullSafe(times["_mix_doc_id"]) & docs[source].eqNullSafe(times["_mix_source"])
+    stages.keep(times)
+    # the same plan at every size: the rows are dealt out, not met by a broadcast while the table is small
+    here = docs.join(times.hint("merge"), docs[key].eqNullSafe(times["_mix_doc_id"]) & docs[source].eqNullSafe(times["_mix_source"])
                      & (words_in(docs[text]) == times["_mix_size"]))
     return here.select(*[docs[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col("_mix_n"))).alias("_mix_copy")).drop("_mix_copy")
 

@@ -40,7 +40,7 @@ from .components import components
 SHINGLE = 5
 SIMILARITY = 0.8
 COORDS = 64
-BUCKET = 128
+BUCKET = 512
 BRANCH = 1.5
 DEPTH = 6
 RECALL = 0.995
@@ -322,11 +322,12 @@ def _links(similarity: float):
 
 
 def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, bucket: int = BUCKET,
-                 block: int = BLOCK, branch: float = BRANCH, depth: int = DEPTH, coords: int = COORDS) -> DataFrame:
+                 block: int = BLOCK, branch: float = BRANCH, depth: int = DEPTH, coords: int = COORDS,
+                 stages: Stages | None = None) -> DataFrame:
     """docs(doc_id, text) -> a row a document row: doc_id, text_hash, class_id (smallest id
     of its class), n_links (documents at least so similar, copies included), n_shingles."""
     spark = docs.sparkSession
-    stages = Stages(spark, "jaccard")
+    stages = stages or Stages(spark, "jaccard")
     n = partitions(spark)
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     rows = stages.save(texts.mapInPandas(_sets_of(coords), "doc_id long, text_hash long, sid string, size int, sketch binary"), "rows")
@@ -341,7 +342,8 @@ def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float
     members = stages.save(clusters.join(sizes, "root").join(sets, clusters["node"] == sets["set_no"]).select(
         "set_no", F.col("root").alias("cluster"), "blocks", "copies", F.col("rep.doc_id").alias("doc_id"),
         F.col("rep.text_hash").alias("text_hash")), "members")
-    whole = (texts.alias("t").join(members.alias("m"), F.expr("t.doc_id <=> m.doc_id AND t.text_hash = m.text_hash"))
+    # the same plan at every size: the texts are dealt out by document, not met by a broadcast while there are few members
+    whole = (texts.alias("t").join(members.hint("merge").alias("m"), F.expr("t.doc_id <=> m.doc_id AND t.text_hash = m.text_hash"))
              .select("t.text", "m.set_no", "m.cluster", "m.blocks", "m.copies")
              .mapInPandas(_tokens, "set_no long, cluster long, blocks int, copies long, tokens binary"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -359,6 +361,7 @@ def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float
     first = named.groupBy("root").agg(F.min("rep").alias("first"))
     of = stages.save(named.join(first, "root").select("sid", "n_links", F.col("first.doc_id").alias("class_id"),
                                                       F.col("first.text_hash").alias("class_hash")), "classes")
+    stages.keep(rows, of)
     return rows.drop("sketch").join(of, "sid", "left").select(
         "doc_id", "text_hash", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(F.col("sid").isNull(), F.col("text_hash")).otherwise(F.col("class_hash")).alias("class_hash"),
@@ -369,13 +372,15 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", similarit
     """The rows of docs, with all their columns, less all but the first of each
     class (smallest id, then text hash) and all but one of rows that repeat id and text."""
     stages = Stages(docs.sparkSession, "jaccard")
-    joined = stages.save(jaccard_join(pick(docs, doc_id=key, text=text), similarity), "joined")
+    joined = stages.save(jaccard_join(pick(docs, doc_id=key, text=text), similarity, stages=stages), "joined")
     mine = ~(F.col("doc_id").eqNullSafe(F.col("class_id")) & F.col("text_hash").eqNullSafe(F.col("class_hash")))
     out = stages.save(joined.where(mine).select(F.col("doc_id").alias("_out_id"), F.col("text_hash").alias("_out_hash")).distinct(), "out")
     again = stages.save(joined.where(~mine & (F.col("n_shingles") > 0)).groupBy("doc_id", "text_hash").count().where("count > 1")
                         .select(F.col("doc_id").alias("_out_id"), F.col("text_hash").alias("_out_hash")), "again")
     same = lambda x: docs[key].eqNullSafe(x["_out_id"]) & (F.xxhash64(docs[text]) == x["_out_hash"])
-    kept = docs.join(out, same(out), "left_anti")
+    stages.keep(out, again)
+    # the same plan at every size, as for the texts above
+    kept = docs.join(out.hint("merge"), same(out), "left_anti")
     if again.isEmpty():
         return kept
     once = kept.join(again, same(again), "left_semi").dropDuplicates([key, text])
@@ -385,3 +390,19 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", similarit
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
     return jaccard_join(docs).select("doc_id", "class_id", "n_links", "n_shingles")
+
+
+OP4_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(len(w) - 4, 1) + 1)]) AS s
+  FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+t AS (SELECT doc_id, md5_number(unnest(s)) AS x FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM t a JOIN t b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 1000 * k >= 800 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS class_id FROM documents UNION SELECT e.b, r.class_id FROM r JOIN e ON e.a = r.doc_id)
+SELECT doc_id, min(class_id) AS class_id, any_value(coalesce(k, 0)) AS n_links, any_value(coalesce(n, 0)) AS n_shingles
+FROM r LEFT JOIN (SELECT a AS doc_id, count(*) AS k FROM e GROUP BY a) USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""

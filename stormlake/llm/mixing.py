@@ -209,22 +209,50 @@ def taken(docs: DataFrame, slots: DataFrame, pieces: DataFrame) -> DataFrame:
     return docs.join(got.hint("merge"), "unit", "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
 
 
-def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **settings) -> DataFrame:
+def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", seed: int = SEED,
+                    **settings) -> DataFrame:
     """The rows of docs, with all their columns, as the mix takes them: each as
-    many times as its words are taken, to the nearest whole number (a half counts
-    up); rows with less than half of their words taken are left out.  Rows equal
-    in key, source and size share what falls on them evenly."""
+    many times as its words are taken, rounded without bias: the share s = taken /
+    size gives floor(s + u) rows with u a fixed pseudorandom number in [0, 1) from
+    id, source and size.  So a source keeps its target in words on average
+    whatever the lengths of its texts.  Rows equal in id, source and size share
+    their rounded total evenly."""
     stages = Stages(docs.sparkSession, "mix")
     rows = pick(docs, doc_id=key, source=source, size=words_in(docs[text]))
-    got = taken(*mix(stages, rows, **settings)).where("size > 0")
-    times = got.groupBy("doc_id", "source", "size").agg(
-        F.floor(F.sum("taken") / (F.first("size") * F.count(F.lit(1))) + 0.5).cast("int").alias("n"))
-    times = stages.save(times.where("n > 0").select(*[F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "source", "size", "n")]), "times")
-    stages.keep(times)
-    # the same plan at every size: the rows are dealt out, not met by a broadcast while the table is small
-    here = docs.join(times.hint("merge"), docs[key].eqNullSafe(times["_mix_doc_id"]) & docs[source].eqNullSafe(times["_mix_source"])
-                     & (words_in(docs[text]) == times["_mix_size"]))
-    return here.select(*[docs[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col("_mix_n"))).alias("_mix_copy")).drop("_mix_copy")
+    got = taken(*mix(stages, rows, seed=seed, **settings)).where("size > 0")
+    # 32 bits, so that share + u is exact enough to stay below the next whole number
+    u = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "source", "size"), 32) / F.lit(float(1 << 32))
+    times = (got.groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("taken"), F.count(F.lit(1)).alias("copies"))
+             .withColumn("total", F.floor(F.col("taken") / F.col("size") + u)).where("total > 0"))
+    times = stages.save(times.select(*[F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "source", "size", "copies", "total")],
+                                     F.monotonically_increasing_id().alias("_mix_no")), "times")
+
+    def meet(times):
+        # the same plan at every size: the rows are dealt out, not met by a broadcast while the table is small
+        return docs.join(times.hint("merge"), docs[key].eqNullSafe(times["_mix_doc_id"]) & docs[source].eqNullSafe(times["_mix_source"])
+                         & (words_in(docs[text]) == times["_mix_size"]))
+
+    def repeat(here, n):
+        return here.select(*[here[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), n.cast("int"))).alias("_mix_copy")).drop("_mix_copy")
+
+    single, several = times.where("_mix_copies = 1"), times.where("_mix_copies > 1")
+    if several.isEmpty():
+        stages.keep(times)
+        return repeat(meet(single), F.col("_mix_total"))
+    # number the equal rows: dealt into parts, so that many of them are not one task's work
+    n = partitions(docs.sparkSession)
+    equal = stages.save(meet(several).select(*[docs[c] for c in docs.columns], "_mix_no", "_mix_copies", "_mix_total",
+                                             F.monotonically_increasing_id().alias("_mix_row"))
+                        .withColumn("_mix_part", F.pmod("_mix_row", F.lit(n))), "equal")
+    stages.keep(times, equal)
+    before = W.partitionBy("_mix_no").orderBy("_mix_part").rowsBetween(W.unboundedPreceding, -1)
+    parts = equal.groupBy("_mix_no", "_mix_part").agg(F.count(F.lit(1)).alias("n")).select(
+        "_mix_no", "_mix_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_mix_before"))
+    inside = W.partitionBy("_mix_no", "_mix_part").orderBy("_mix_row")
+    placed = (equal.withColumn("_mix_inside", F.row_number().over(inside)).join(parts.hint("merge"), ["_mix_no", "_mix_part"])
+              .withColumn("_mix_to", F.col("_mix_before") + F.col("_mix_inside")))
+    share = F.expr("_mix_to * _mix_total div _mix_copies - (_mix_to - 1) * _mix_total div _mix_copies")
+    return repeat(meet(single), F.col("_mix_total")).unionByName(repeat(placed, share))
 
 
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -409,6 +409,26 @@ def test_mixed_documents(spark):
     assert mixing.mixed_documents(empty(spark)).count() == 0
 
 
+def test_mixed_documents_meet_targets_with_long_texts(spark):
+    """Sources of long texts only: a source whose target is a third of its size keeps about that many words."""
+    rows = [(i, words(640 + i % 7, i % 20), "en", "abc"[i % 3], 1) for i in range(600)]
+    rows += [(None, words(700, 1), "en", "c", 1)] * 60 + [(None, words(500, i), "en", "b", 1) for i in range(60)]
+    size = lambda t: len(t.split(" "))
+    sizes, out = collections.defaultdict(int), collections.defaultdict(int)
+    for _, t, _, s, _ in rows:
+        sizes[s] += size(t)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = mixing.mixed_documents(df).collect()
+    for r in kept:
+        out[r.source] += size(r.text)
+    for s, t in _targets(sizes).items():
+        assert abs(out[s] - t) <= 0.15 * t, (s, sizes[s], t, out[s])
+    # equal rows share their total: 60 rows of c at a third are neither all left out nor all kept
+    assert 5 <= sum(r.doc_id is None and r.source == "c" for r in kept) <= 40
+    again = mixing.mixed_documents(df.repartition(5)).collect()
+    assert collections.Counter((r.doc_id, r.source) for r in kept) == collections.Counter((r.doc_id, r.source) for r in again)
+
+
 # --- op8 ---------------------------------------------------------------------
 
 def _pages(spark, rows):

@@ -9,7 +9,8 @@ are one set with a number of copies.  Each set is embedded as ``COORDS`` minimum
    so two sets share a child with probability their similarity for each
    sampled coordinate.  Nodes of one set end.  Small nodes, and those of
    ``DEPTH`` levels whatever their size, are compared by brute force on the embedded sets,
-   with a threshold far enough below the similarity wanted.  Runs are repeated
+   with a threshold far enough below the similarity wanted; a node of more than
+   ``NODE_BLOCK`` sets in blocks against blocks, each pair of blocks a group of its own.  Runs are repeated
    until a pair at that similarity has been together with probability ``RECALL``.
 2. Clusters.  The pairs found tie sets into clusters (of each node's pairs, a
    spanning forest is enough).  No pair list is ever made.
@@ -45,6 +46,7 @@ BRANCH = 1.5
 DEPTH = 6
 RECALL = 0.995
 BLOCK = 512
+NODE_BLOCK = 2048
 
 _U = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -192,27 +194,47 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
+def _starts(pdf, cols: list[str]) -> np.ndarray:
+    """First rows of the groups among rows sorted by cols."""
+    key = pdf[cols].to_numpy()
+    return np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1)])) if len(key) else np.zeros(0, np.int64)
+
+
 def _pairs_in_nodes(least: float, similarity: float):
-    """mapInPandas over rows sorted by node: ties of sets that look similar."""
+    """mapInPandas over rows sorted by (node, i, j): ties of sets that look similar.
+    Pairs already tied through others are not compared again, and what is found
+    is reduced to a spanning forest as it grows."""
     def solve(pdf):
-        node, size, m = pdf["node"].to_numpy(), pdf["size"].to_numpy(np.int64), _matrix(pdf["sketch"])
-        new = np.concatenate([[True], node[1:] != node[:-1]])
-        end = np.concatenate([np.flatnonzero(new)[1:], [len(node)]])[np.cumsum(new) - 1]
-        found_a, found_b = [], []
-        live = np.arange(len(node))
+        size, m, block = pdf["size"].to_numpy(np.int64), _matrix(pdf["sketch"]), pdf["block"].to_numpy()
+        new = _starts(pdf, ["node", "i", "j"])
+        end = np.repeat(np.append(new[1:], len(pdf)), np.diff(np.append(new, len(pdf))))
+        across = (pdf["i"] != pdf["j"]).to_numpy()  # pairs inside a block are compared in that block's own group
+        found_a, found_b, n_found = [], [], 0
+        root = np.arange(len(pdf))
+        live = np.arange(len(pdf))
         off = 1
+
+        def forest():
+            # the forest so far (each row and its root) and the new pairs
+            a, b = np.concatenate([np.arange(len(root)), *found_a]), np.concatenate([root, *found_b])
+            return local_roots(len(root), a, b)
+
         while len(live := live[live + off < end[live]]):
             for lo in range(0, len(live), 1 << 16):
                 i = live[lo:lo + (1 << 16)]
                 j = i + off
-                i, j = (x[np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j])] for x in (i, j))
+                open_ = ((np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]))
+                         & (root[i] != root[j]) & ~(across[i] & (block[i] == block[j])))
+                i, j = i[open_], j[open_]
                 near = (m[i] == m[j]).sum(1) >= least * m.shape[1]
                 found_a.append(i[near])
                 found_b.append(j[near])
+                n_found += int(near.sum())
+            if n_found >= max(1 << 14, len(root)):
+                root, found_a, found_b, n_found = forest(), [], [], 0
             off += 1
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (found_a, found_b))
-        root = local_roots(len(node), a, b)
-        tied = np.flatnonzero(root != np.arange(len(node)))
+        root = forest()
+        tied = np.flatnonzero(root != np.arange(len(pdf)))
         no = pdf["set_no"].to_numpy()
         return pd.DataFrame({"a": no[tied], "b": no[root[tied]]}).drop_duplicates()
 
@@ -220,18 +242,18 @@ def _pairs_in_nodes(least: float, similarity: float):
         held = None
         for pdf in batches:
             held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            node = held["node"].to_numpy()
-            if len(held) and node[0] != node[-1]:
-                cut = int(np.flatnonzero(node != node[-1])[-1]) + 1
-                yield solve(held[:cut])
-                held = held[cut:].reset_index(drop=True)
+            new = _starts(held, ["node", "i", "j"])
+            if len(new) > 1:
+                yield solve(held[:new[-1]].reset_index(drop=True))
+                held = held[new[-1]:].reset_index(drop=True)
         if held is not None and len(held):
             yield solve(held)
     return run
 
 
 def candidate_ties(stages: Stages, sets: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL,
-                   bucket: int = BUCKET, branch: float = BRANCH, depth: int = DEPTH, coords: int = COORDS) -> DataFrame:
+                   bucket: int = BUCKET, branch: float = BRANCH, depth: int = DEPTH, coords: int = COORDS,
+                   node_block: int = NODE_BLOCK) -> DataFrame:
     """sets(set_no, size, sketch) -> (a, b): ties of sets that may be similar."""
     n = partitions(sets.sparkSession)
     frontier = sets.select("set_no", "sketch").mapInPandas(
@@ -243,7 +265,7 @@ def candidate_ties(stages: Stages, sets: DataFrame, similarity: float = SIMILARI
         placed = stages.save(frontier.join(sizes, "node"), f"placed{level}")
         stages.drop(frontier)
         last = level == depth
-        leaves.append((placed if last else placed.where(F.col("n") <= bucket)).select("node", "set_no"))
+        leaves.append((placed if last else placed.where(F.col("n") <= bucket)).select("node", "set_no", "n"))
         large = placed.where(F.col("n") > bucket)
         if last or large.isEmpty():
             break
@@ -254,7 +276,12 @@ def candidate_ties(stages: Stages, sets: DataFrame, similarity: float = SIMILARI
         found = found.unionByName(x)
     # four standard deviations of the estimate below the similarity
     least = similarity - 4 * math.sqrt(similarity * (1 - similarity) / coords)
-    return (found.join(sets, "set_no").select("node", "set_no", "size", "sketch").repartition(n, "node").sortWithinPartitions("node")
+    blocks = F.ceil(F.col("n") / max(bucket, node_block)).cast("int")
+    dealt = (found.join(sets, "set_no").withColumn("block", F.pmod(F.xxhash64("set_no"), blocks).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .select("node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                     "block", "set_no", "size", "sketch"))
+    return (dealt.repartition(n, "node", "i", "j").sortWithinPartitions("node", "i", "j")
             .mapInPandas(_pairs_in_nodes(least, similarity), "a long, b long"))
 
 
@@ -323,7 +350,7 @@ def _links(similarity: float):
 
 def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, bucket: int = BUCKET,
                  block: int = BLOCK, branch: float = BRANCH, depth: int = DEPTH, coords: int = COORDS,
-                 stages: Stages | None = None) -> DataFrame:
+                 stages: Stages | None = None, node_block: int = NODE_BLOCK) -> DataFrame:
     """docs(doc_id, text) -> a row a document row: doc_id, text_hash, class_id (smallest id
     of its class), n_links (documents at least so similar, copies included), n_shingles."""
     spark = docs.sparkSession
@@ -336,7 +363,7 @@ def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float
         F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("copies"),
         F.min(key).alias("rep")).withColumn("set_no", F.monotonically_increasing_id()), "sets")
 
-    ties = candidate_ties(stages, sets.select("set_no", "size", "sketch"), similarity, recall, bucket, branch, depth, coords)
+    ties = candidate_ties(stages, sets.select("set_no", "size", "sketch"), similarity, recall, bucket, branch, depth, coords, node_block)
     clusters = stages.save(components(stages, ties), "clusters")
     sizes = clusters.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     members = stages.save(clusters.join(sizes, "root").join(sets, clusters["node"] == sets["set_no"]).select(

@@ -242,6 +242,28 @@ def test_jaccard_join_equals_brute_force(spark):
         assert sorted((tuple(r) for r in got.select("doc_id", "class_id", "n_links", "n_shingles").collect()), key=str) == _classes(rows)
 
 
+def test_jaccard_last_level_nodes_are_compared_in_blocks(spark, monkeypatch):
+    """Near copies stay together through all levels; no task's group holds more than two blocks of them."""
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate(_family(60, 150, 4) + _family(61, 20, 3))]
+    real = jaccard_join._pairs_in_nodes
+
+    def bounded(*args):
+        solve = real(*args)
+
+        def run(batches):
+            def seen():
+                for pdf in batches:
+                    sizes = pdf.groupby([c for c in ("node", "i", "j") if c in pdf]).size()
+                    assert not len(sizes) or sizes.max() <= 48, sizes.max()
+                    yield pdf
+            yield from solve(seen())
+        return run
+
+    monkeypatch.setattr(jaccard_join, "_pairs_in_nodes", bounded)
+    got = jaccard_join.jaccard_join(narrow(messy(spark, rows)), recall=0.9999, bucket=12, block=16, node_block=12)
+    assert sorted((tuple(r) for r in got.select("doc_id", "class_id", "n_links", "n_shingles").collect()), key=str) == _classes(rows)
+
+
 def test_jaccard_keep_one(spark):
     kept = jaccard_join.keep_one(messy(spark))
     ids = [r.doc_id for r in kept.collect()]

@@ -124,15 +124,24 @@ def _finish(q) -> None:
         raise RuntimeError(str(q.exception()))
 
 
+# files of one stream with three header layouts: more columns, filled or empty, and other orders
+_STREAM_LAYOUTS = [["EVENT_ID", "CZ_NAME_STR", "BEGIN_DATE", "EVENT_TYPE", "EVENT_NARRATIVE"],
+                   ["EVENT_TYPE", "EVENT_ID", "BEGIN_DATE", "CZ_NAME_STR", "EVENT_NARRATIVE", "MAGNITUDE"],
+                   ["BEGIN_DATE", "DEATHS", "EVENT_ID", "EVENT_TYPE", "CZ_NAME_STR", "EVENT_NARRATIVE"]]
+
+
 @register("disaster_stream_silver", O.silver_disaster)
 def q_disaster_stream_silver(spark, sf):
-    """Structured Streaming: storm-report CSV files picked up by a file stream
+    """Structured Streaming: storm-report CSV files of three header layouts picked up by a file stream
     (available-now trigger, three files a batch), PL4 applied per micro-batch in
     ``foreachBatch``, batches merged on read."""
     from stormlake.streaming.ingest import read_silver_disaster, silver_disaster_stream
 
     root = scratch_path(spark, "stream-raw")
-    write_named_csv(_reports(spark, sf).repartition("file"), root)
+    reports = _reports(spark, sf).withColumns({"MAGNITUDE": F.lit("1.5"), "DEATHS": F.lit(None).cast("string")})
+    for i, layout in enumerate(_STREAM_LAYOUTS):
+        part = reports.where(F.pmod(F.crc32(F.col("file").cast("binary")), F.lit(3)) == i)
+        write_named_csv(part.select(*layout, "file").repartition("file"), root, mode="append")
     out = scratch_path(spark, "stream-silver")
     _finish(silver_disaster_stream(spark, root, out, scratch_path(spark, "stream-ckpt"), max_files=3))
     return read_silver_disaster(spark, out)

@@ -76,18 +76,24 @@ def with_identity(df: DataFrame) -> DataFrame:
 HEADER_BYTES = 1 << 16  # of a file's beginning, read to find its header line
 
 
-def csv_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+def csv_headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
     """Header -> the CSV files under ``path`` (a folder or glob, read through
-    subfolders) that have it.
+    subfolders; or a list of files) that have it.
 
     Only each file's first bytes are read, by the file system's client on the
     driver: one list of file names and one line a file.  Empty files have no
     header and are left out; a missing location gives no files."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
     found: dict[tuple[str, ...], list[str]] = {}
-    todo = [x.getPath() for x in (fs.globStatus(root) or [])]
+    if isinstance(path, list):
+        todo = [jvm.org.apache.hadoop.fs.Path(p) for p in path]
+        if not todo:
+            return found
+        fs = todo[0].getFileSystem(conf)
+    else:
+        root = jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(conf)
+        todo = [x.getPath() for x in (fs.globStatus(root) or [])]
     files = []
     while todo:
         at = todo.pop()
@@ -120,9 +126,9 @@ def _unique(names: tuple[str, ...]) -> list[str]:
     return out
 
 
-def read_csv_lenient(spark: SparkSession, path: str, columns: list[str] | None = None,
+def read_csv_lenient(spark: SparkSession, path: str | list[str], columns: list[str] | None = None,
                      numeric: list[str] | None = None, multi_line: bool = False) -> DataFrame:
-    """Read the CSV files under ``path``, each by the names in its own header.
+    """Read the CSV files under ``path`` (or the listed files), each by the names in its own header.
 
     Files are read in one scan for each different header and put together by name;
     a column that a file lacks is null there.  ``columns`` keeps the named ones

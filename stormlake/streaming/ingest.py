@@ -7,7 +7,9 @@ the result does not depend on how files fall into batches, and no batch
 rewrites what earlier ones wrote.
 
 * ``silver_disaster_stream`` / ``read_silver_disaster``: a file stream of
-  storm-report CSVs.  A file is never split between batches, so the per-file
+  storm-report CSVs.  The stream carries the files' paths; each batch reads its
+  files by the names in their own headers, as the batch job does, whatever their
+  layouts.  A file is never split between batches, so the per-file
   date format is chosen within one; each batch is reduced to its first report
   of every (city, date, event type), and the first over all batches is taken on read.
 * ``day_partials_to_parquet`` / ``read_day_means``: AG1 on arriving hourly
@@ -20,41 +22,49 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stormlake import config as C
 from stormlake.plans.silver import merge_first, silver_disaster
-from stormlake.sources.files import OVERFLOW, with_identity
+from stormlake.sources.files import csv_headers, read_csv_lenient
 
-DISASTER_COLS = ["EVENT_ID", "CZ_NAME_STR", "BEGIN_DATE", "EVENT_TYPE", "EVENT_NARRATIVE"]
+DISASTER_COLS = ["EVENT_ID", *C.DISASTER_SELECT]
 
 
-def raw_disaster_stream(spark: SparkSession, path: str, columns: list[str] | None = None,
-                        max_files: int | None = None) -> DataFrame:
-    """File stream of storm-report CSVs with the header ``columns`` (a stream's
-    schema is fixed, so one stream reads files of one header)."""
-    columns = columns or DISASTER_COLS
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
-                          + [T.StructField(OVERFLOW, T.StringType())])
-    reader = spark.readStream.schema(schema).options(
-        header=True, multiLine=True, escape='"', mode="PERMISSIVE", recursiveFileLookup=True, pathGlobFilter="*.csv")
+def raw_disaster_paths(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """File stream of the paths of storm-report CSVs (a stream's schema is fixed,
+    the files' headers are not); contents are not read here."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    reader = spark.readStream.format("binaryFile").schema(schema).options(recursiveFileLookup=True, pathGlobFilter="*.[cC][sS][vV]")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    df = with_identity(reader.csv(path)).where(F.col(OVERFLOW).isNull()).drop(OVERFLOW)
-    return df.withColumns({c: F.when(F.col(c).isin(C.NULL_TOKENS), F.lit(None)).otherwise(F.col(c))
-                           for c in columns})
+    return reader.load(path).select("path")
+
+
+def read_disaster_files(spark: SparkSession, files: list[str]) -> DataFrame | None:
+    """Raw storm reports of the files, by name; None if all are empty.  A file
+    without one of the columns that are needed raises."""
+    headers = csv_headers(spark, files)
+    for header, having in headers.items():
+        if missing := [c for c in DISASTER_COLS if c not in header]:
+            raise ValueError(f"no column {', '.join(missing)} in {having[0]}")
+    if not headers:
+        return None
+    return read_csv_lenient(spark, files, DISASTER_COLS, multi_line=True).drop("granularity", "row_order")
 
 
 def silver_disaster_stream(spark: SparkSession, raw_path: str, out_path: str, checkpoint: str,
-                           available_now: bool = True, columns: list[str] | None = None,
-                           max_files: int | None = None) -> StreamingQuery:
+                           available_now: bool = True, max_files: int | None = None) -> StreamingQuery:
     """Start the raw storm-report -> silver stream (PL4 per micro-batch)."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        s = silver_disaster(batch.drop("granularity").withColumn("ordinal", F.col("EVENT_ID").cast("long")))
+        session = batch.sparkSession
+        raw = read_disaster_files(session, [r["path"] for r in batch.collect()])
+        if raw is None:
+            raw = session.createDataFrame([], ", ".join(f"{c} string" for c in [*DISASTER_COLS, "source", "file", "city"]) + ", city_id int")
+        s = silver_disaster(raw.withColumn("ordinal", F.col("EVENT_ID").cast("long")))
         s.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
-    w = (raw_disaster_stream(spark, raw_path, columns, max_files).writeStream
+    w = (raw_disaster_paths(spark, raw_path, max_files).writeStream
          .foreachBatch(write_batch).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

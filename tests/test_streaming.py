@@ -22,6 +22,25 @@ def test_disaster_stream_available_now(spark, tmp_path):
         ("2020-02-01", "Hail", 1), ("2020-02-13", "Flood", 3)]
 
 
+def test_disaster_stream_reads_each_file_by_its_header(spark, tmp_path):
+    """More columns (filled and empty) and another order: no row lost, none under wrong names."""
+    files = {"dallas_a": "EVENT_ID,CZ_NAME_STR,BEGIN_DATE,EVENT_TYPE,EVENT_NARRATIVE,MAGNITUDE\n"
+                         "1,DALLAS,2020-01-01,Hail,x,1.5\n2,DALLAS,2020-01-02,Flood,x,\n",
+             "dallas_b": "MAGNITUDE,EVENT_TYPE,BEGIN_DATE,EVENT_ID,EVENT_NARRATIVE,CZ_NAME_STR\n"
+                         "2,Hail,2020-01-03,3,y,DALLAS\n,Flood,2020-01-04,4,y,DALLAS\n",
+             "dallas_c": ""}
+    for name, text in files.items():
+        folder = tmp_path / "raw" / f"file={name}"
+        os.makedirs(folder)
+        (folder / "part.csv").write_text(text)
+    for most in (1, 3):
+        out = scratch_path(spark, "stream-out")
+        q = silver_disaster_stream(spark, str(tmp_path / "raw"), out, scratch_path(spark, "stream-ckpt"), max_files=most)
+        q.awaitTermination(120)
+        got = sorted((str(r.date), r.eventType, r.ordinal) for r in read_silver_disaster(spark, out).collect())
+        assert got == [("2020-01-01", "Hail", 1), ("2020-01-02", "Flood", 2), ("2020-01-03", "Hail", 3), ("2020-01-04", "Flood", 4)]
+
+
 def test_hourly_means_stream(spark, tmp_path):
     src = tmp_path / "hourly"
     spark.createDataFrame([(0, "2020-01-01 01:00:00", 1.0), (0, "2020-01-01 05:00:00", 3.0),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (decontaminate, jaccard_join, mixing, quality, shards, suffix_dedup, token_counts,
+from . import (decontaminate, hard_negatives, jaccard_join, mixing, quality, shards, suffix_dedup, token_counts,
                token_ids, topk, warc)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_quality": quality.op10_quality,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
 }
 SQL = {
     "op2_topk": topk.OP2_SQL,
@@ -24,4 +25,5 @@ SQL = {
     "op5_suffix_dedup": suffix_dedup.OP5_SQL,
     "op6_shards": shards.OP6_SQL,
     "op8_warc": warc.OP8_SQL,
+    "op12_hard_negatives": hard_negatives.OP12_SQL,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (decontaminate, hard_negatives, jaccard_join, mixing, quality, shards, suffix_dedup, token_counts,
+from . import (decontaminate, hard_negatives, jaccard_join, mixing, prefix_trie, quality, shards, suffix_dedup, token_counts,
                token_ids, topk, warc)
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_quality": quality.op10_quality,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 SQL = {
     "op2_topk": topk.OP2_SQL,
@@ -26,4 +27,5 @@ SQL = {
     "op6_shards": shards.OP6_SQL,
     "op8_warc": warc.OP8_SQL,
     "op12_hard_negatives": hard_negatives.OP12_SQL,
+    "op13_prefix_trie": prefix_trie.OP13_SQL,
 }

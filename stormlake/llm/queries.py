@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (decontaminate, hard_negatives, jaccard_join, mixing, prefix_trie, quality, shards, suffix_dedup, token_counts,
+from . import (decontaminate, hard_negatives, jaccard_join, mixing, passage_dedup, prefix_trie, quality, shards, suffix_dedup, token_counts,
                token_ids, topk, warc)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_quality": quality.op10_quality,
+    "op11_passage_dedup": passage_dedup.op11_passage_dedup,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
@@ -26,6 +27,7 @@ SQL = {
     "op5_suffix_dedup": suffix_dedup.OP5_SQL,
     "op6_shards": shards.OP6_SQL,
     "op8_warc": warc.OP8_SQL,
+    "op11_passage_dedup": passage_dedup.OP11_SQL,
     "op12_hard_negatives": hard_negatives.OP12_SQL,
     "op13_prefix_trie": prefix_trie.OP13_SQL,
 }

@@ -16,7 +16,7 @@ positive's.  Scores are integer inner products.
    cosine of two rows; times the norms, and widened by what rounding can do
    (``SLACK``), bounds of their score.  Block ranges give the same bounds for whole blocks.
 4. Positives: blocks that share a label meet; a pair is scored if its upper
-   bound reaches the anchor's worst positive so far.
+   bound reaches the anchor's worst positive so far, or what enough lower bounds promise.
 5. Negatives: blocks meet if their bounds reach the lowest window of the anchors; a pair is scored if its
    interval overlaps a window that could still take it.  All other pairs get no integer scoring.
 
@@ -172,6 +172,16 @@ class Best:
         self.rows = (key[rank < self.k], score[keep], has_id[keep], vec_id[keep])
 
 
+def kth_largest(key: np.ndarray, value: np.ndarray, k: int, n: int) -> np.ndarray:
+    """The k-th largest value of each of n keys, -inf for keys of fewer."""
+    by = np.lexsort((-value, key))
+    sorted_ = key[by]
+    at = by[np.arange(len(by)) - np.searchsorted(sorted_, sorted_, side="left") == k - 1]
+    out = np.full(n, -np.inf)
+    out[key[at]] = value[at]
+    return out
+
+
 class Counter:
     """How many pairs were met and how many of them scored."""
 
@@ -185,18 +195,27 @@ def find_positives(a: Block, blocks: list[Block], k: int, seen: Counter) -> Best
         may = (a.label[:, None] == d.label) & (a.idx[:, None] != d.idx)
         seen.met += int(may.sum())
         i, j = np.nonzero(may & (upper >= best.floor[:, None]))
-        close = bounds(a, d, i, j, REFERENCES)[1] >= best.floor[i]
+        lower, upper = bounds(a, d, i, j, REFERENCES)
+        # k rows of the block surely reach the k-th largest lower bound
+        floor = np.maximum(best.floor, kth_largest(i, lower, k, len(a.idx)))
+        close = upper >= floor[i]
         i, j = i[close], j[close]
         seen.scored += len(i)
         best.add(i, scores(a, d, i, j), d.has_id[j], d.vec_id[j])
     return best
 
 
+def window(ps: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least and highest integer s with low * ps <= 100 * s <= high * ps, without products beyond ps."""
+    whole, rest = ps // 100, ps % 100
+    return low * whole - (-low * rest // 100), high * whole + high * rest // 100
+
+
 def find_negatives(a: Block, windows: dict[str, np.ndarray], blocks: list[Block], k: int, low: int, high: int,
                    seen: Counter) -> Best:
     """windows: arrays anchor (row of a) and score, one entry a positive; keys of the result are their places."""
     row, ps = windows["anchor"], windows["score"]
-    lowest, highest = -(-low * ps // 100), high * ps // 100
+    lowest, highest = window(ps, low, high)
     best = Best(len(row), k)
     least, most = np.full(len(a.idx), np.inf), np.full(len(a.idx), -np.inf)
     open_ = lowest <= highest
@@ -209,10 +228,12 @@ def find_negatives(a: Block, windows: dict[str, np.ndarray], blocks: list[Block]
         seen.met += int(may.sum())
         i, j = np.nonzero(may & (upper >= least[:, None]) & (lower <= most[:, None]))
         lower, upper = bounds(a, d, i, j, REFERENCES)
-        fits = np.zeros(len(i), bool)
+        fits, floor = np.zeros(len(i), bool), best.floor.copy()
+        for w, at in _entries(row, i):  # k rows surely inside a window reach the k-th largest lower bound
+            inside = (lower[at] >= lowest[w]) & (upper[at] <= highest[w])
+            floor = np.maximum(floor, kth_largest(w[inside], lower[at][inside], k, len(row)))
         for w, at in _entries(row, i):
-            ok = open_[w] & (upper[at] >= np.maximum(lowest[w], best.floor[w])) & (lower[at] <= highest[w])
-            fits[at] |= ok
+            fits[at] |= open_[w] & (upper[at] >= np.maximum(lowest[w], floor[w])) & (lower[at] <= highest[w])
         i, j = i[fits], j[fits]
         s = scores(a, d, i, j)
         seen.scored += len(i)
@@ -344,7 +365,7 @@ def hard_negatives(stages: Stages, rows: DataFrame, positives: int = POSITIVES,
         np.savez(out, **{c: pdf[c].to_numpy() for c in ("anchor", "anchor_id", "score", "has_id", "vec_id")})
         ps = pdf["score"].to_numpy(np.int64)
         return pd.DataFrame({"block": [pdf["a"].iloc[0]], "windows": [out.getvalue()],
-                             "least": [float((-(-low * ps // 100)).min())]})
+                             "least": [float(window(ps, low, high)[0].min())]})
 
     windows = stages.save(found.groupBy("a").applyInPandas(windows_of, "block long, windows binary, least double"), "windows")
     wanted = anchors.join(windows, "block")

@@ -287,11 +287,11 @@ def prefix_trie(stages: Stages, rows: DataFrame) -> DataFrame:
     empty = convs.where((F.col("hb") == 0) & (F.col("n") <= F.col("h")))
     root_key = [F.lit(0).cast("long").alias("depth"), F.lit(0).cast("long").alias("f1"), F.lit(-_HALF).cast("long").alias("f2")]
     ends = ends_of(entries.where("last").select(*_NODE, "conv_id").unionByName(empty.select(*root_key, "conv_id")))
+    zero = F.lit(0).cast("long").alias("depth")
     top = convs.agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs")).where(F.col("n_convs") > 0)
     below = full.agg(F.count(F.when(F.col("depth") == 1, 1)).alias("n_children"), F.greatest(F.coalesce(F.sum("leaf"), F.lit(0)), F.lit(1)).alias("n_leaves"),
                      F.coalesce(F.sum("saved"), F.lit(0)).alias("saved_tokens"))
-    # two tables of one row
-    root = top.join(F.broadcast(below), F.col("n_convs") >= 0).select(
+    root = top.select("*", zero).join(below.select("*", zero), "depth").select(
         *root_key, "conv_id", F.lit(None).cast("long").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves", "saved_tokens")
     child = full.withColumns({"p_depth": F.col("depth") - 1}).alias("n")
     parent = parents.unionByName(top.select(*root_key, F.col("conv_id").alias("above"))).alias("p")

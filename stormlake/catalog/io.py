@@ -4,16 +4,20 @@ checkpoint directory."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
+from stormlake import config as C
 from stormlake import oracles as O
 from stormlake.catalog import register
 from stormlake.catalog.modeling import gold2
 from stormlake.plans import silver
 from stormlake.session import scratch_path
 from stormlake.sources import fixtures as X
-from stormlake.sources.files import (file_name, read_gold, scan_raw, write_named_csv,
-                                     write_parquet)
+from stormlake.sources.files import (column_map_dict, file_name, load_column_map, read_csv_lenient, read_gold,
+                                     scan_raw, with_file_ordinals, write_named_csv, write_parquet)
+
 
 def _reports(spark, sf):
     return X.storm_events_raw(spark, sf).select(
@@ -74,6 +78,72 @@ def q_silver_base1_hourly_from_csv(spark, sf):
     return silver.silver_base1(hourly.select("city_id", *_B1_HOURLY))
 
 
+# two of the eight cities go by names that are not known: their files keep their own reports
+_UNKNOWN = {6: "boston", 7: "seattle"}
+
+
+def _unknown_name(city_id):
+    known = F.lower(X.city_name(city_id))
+    for i, name in _UNKNOWN.items():
+        known = F.when(city_id == i, F.lit(name)).otherwise(known)
+    return F.concat(known, F.lit("_storm_events"))
+
+
+def _unknown_sql() -> str:
+    name = " ".join(f"WHEN {i} THEN '{n}'" for i, n in _UNKNOWN.items())
+    return f"""SELECT CASE WHEN city_id < {min(_UNKNOWN)} THEN city_id END AS city_id,
+  CASE city_id {name} ELSE {X.CITY_NAME_SQL}[city_id + 1] END || '_storm_events' AS file,
+  ordinal, location, date, date_raw, date_format, eventType FROM ({O.silver_disaster()}) s"""
+
+
+_UNKNOWN_COLS = ["city_id", "file", "ordinal", "location", "date", "date_raw", "date_format", "eventType"]
+
+
+@register("unknown_cities_silver", _unknown_sql)
+def q_unknown_cities_silver(spark, sf):
+    """PL4/WN6 where files name cities that are not known: reports repeat inside
+    their own file, so days and types that such files share are all kept."""
+    root = scratch_path(spark, "raw")
+    reports = _reports(spark, sf).withColumn("file", _unknown_name(X.storm_city(F.col("CZ_NAME_STR"))))
+    write_named_csv(_in_file_order(reports, F.col("EVENT_ID").cast("long")), f"{root}/base_disaster")
+    d = scan_raw(spark, root)["base_disaster"].drop("granularity")
+    first = silver.silver_disaster(d.withColumn("ordinal", F.struct("row_order", F.col("EVENT_ID").cast("long").alias("id"))))
+    return first.withColumn("ordinal", F.col("ordinal.id")).select(*_UNKNOWN_COLS)
+
+
+@register("unknown_cities_stream", _unknown_sql)
+def q_unknown_cities_stream(spark, sf):
+    """The same from a file stream, three files a batch, merged on read."""
+    from stormlake.streaming.ingest import read_silver_disaster, silver_disaster_stream
+
+    root, out = scratch_path(spark, "stream-raw"), scratch_path(spark, "stream-silver")
+    reports = _reports(spark, sf).withColumn("file", _unknown_name(X.storm_city(F.col("CZ_NAME_STR"))))
+    write_named_csv(reports.repartition("file"), root)
+    _finish(silver_disaster_stream(spark, root, out, scratch_path(spark, "stream-ckpt"), max_files=3))
+    return read_silver_disaster(spark, out).select(*_UNKNOWN_COLS)
+
+
+@register("file_row_numbers", lambda: f"""
+SELECT {X.CITY_NAME_SQL}[city_id + 1] || '_storm_events' AS file, CAST(ordinal AS VARCHAR) AS EVENT_ID, EVENT_TYPE,
+  row_number() OVER (PARTITION BY city_id ORDER BY ordinal) - 1 AS row_number FROM ({X.STORM_EVENTS_RAW_SQL}) r""")
+def q_file_row_numbers(spark, sf):
+    """SC1: every row's number in its own file, whatever splits the file was read in."""
+    root = scratch_path(spark, "raw")
+    reports = _in_file_order(_reports(spark, sf).drop("EVENT_NARRATIVE"), F.col("EVENT_ID").cast("long"))
+    write_named_csv(reports, f"{root}/base_disaster")
+    d = read_csv_lenient(spark, f"{root}/base_disaster")
+    return with_file_ordinals(d, "row_number").select("file", "EVENT_ID", "EVENT_TYPE", "row_number")
+
+
+@register("silver_base2_mapped_from_file", O.silver_base2)
+def q_silver_base2_mapped_from_file(spark, sf):
+    """SC10 -> PL2: the column map is read from its JSON file, as the source's job does."""
+    path = scratch_path(spark, "column-map")
+    spark.createDataFrame([(json.dumps(C.COLUMN_MAP),)], "value string").coalesce(1).write.text(path)
+    mapping = column_map_dict(load_column_map(spark, path))
+    return silver.silver_base2(X.raw_base2_daily(spark, sf), mapping=mapping)
+
+
 # files of one folder with three header layouts, one of them of no known city
 _LAYOUTS = [["DATE", "PRCP", "TMAX", "TMIN", "SNWD"], ["TMIN", "TMAX", "DATE", "NAME"], ["NAME", "DATE", "PRCP", "AWND", "TMAX", "WSFG", "TMIN"]]
 
@@ -144,7 +214,7 @@ def q_disaster_stream_silver(spark, sf):
         write_named_csv(part.select(*layout, "file").repartition("file"), root, mode="append")
     out = scratch_path(spark, "stream-silver")
     _finish(silver_disaster_stream(spark, root, out, scratch_path(spark, "stream-ckpt"), max_files=3))
-    return read_silver_disaster(spark, out)
+    return read_silver_disaster(spark, out).drop("file", "city")
 
 
 @register("hourly_day_means_stream", lambda: f"""

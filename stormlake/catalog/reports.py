@@ -44,6 +44,18 @@ def q_disasters_by_year(spark, sf):
     return trends.disasters_by_year(silver_disaster_df(spark, sf))
 
 
+@register("reports_by_text_year", lambda: f"""
+SELECT city_id, CASE WHEN city_id % 3 = 1 AND EVENT_TYPE IS NOT NULL THEN CAST(year(try_strptime(BEGIN_DATE, '%Y-%m-%d')) AS INTEGER) END AS year,
+  count(*) AS count FROM ({X.STORM_EVENTS_RAW_SQL}) r
+WHERE city_id % 3 = 1 AND EVENT_TYPE IS NOT NULL GROUP BY ALL""")
+def q_reports_by_text_year(spark, sf):
+    """FN4 on text: raw reports by the year of their date as it is written; texts
+    that are no date by themselves have no year and are not counted."""
+    raw = X.storm_events_raw(spark, sf).where(F.col("EVENT_TYPE").isNotNull())
+    dates = raw.select("city_id", F.col("BEGIN_DATE").alias("date"))
+    return trends.disasters_by_year(dates)
+
+
 @register("disasters_by_type", lambda: f"""
 SELECT city_id, eventType, count(*) AS count FROM ({SD()}) s
 WHERE eventType IS NOT NULL GROUP BY ALL""")

@@ -24,7 +24,8 @@ from stormlake.operators.features import model_table
 from stormlake.operators.profile import null_percentages, schema_profile
 from stormlake.plans import gold, silver, trends
 from stormlake.plans.runs import log_runs
-from stormlake.sources.files import exists, read_gold, scan_raw, write_parquet
+from stormlake.sources.files import (column_map_dict, csv_headers, exists, headers_by_kind, load_column_map,
+                                     read_csv_lenient, read_gold, source_folders, write_parquet)
 from stormlake.session import materialize
 
 # raw columns that are text; every other column of a weather folder is a number
@@ -32,42 +33,39 @@ TEXT_COLUMNS = {"base_1": ["date"], "base_2": ["DATE", "NAME", "STATION", "PGTM"
 PROCESSORS = {"base_1": silver.silver_base1, "base_2": silver.silver_base2, "base_3": silver.silver_base3}
 
 
-def _numeric(source: str) -> list[str]:
-    return [c for c in C.COLUMN_MAP[source] if c not in TEXT_COLUMNS[source]]
+def _numeric(source: str, mapping: dict[str, dict[str, str]]) -> list[str]:
+    return [c for c in mapping.get(source, {}) if c not in TEXT_COLUMNS[source]]
 
 
 def _tidy(df: DataFrame) -> DataFrame:
     return df.drop("source", "row_order")
 
 
-def raw_to_silver(spark: SparkSession, raw: str, out: str) -> dict[str, str]:
-    """E1: scan every folder, clean known sources per their rules, write silver."""
+def raw_to_silver(spark: SparkSession, raw: str, out: str, column_map: str | None = None) -> dict[str, str]:
+    """E1: scan every folder, clean known sources per their rules, write silver.  The files of
+    a folder are told apart by their headers; each kind is read with the columns that its own files have.
+    ``column_map``: a JSON file of raw and canonical names a source, in place of the library's own."""
     written = {}
-    for source, df in scan_raw(spark, raw, numeric={s: _numeric(s) for s in PROCESSORS}).items():
+    mapping = column_map_dict(load_column_map(spark, column_map)) if column_map else C.COLUMN_MAP
+    for source in source_folders(spark, raw):
+        folder = f"{raw.rstrip('/')}/{source}"
+        headers = csv_headers(spark, folder)
+        if not headers:
+            continue
         if source in PROCESSORS:
-            for kind in ("daily", "hourly"):
-                part = df.where(F.col("granularity") == kind)
-                if part.isEmpty():
-                    continue
-                # only the columns that these files have
-                part = part.select(*[c for c in part.columns if c not in _absent(part, source)])
-                write_parquet(_tidy(PROCESSORS[source](part)).drop("granularity"), f"{out}/{source}/{kind}", ["city"])
+            for kind, files in headers_by_kind(headers).items():
+                part = read_csv_lenient(spark, folder, None, _numeric(source, mapping), headers=files)
+                write_parquet(_tidy(PROCESSORS[source](part, mapping=mapping)).drop("granularity"), f"{out}/{source}/{kind}", ["city"])
         elif source == "base_disaster":
-            s = silver.silver_disaster(df.drop("granularity").withColumn("ordinal", F.col("row_order")))
+            df = read_csv_lenient(spark, folder, multi_line=True, headers=headers)
+            s = silver.silver_disaster(df.drop("granularity").withColumn("ordinal", F.col("row_order")), mapping=mapping)
             write_parquet(_tidy(s).drop("ordinal"), f"{out}/{source}", ["city"])
         else:
-            write_parquet(_tidy(df), f"{out}/{source}", ["city"])
+            write_parquet(_tidy(read_csv_lenient(spark, folder, headers=headers)), f"{out}/{source}", ["city"])
         written[source] = f"{out}/{source}"
     return written
 
 
-def _absent(df: DataFrame, source: str) -> list[str]:
-    """Mapped columns without a value in any row: they came from files of the other kind."""
-    cols = [c for c in df.columns if c in C.COLUMN_MAP[source]]
-    row = df.agg(*[F.count(c).alias(c) for c in cols]).first()
-    return [c for c in cols if row[c] == 0]
-
-
 def _silver(spark: SparkSession, root: str, source: str, kind: str) -> DataFrame | None:
     path = f"{root}/{source}/{kind}"
     return spark.read.parquet(path).drop("file") if exists(spark, path) else None

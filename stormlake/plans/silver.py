@@ -20,6 +20,8 @@ from stormlake.operators.project import (drop_null_rows, drop_tolerant, rename_b
                                          select_existing, select_strict)
 from stormlake.operators.window import first_per_key
 
+# {source: {raw name: canonical name}}; the library's own where none is given
+Mapping = dict[str, dict[str, str]]
 ID_COLS = ["city_id"]
 # columns that tell one input file from another, where the scan gives them
 FILE_COLS = ["city", "source", "file", "granularity"]
@@ -47,20 +49,20 @@ def _measures(df: DataFrame, exclude: list[str]) -> list[str]:
     return numeric_columns(df, exclude=exclude)
 
 
-def silver_base1(raw: DataFrame, order_extra: list[str] | None = None) -> DataFrame:
+def silver_base1(raw: DataFrame, order_extra: list[str] | None = None, mapping: Mapping | None = None) -> DataFrame:
     """PL1: rename, whole-file date format (no fill).  Duplicate and null
     reports are separate queries over this output."""
     ids = _ids(raw)
-    df = rename_by_map(raw, "base_1")
+    df = rename_by_map(raw, "base_1", mapping)
     return parse_dates_per_file(df, "date", ids)
 
 
-def silver_base2(raw: DataFrame, limit: float = C.SILVER_FILL_LIMIT) -> DataFrame:
+def silver_base2(raw: DataFrame, limit: float = C.SILVER_FILL_LIMIT, mapping: Mapping | None = None) -> DataFrame:
     """PL2: select known columns, rename, date, mid-range average, drop wind
     columns, gap fill columns with 0 < null % <= limit per city."""
     ids = _ids(raw)
     df = select_existing(raw, ids + C.BASE2_SELECT + ["row_order"])
-    df = rename_by_map(df, "base_2")
+    df = rename_by_map(df, "base_2", mapping)
     df = parse_dates_per_file(df, "date", ids)
     if "average_temperature" in df.columns:
         df = df.withColumn("average_temperature", mid_range(
@@ -74,7 +76,7 @@ def silver_base2(raw: DataFrame, limit: float = C.SILVER_FILL_LIMIT) -> DataFram
 
 
 def silver_base3(raw: DataFrame, limit: float = C.SILVER_FILL_LIMIT,
-                 order_extra: list[str] | None = None) -> DataFrame:
+                 order_extra: list[str] | None = None, mapping: Mapping | None = None) -> DataFrame:
     """PL3: rename, date, gap fill columns with 0 < null % <= limit per file.
 
     Works for the daily and the hourly file; for hourly rows pass the columns
@@ -82,24 +84,33 @@ def silver_base3(raw: DataFrame, limit: float = C.SILVER_FILL_LIMIT,
     """
     order_extra = order_extra or []
     ids = _ids(raw)
-    df = rename_by_map(raw, "base_3")
+    df = rename_by_map(raw, "base_3", mapping)
     df = parse_dates_per_file(df, "date", ids)
     cols = _measures(df, exclude=ids + order_extra + ["date_format"])
     return gated_fill(df, cols, ids, _position(df, order_extra), limit, block=_block(df))
 
 
-def silver_disaster(raw: DataFrame, ordinal: str = "ordinal") -> DataFrame:
+def first_reports(df: DataFrame, ordinal: str) -> DataFrame:
+    """The first report of each (city, or file of no known city, date, event type)."""
+    if "file" not in df.columns:
+        return first_per_key(df, ["city_id", "date", "eventType"], ordinal)
+    d = df.withColumn("__file", F.when(F.col("city_id").isNull(), F.col("file")))
+    return first_per_key(d, ["city_id", "__file", "date", "eventType"], ordinal).drop("__file")
+
+
+def silver_disaster(raw: DataFrame, ordinal: str = "ordinal", mapping: Mapping | None = None) -> DataFrame:
     """PL4: keep 3 columns, drop incomplete rows, rename, date, then keep the
-    first report of each (city, date, event type)."""
+    first report of each (city, date, event type); reports of a file of no known city
+    repeat inside that file only."""
     ids = _ids(raw)
     df = select_strict(raw, ids + [ordinal] + C.DISASTER_SELECT)
     df = drop_null_rows(df, subset=C.DISASTER_SELECT)
-    df = rename_by_map(df, "base_disaster")
+    df = rename_by_map(df, "base_disaster", mapping)
     df = parse_dates_per_file(df, "date", ids)
-    return first_per_key(df, [c for c in ids if c not in ("source", "file", "granularity")] + ["date", "eventType"], ordinal)
+    return first_reports(df, ordinal)
 
 
 def merge_first(parts: DataFrame, ordinal: str = "ordinal") -> DataFrame:
-    """First report of each (city, date, event type) over parts that were each
-    reduced to theirs."""
-    return first_per_key(parts, _ids(parts) + ["date", "eventType"], ordinal)
+    """First report of each (city or file of no known city, date, event type) over
+    parts that were each reduced to theirs."""
+    return first_reports(parts, ordinal)

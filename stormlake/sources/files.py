@@ -11,9 +11,12 @@ from __future__ import annotations
 import csv
 import io
 import re
+import sys
+from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,46 +76,96 @@ def with_identity(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # SC1: CSV with the source's bad-line policy
 # --------------------------------------------------------------------------
-HEADER_BYTES = 1 << 16  # of a file's beginning, read to find its header line
+def _first_record(pieces: Iterable[bytes]) -> list[str]:
+    """Fields of the first CSV record of a file that comes in pieces; reads no further
+    than the piece that ends it, however long it is."""
+    head, quoted = [], False
+    for piece in pieces:
+        end = None
+        for m in re.finditer(rb'["\r\n]', piece):
+            if m.group() == b'"':
+                quoted = not quoted
+            elif not quoted:
+                end = m.start()
+                break
+        head.append(piece[:end])
+        if end is not None:
+            break
+    csv.field_size_limit(sys.maxsize)
+    return next(csv.reader(io.StringIO(b"".join(head).decode("utf-8-sig", "replace"))), [])
+
+
+def _header(names: list[str]) -> list[str]:
+    return [n.strip() or f"_c{i}" for i, n in enumerate(names)]
+
+
+def _read_headers(batches):
+    """mapInPandas: paths -> their headers; null where the store is not open to Python."""
+    from pyarrow import fs
+    piece = 1 << 16
+
+    def header(path):
+        try:
+            store, at = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+            stream = store.open_input_stream(unquote(at) if path.startswith("file:") else at)
+        except (OSError, ValueError):
+            return None
+        with stream:
+            return _header(_first_record(iter(lambda: stream.read(piece), b"")))
 
+    for pdf in batches:
+        yield pdf.assign(header=[header(p) for p in pdf["path"]])
 
-def csv_headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Header -> the CSV files under ``path`` (a folder or glob, read through
-    subfolders; or a list of files) that have it.
 
-    Only each file's first bytes are read, by the file system's client on the
-    driver: one list of file names and one line a file.  Empty files have no
-    header and are left out; a missing location gives no files."""
+def _headers_by_client(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Headers of files in a store that only Spark's own client opens."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    found: dict[tuple[str, ...], list[str]] = {}
-    if isinstance(path, list):
-        todo = [jvm.org.apache.hadoop.fs.Path(p) for p in path]
-        if not todo:
-            return found
-        fs = todo[0].getFileSystem(conf)
-    else:
-        root = jvm.org.apache.hadoop.fs.Path(path)
-        fs = root.getFileSystem(conf)
-        todo = [x.getPath() for x in (fs.globStatus(root) or [])]
-    files = []
-    while todo:
-        at = todo.pop()
-        status = fs.getFileStatus(at)
-        if status.isDirectory():
-            todo += [x.getPath() for x in fs.listStatus(at) if not x.getPath().getName().startswith(("_", "."))]
-        elif at.getName().lower().endswith(".csv") and status.getLen() > 0:
-            files.append(at)
-    for at in sorted(files, key=lambda x: x.toString()):
-        stream = fs.open(at)
+    out = {}
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        stream = at.getFileSystem(conf).open(at)
         try:
-            start = bytes(stream.readNBytes(HEADER_BYTES))
+            out[path] = _header(_first_record(iter(lambda: bytes(stream.readNBytes(1 << 16)), b"")))  # noqa: B023
         finally:
             stream.close()
-        names = next(csv.reader(io.StringIO(start.decode("utf-8-sig", "replace"))), [])
-        header = tuple(n.strip() or f"_c{i}" for i, n in enumerate(names))
+    return out
+
+
+def csv_headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Header -> the CSV files under ``path`` (a folder or glob, read through
+    subfolders; or a list of files) that have it.
+
+    Spark lists the files, tasks read the first record of each, and the driver gets them grouped
+    by header.  Empty files have no header and are left out; a missing location gives no files."""
+    if path == []:
+        return {}
+    try:
+        files = (spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.[cC][sS][vV]")
+                 .load(path).where("length > 0").select("path"))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
+    groups = (files.mapInPandas(_read_headers, "path string, header array<string>")
+              .groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("files")).collect())
+    found = {tuple(r["header"]): list(r["files"]) for r in groups if r["header"]}
+    unread = [p for r in groups if r["header"] is None for p in r["files"]]
+    for p, header in _headers_by_client(spark, unread).items():
         if header:
-            found.setdefault(header, []).append(at.toString())
-    return found
+            found.setdefault(tuple(header), []).append(p)
+    return dict(sorted(found.items(), key=lambda kv: kv[1][0]))
+
+
+def headers_by_kind(headers: dict[tuple[str, ...], list[str]]) -> dict[str, dict[tuple[str, ...], list[str]]]:
+    """The headers of the daily and of the hourly files, as ``granularity_of`` tells them apart."""
+    out: dict[str, dict[tuple[str, ...], list[str]]] = {}
+    for header, files in headers.items():
+        for f in files:
+            parts = unquote(f).split("/")
+            stem = next((x[len("file="):] for x in parts[-2:-1] if x.startswith("file=")), parts[-1].rsplit(".", 1)[0])
+            kind = "daily" if "daily" in stem.lower() else "hourly"
+            out.setdefault(kind, {}).setdefault(header, []).append(f)
+    return out
 
 
 def _unique(names: tuple[str, ...]) -> list[str]:
@@ -127,7 +180,8 @@ def _unique(names: tuple[str, ...]) -> list[str]:
 
 
 def read_csv_lenient(spark: SparkSession, path: str | list[str], columns: list[str] | None = None,
-                     numeric: list[str] | None = None, multi_line: bool = False) -> DataFrame:
+                     numeric: list[str] | None = None, multi_line: bool = False,
+                     headers: dict[tuple[str, ...], list[str]] | None = None) -> DataFrame:
     """Read the CSV files under ``path`` (or the listed files), each by the names in its own header.
 
     Files are read in one scan for each different header and put together by name;
@@ -136,9 +190,11 @@ def read_csv_lenient(spark: SparkSession, path: str | list[str], columns: list[s
     are skipped (what ``on_bad_lines='skip'`` does), rows with fewer keep nulls.
     Null tokens become null; ``numeric`` columns (default: none) are parsed with ``try_cast``.
     ``multi_line``: quoted fields may span lines; such a file is one task's work.
-    Adds the file's identity and ``row_order``, which orders the rows of a file.
+    ``headers``: what ``csv_headers`` gave for these files, if it was asked before.
+    Adds the file's identity and ``row_order``, which orders files by path and rows as
+    they stand in them, however files are cut into splits.
     """
-    headers = csv_headers(spark, path)
+    headers = csv_headers(spark, path) if headers is None else headers
     if not headers:
         raise FileNotFoundError(f"no CSV file under {path}")
     parts = []
@@ -147,9 +203,11 @@ def read_csv_lenient(spark: SparkSession, path: str | list[str], columns: list[s
         schema = T.StructType([T.StructField(f"_f{i}", T.StringType()) for i in range(len(names))]
                               + [T.StructField(OVERFLOW, T.StringType())])
         df = (spark.read.schema(schema)
-              .options(header=True, multiLine=multi_line, escape='"', mode="PERMISSIVE", enforceSchema=True).csv(files))
+              .options(header=True, multiLine=multi_line, escape='"', mode="PERMISSIVE", enforceSchema=True,
+                       maxColumns=max(20480, len(names) + 2)).csv(files))
         df = with_identity(df).withColumn("row_order", F.struct(
-            F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row")))
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("row")))
         keep = [(i, n) for i, n in enumerate(names) if columns is None or n in columns]
         value = lambda i: F.when(F.col(f"_f{i}").isin(C.NULL_TOKENS), F.lit(None)).otherwise(F.col(f"_f{i}"))
         cast = lambda i, n: value(i).try_cast("double") if n in (numeric or []) else value(i)
@@ -158,6 +216,20 @@ def read_csv_lenient(spark: SparkSession, path: str | list[str], columns: list[s
     return coalesce_nan(union_all_by_name(parts))
 
 
+def with_file_ordinals(df: DataFrame, name: str = "ordinal") -> DataFrame:
+    """Number the rows of each file from 0, as they stand in it, whatever splits
+    and tasks it was read in: rows are numbered inside their split, and the counts of
+    the splits before (a small table) are added."""
+    path, split = F.col("row_order.path"), F.col("row_order.split")
+    d = df.withColumns({"__path": path, "__split": split})
+    inside = Window.partitionBy("__path", "__split").orderBy("row_order.row")
+    splits = d.groupBy("__path", "__split").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("__path").orderBy("__split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("__path", "__split", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    return (d.withColumn("__row", F.row_number().over(inside) - 1).join(splits, ["__path", "__split"])
+            .withColumn(name, F.col("__before") + F.col("__row")).drop("__path", "__split", "__before", "__row"))
+
+
 def read_csv_or_none(spark: SparkSession, path: str, columns: list[str] | None = None,
                      numeric: list[str] | None = None, multi_line: bool = False) -> DataFrame | None:
     """SC1 error path: a missing location, or one without CSV files, gives None."""

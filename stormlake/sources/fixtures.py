@@ -151,6 +151,11 @@ def storm_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def storm_city(cz_name):
+    """City number of a raw report's CZ_NAME_STR."""
+    return (F.array_position(F.array(*[F.lit(c.upper()) for c in C.CITIES]), cz_name) - 1).cast("int")
+
+
 STORM_EVENTS_RAW_SQL = f"""
 SELECT o_orderkey AS ordinal, city_id,
   upper({CITY_NAME_SQL}[city_id + 1]) AS CZ_NAME_STR,

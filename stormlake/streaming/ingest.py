@@ -50,7 +50,7 @@ def read_disaster_files(spark: SparkSession, files: list[str]) -> DataFrame | No
             raise ValueError(f"no column {', '.join(missing)} in {having[0]}")
     if not headers:
         return None
-    return read_csv_lenient(spark, files, DISASTER_COLS, multi_line=True).drop("granularity", "row_order")
+    return read_csv_lenient(spark, files, DISASTER_COLS, multi_line=True, headers=headers).drop("granularity", "row_order")
 
 
 def silver_disaster_stream(spark: SparkSession, raw_path: str, out_path: str, checkpoint: str,
@@ -72,7 +72,7 @@ def silver_disaster_stream(spark: SparkSession, raw_path: str, out_path: str, ch
 
 def read_silver_disaster(spark: SparkSession, out_path: str) -> DataFrame:
     """The silver table of all batches so far."""
-    return merge_first(spark.read.parquet(out_path).drop("batch_id", "source", "file", "city"))
+    return merge_first(spark.read.parquet(out_path).drop("batch_id", "source"))
 
 
 def hourly_day_means_stream(hourly: DataFrame, cols: list[str], ts: str = "obs_ts",

@@ -103,3 +103,79 @@ def test_unknown_folder_passes_through(spark, tmp_path):
     assert b == [("2020-02-13", None), ("2020-02-14", None), ("2020-02-15", None)]
     s = spark.read.parquet(f"{out}/base_disaster").collect()
     assert [(str(r.date), r.eventType, r.city) for r in s] == [("2020-01-02", "Hail", "miami")]
+
+
+def test_reports_of_unknown_cities_repeat_inside_their_file(spark, tmp_path):
+    from stormlake.plans import jobs
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "silver")
+    head = "EVENT_ID,CZ_NAME_STR,BEGIN_DATE,EVENT_TYPE,EVENT_NARRATIVE\n"
+    for name, row in (("boston", 1), ("seattle", 2)):
+        _write(f"{raw}/base_disaster/{name}_storms.csv", f"{head}{row},{name.upper()},2020-01-02,Tornado,x\n{row + 10},{name.upper()},2020-01-02,Tornado,later\n")
+    for name, row in (("a", 3), ("b", 4)):  # two files of one city: the first by path and place
+        _write(f"{raw}/base_disaster/dallas_{name}.csv", f"{head}{row},DALLAS,2020-01-02,Tornado,x\n")
+    jobs.raw_to_silver(spark, raw, out)
+    got = sorted((r.file, r.city, r.eventType) for r in spark.read.parquet(f"{out}/base_disaster").collect())
+    assert got == [("boston_storms", None, "Tornado"), ("dallas_a", "dallas", "Tornado"), ("seattle_storms", None, "Tornado")]
+
+
+def test_headers_of_any_length(spark, tmp_path):
+    names = [f"column_with_a_long_name_{i:05d}" for i in range(4000)]  # 124 kB
+    _write(str(tmp_path / "wide" / "miami.csv"), ",".join(names) + "\n" + "\n".join(",".join(str(k) for _ in names) for k in range(3)) + "\n")
+    df = read_csv_lenient(spark, str(tmp_path / "wide"), [names[0], names[-1]], [names[-1]])
+    assert sorted((r[names[0]], r[names[-1]]) for r in df.collect()) == [("0", 0.0), ("1", 1.0), ("2", 2.0)]
+
+
+def test_first_record_in_pieces():
+    from stormlake.sources.files import _first_record
+    text = b'\xef\xbb\xbfa,"b\n""c""",d\r\n1,2,3\n'
+    for size in (1, 2, 7, 100):
+        read = []
+        pieces = (read.append(i) or text[i:i + size] for i in range(0, len(text), size))
+        assert _first_record(pieces) == ["a", 'b\n"c"', "d"]
+        assert max(read) <= text.index(b"\r\n")  # reads no further than the record's end
+    assert _first_record(iter([])) == []
+
+
+def test_headers_by_the_stores_client(spark, tmp_path):
+    from stormlake.sources.files import _headers_by_client, csv_headers, headers_by_kind
+    _write(str(tmp_path / "h" / "a b%20c_daily.csv"), "x, y\n1,2\n")
+    _write(str(tmp_path / "h" / "sub" / "d.CSV"), "x, y\n1,2\n")
+    _write(str(tmp_path / "h" / "empty.csv"), "")
+    found = csv_headers(spark, str(tmp_path / "h"))
+    assert list(found) == [("x", "y")] and len(found["x", "y"]) == 2
+    assert _headers_by_client(spark, found["x", "y"]) == {p: ["x", "y"] for p in found["x", "y"]}
+    assert {k: len(v["x", "y"]) for k, v in headers_by_kind(found).items()} == {"daily": 1, "hourly": 1}
+    assert read_csv_lenient(spark, str(tmp_path / "h")).count() == 2
+
+
+def test_first_report_and_row_numbers_for_any_split_size(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from stormlake.operators.window import first_per_key
+    from stormlake.sources.files import with_file_ordinals
+    for name in ("dallas_a", "dallas_b", "boston"):
+        _write(str(tmp_path / "s" / f"{name}.csv"), "id,key\n" + "".join(f"{i},{i % 7}\n" for i in range(3000)))
+    found = []
+    for size in ("1k", "5k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            df = read_csv_lenient(spark, str(tmp_path / "s"))
+            rows = with_file_ordinals(df, "n").select("file", "id", "n").collect()
+            assert len(rows) == 9000 and all(int(r.id) == r.n for r in rows)
+            first = first_per_key(df.withColumn("o", F.col("row_order")), ["city", "key"], "o")
+            found.append(sorted((r.city or "", r.file, r.id) for r in first.select("city", "file", "id").collect()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found[0] == found[1] == found[2]
+    assert found[0] == sorted([("", "boston", str(k)) for k in range(7)] + [("dallas", "dallas_a", str(k)) for k in range(7)])
+
+
+def test_job_with_a_column_map_from_its_file(spark, tmp_path):
+    from stormlake.plans import jobs
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "silver")
+    _write(f"{raw}/base_disaster/miami_storms.csv", "EVENT_ID,CZ_NAME_STR,BEGIN_DATE,EVENT_TYPE\n1,MIAMI,2020-01-02,Hail\n")
+    mapping = {"base_disaster": {"CZ_NAME_STR": "place", "BEGIN_DATE": "date", "EVENT_TYPE": "eventType"}}
+    dump_json(mapping, str(tmp_path / "m.json"))
+    jobs.raw_to_silver(spark, raw, out, str(tmp_path / "m.json"))
+    assert [(r.place, r.eventType) for r in spark.read.parquet(f"{out}/base_disaster").collect()] == [("MIAMI", "Hail")]

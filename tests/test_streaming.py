@@ -69,3 +69,17 @@ def test_one_file_a_batch_gives_the_batch_result(spark, tmp_path):
     assert len([f for f in os.listdir(out.removeprefix("file:")) if f.startswith("batch_id=")]) == 2
     got = sorted((str(r.date), r.eventType, r.ordinal) for r in read_silver_disaster(spark, out).collect())
     assert got == [("2020-01-02", "Hail", 2), ("2020-01-03", "Flood", 6)]
+
+
+def test_unknown_cities_keep_their_own_reports(spark, tmp_path):
+    for name, row in (("boston", 1), ("seattle", 2), ("dallas", 3)):
+        folder = tmp_path / "raw" / f"file={name}_storms"
+        os.makedirs(folder)
+        (folder / "a.csv").write_text("EVENT_ID,CZ_NAME_STR,BEGIN_DATE,EVENT_TYPE,EVENT_NARRATIVE\n"
+                                      f"{row},X,2020-01-02,Tornado,x\n{row + 10},X,2020-01-02,Tornado,x\n")
+    for most in (1, 3):
+        out = scratch_path(spark, "stream-out")
+        q = silver_disaster_stream(spark, str(tmp_path / "raw"), out, scratch_path(spark, "stream-ckpt"), max_files=most)
+        q.awaitTermination(120)
+        got = sorted((r.file, r.ordinal) for r in read_silver_disaster(spark, out).collect())
+        assert got == [("boston_storms", 1), ("dallas_storms", 3), ("seattle_storms", 2)]

@@ -1,26 +1,22 @@
-"""Exact k-nearest neighbours (SM6).
-
-Points are projected onto one fixed unit direction ``u``; for any two points
-|u.(a-b)| <= ||a-b||, so every neighbour within radius r of a query lies within
-r of it on the projection.  The projection is cut into buckets of width w:
-
-1. candidates: each query meets the points of its own and the two adjacent
-   buckets; the k best give a radius r_q;
-2. certification: if [p_q - r_q, p_q + r_q] lies inside the three buckets
-   already searched, those k are exact;
-3. the other queries meet the points of every bucket their band touches; the k best
-   over all of these are exact by the bound above.  A query with fewer than k candidates
-   searches the whole bucket range.
-
-A bucket is never one group: its points and the queries sent to it are dealt
-by hash into blocks of at most about ``P_CHUNK`` points and ``Q_CHUNK`` queries, and every pair of
-blocks is one task's work, whatever the skew; the blocks' k best are merged by query.
-Distances are one numpy pass per dimension, summed left to right exactly as the
-SQL twin does (ties by neighbour id).
-
-What the bound saves depends on the data: where distances between
-neighbours are not small against the spread of the projection (as in many
-dimensions without structure), bands touch most buckets and nearly all pairs are compared.
+"""Exact k-nearest neighbours (SM6) by metric partitions.
+
+1. Pivots are picked farthest-first from a bounded sample of the points (``SAMPLE``, by the md5 of
+   the id).  Every point belongs to the cell of its nearest pivot.
+2. Points are numbered in the order of (cell, distance to the pivot, id) and cut into blocks of
+   ``BLOCK``.  The pieces of cells in blocks, with the range of their pivot
+   distances, are a small table (of at most ``PIECES`` + ``PIVOTS`` rows: beyond that, neighbouring blocks share one).
+3. Each query first meets the block where it would lie itself; its k-th distance there, r, goes on.
+4. By the triangle inequality a point at distance d of its pivot lies at least |d(q, pivot) - d|
+   from the query; the query meets the other blocks that have a piece with a bound below r.
+5. In a block, points are again told apart by pivots of the block; a query meets the
+   groups that its k-th distance so far cannot leave out.  Products give distances up to
+   rounding; those near enough are summed left to right over dimensions, as the SQL twin does (ties by neighbour id).
+
+So a query is sent to at most one block a ``BLOCK`` points.  The queries of a block are dealt
+by hash into parts, each a task's work; the k best of blocks are merged by query.  What
+the bounds save depends on the data: where distances between
+neighbours are not small against distances to pivots (as in many
+dimensions without structure), nearly all pairs are compared.
 """
 
 from __future__ import annotations
@@ -31,18 +27,17 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from stormlake.session import materialize
-
-_GOLDEN = 2.399963229728653  # golden angle: a fixed, non-degenerate direction
 
+from stormlake.session import materialize
 
-def projection(feat: Column) -> Column:
-    """Dot product with a fixed unit direction (computed per row, no driver state)."""
-    dot = F.aggregate(F.transform(feat, lambda x, i: x * F.cos(i * F.lit(_GOLDEN))),
-                      F.lit(0.0), lambda a, b: a + b)
-    norm = F.sqrt(F.aggregate(F.transform(feat, lambda x, i: F.pow(F.cos(i * F.lit(_GOLDEN)), 2)),
-                              F.lit(0.0), lambda a, b: a + b))
-    return dot / norm
+BLOCK = 8192    # points of a block
+Q_CHUNK = 2048  # queries of a task, at most
+Q_LEAST = 256
+PIVOTS = 256
+SAMPLE = 4096
+PIECES = 16384
+GROUP = 64      # points of a group inside a block, about
+SLACK = 1e-9    # of distances, against rounding
 
 
 def sq_distance(a: Column, b: Column) -> Column:
@@ -51,126 +46,231 @@ def sq_distance(a: Column, b: Column) -> Column:
                        lambda s, v: s + v)
 
 
-Q_CHUNK = 2048   # query rows per distance block
-P_CHUNK = 8192   # point rows per distance block (block = 128 MiB of float64)
+# --- one block ----------------------------------------------------------------
+
+def farthest_first(x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pivot rows, owner of each row, distance to it): the next pivot is the row farthest from all before."""
+    at = [0]
+    near = np.sqrt(((x - x[0]) ** 2).sum(1))
+    owner = np.zeros(len(x), np.int64)
+    while len(at) < most and near.max() > 0:
+        at.append(int(near.argmax()))
+        d = np.sqrt(((x - x[at[-1]]) ** 2).sum(1))
+        closer = d < near
+        owner[closer], near[closer] = len(at) - 1, d[closer]
+    return np.asarray(at), owner, near
+
+
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances of all rows to all rows, up to rounding."""
+    return np.sqrt(np.maximum(0.0, (a * a).sum(1)[:, None] + (b * b).sum(1) - 2.0 * (a @ b.T)))
+
 
+def exact(q: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Squared distances of row pairs, summed left to right over dimensions."""
+    out = np.zeros(len(q))
+    for j in range(q.shape[1]):
+        diff = q[:, j] - p[:, j]
+        out += diff * diff
+    return out
 
-def _block_top_k(k: int, exclude_self: bool, keep_cols: list[str], out_cols: list[str],
-                 q_chunk: int = Q_CHUNK, p_chunk: int = P_CHUNK):
-    """Cogroup function: k nearest points of each query within one bucket group.
 
-    Distances are computed in blocks of at most q_chunk x p_chunk, keeping the
-    running k best per query, so memory stays bounded however many rows one
-    bucket holds.
-    """
+class Compared:
+    """How many pairs a search met, and how many it compared."""
+
+    all = done = 0
+
+
+def nearest_in_block(q: np.ndarray, qid: np.ndarray, r2: np.ndarray, p: np.ndarray, pid: np.ndarray, k: int,
+                     exclude_self: bool, seen: Compared | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, point row, squared distance) of the k nearest points of each query within its bound
+    r2 (inf: none), ties by point id."""
+    seen = seen or Compared()
+    seen.all += len(q) * len(p)
+    order = np.argsort(pid, kind="stable")
+    rank = np.empty(len(pid), np.int64)
+    rank[order] = np.arange(len(pid))
+    pivots, owner, far = farthest_first(p, max(1, len(p) // GROUP))
+    by = np.argsort(owner, kind="stable")
+    edge = np.searchsorted(owner[by], np.arange(len(pivots) + 1))
+    radius = np.array([far[by[a:b]].max() for a, b in zip(edge[:-1], edge[1:], strict=True)])
+    qq, pp = (q * q).sum(1), (p * p).sum(1)
+    err = 1e-12 * (len(q[0]) + 8) * (qq.max(initial=0) + pp.max(initial=0)) if len(q) else 0.0
+    to_pivot = distances(q, p[pivots])
+    low = np.maximum(0.0, to_pivot - radius)
+    low = np.maximum(0.0, low * low * (1 - SLACK) - 4 * err)  # of squared distances
+    best = np.full((len(q), k), np.inf)
+    bound = lambda rows: np.minimum(best[rows, -1], r2[rows]) + 2 * err
+    parts = []
+    # each query's own group first, then group after group
+    own = to_pivot.argmin(1) if len(q) else np.zeros(0, np.int64)
+    for first in (True, False):
+        for g in range(len(pivots)):
+            rows = np.flatnonzero((own == g) == first)
+            rows = rows[low[rows, g] <= bound(rows)]
+            if not len(rows):
+                continue
+            members = by[edge[g]:edge[g + 1]]
+            d = qq[rows, None] + pp[members] - 2.0 * (q[rows] @ p[members].T)
+            seen.done += d.size
+            if exclude_self:
+                d[qid[rows][:, None] == pid[members][None, :]] = np.inf
+            held = np.concatenate([best[rows], d], axis=1)
+            best[rows] = np.sort(np.partition(held, k - 1, axis=1)[:, :k], axis=1)
+            i, j = np.nonzero(d <= bound(rows)[:, None])
+            i, j = i[np.isfinite(d[i, j])], j[np.isfinite(d[i, j])]
+            parts.append((rows[i], members[j], d[i, j]))
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    i, j, d = (np.concatenate(x) for x in zip(*parts, strict=True))
+    near = d <= bound(i)
+    i, j = i[near], j[near]
+    d = np.concatenate([exact(q[i[a:a + 65536]], p[j[a:a + 65536]]) for a in range(0, len(i), 65536)] or [np.zeros(0)])
+    sort = np.lexsort((rank[j], d, i))
+    i, j, d = i[sort], j[sort], d[sort]
+    keep = np.arange(len(i)) - np.searchsorted(i, i, side="left") < k
+    return i[keep], j[keep], d[keep]
+
+
+def _search(k: int, exclude_self: bool, keep_cols: list[str], out_cols: list[str]):
+    """Cogroup function: part of a block's queries against its points."""
     def run(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         if q.empty or p.empty:   # typed empty frame (untyped columns break the Arrow writer)
-            return pd.DataFrame({c: pd.Series([], dtype={"dist2": "float64", "rank": "int32"}.get(c, object))
-                                 for c in out_cols})
-        Q = np.stack(q["qf"].to_numpy())
-        P = np.stack(p["nf"].to_numpy())
-        qid = q["qid"].to_numpy()
-        nid = p["nid"].to_numpy()
-        # neighbour-id rank: ties in distance break by id, whatever the id type
-        nrank = np.argsort(np.argsort(nid, kind="stable"), kind="stable")
-        parts = []
-        for q0 in range(0, len(Q), q_chunk):
-            qs = slice(q0, q0 + q_chunk)
-            best_d = np.full((len(Q[qs]), 0), np.inf)
-            best_j = np.zeros((len(Q[qs]), 0), dtype=np.int64)
-            for p0 in range(0, len(P), p_chunk):
-                ps = slice(p0, p0 + p_chunk)
-                d = np.zeros((len(Q[qs]), len(P[ps])))
-                for j in range(Q.shape[1]):          # left-to-right sum over dimensions
-                    diff = Q[qs, j:j + 1] - P[None, ps, j]
-                    d += diff * diff
-                if exclude_self:
-                    d[qid[qs][:, None] == nid[ps][None, :]] = np.inf
-                cand_d = np.concatenate([best_d, d], axis=1)
-                cand_j = np.concatenate([best_j, np.broadcast_to(np.arange(p0, p0 + d.shape[1]), d.shape)],
-                                        axis=1)
-                order = np.lexsort((nrank[cand_j], cand_d), axis=1)[:, :k]
-                best_d = np.take_along_axis(cand_d, order, axis=1)
-                best_j = np.take_along_axis(cand_j, order, axis=1)
-            rows = np.repeat(np.arange(q0, q0 + best_d.shape[0]), best_d.shape[1])
-            cols = best_j.ravel()
-            dist = best_d.ravel()
-            ok = np.isfinite(dist)
-            part = {"qid": pd.Series(qid[rows][ok], dtype=object),
-                    "nid": pd.Series(nid[cols][ok], dtype=object),
-                    "dist2": dist[ok],
-                    "rank": np.tile(np.arange(1, best_d.shape[1] + 1), best_d.shape[0])[ok].astype("int32")}
-            for c in keep_cols:
-                part[c] = pd.Series(p[c].to_numpy()[cols][ok], dtype=object)
-            parts.append(pd.DataFrame(part)[out_cols])
-        return pd.concat(parts, ignore_index=True)
+            return pd.DataFrame({c: pd.Series([], dtype={"dist2": "float64"}.get(c, object)) for c in out_cols})
+        qid, nid = q["qid"].to_numpy(), p["nid"].to_numpy()
+        i, j, d = nearest_in_block(np.stack(q["qf"].to_numpy()), qid, q["r2"].to_numpy(float), np.stack(p["nf"].to_numpy()),
+                                   nid, k, exclude_self)
+        out = {"qid": pd.Series(qid[i], dtype=object), "nid": pd.Series(nid[j], dtype=object), "dist2": d}
+        for c in keep_cols:
+            out[c] = pd.Series(p[c].to_numpy()[j], dtype=object)
+        return pd.DataFrame(out)[out_cols]
     return run
 
 
-def _final_top_k(pairs: DataFrame, k: int) -> DataFrame:
+# --- cells, blocks and pieces ---------------------------------------------------
+
+def _with_cell(pivots: np.ndarray, vector: str):
+    def run(batches):
+        for pdf in batches:
+            x = np.stack(pdf[vector].to_numpy()) if len(pdf) else np.zeros((0, pivots.shape[1]))
+            cell = distances(x, pivots).argmin(1)
+            yield pdf.assign(cell=cell.astype("int32"), dist=np.sqrt(((x - pivots[cell]) ** 2).sum(1)))
+    return run
+
+
+def _numbered(df: DataFrame, order: list[str], parts: int) -> DataFrame:
+    """``idx``: each row's place in the order, from counts of range parts."""
+    d = materialize(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
+    over = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
+    before = d.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_part").orderBy(*order)
+    return (d.join(before, "_part").withColumn("idx", F.col("_before") + F.row_number().over(inside) - 1)
+            .drop("_part", "_before"))
+
+
+class Pieces:
+    """Cells in blocks: cell, least and greatest pivot distance, first and last block."""
+
+    def __init__(self, rows: list, pivots: np.ndarray):
+        self.cell, self.first, self.last = (np.array([r[c] for r in rows], np.int64) for c in ("cell", "first", "last"))
+        self.lo, self.hi = (np.array([r[c] for r in rows], float) for c in ("lo", "hi"))
+        self.pivots = pivots
+
+    def bounds(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(each query's piece by its own place, lower bounds of distances to the points of every piece)."""
+        d = distances(q, self.pivots)
+        err = 1e-12 * (q.shape[1] + 8) * ((q * q).sum(1)[:, None] + (self.pivots ** 2).sum(1).max())  # of squares
+        least, most = np.sqrt(np.maximum(0.0, d * d - err))[:, self.cell], np.sqrt(d * d + err)[:, self.cell]
+        low = np.maximum(0.0, np.maximum(least - self.hi, self.lo - most)) * (1 - SLACK)
+        home = np.where(self.cell == d.argmin(1)[:, None], low, np.inf).argmin(1)
+        return home, low
+
+    def home(self):
+        def run(batches):
+            for pdf in batches:
+                if len(pdf):
+                    home, _ = self.bounds(np.stack(pdf["qf"].to_numpy()))
+                    yield pdf.assign(block=self.first[home], r2=np.inf)
+        return run
+
+    def others(self):
+        """Queries with their home block and bound r2 -> a row for every other block they must meet."""
+        def run(batches):
+            for pdf in batches:
+                for at in range(0, len(pdf), 256):
+                    part = pdf.iloc[at:at + 256]
+                    _, low = self.bounds(np.stack(part["qf"].to_numpy()))
+                    hit = low * low <= part["r2"].to_numpy(float)[:, None]
+                    row, block = [], []
+                    for i, home in enumerate(part["home"].to_numpy()):
+                        to = {b for x in np.flatnonzero(hit[i]) for b in range(self.first[x], self.last[x] + 1)} - {home}
+                        row += [i] * len(to)
+                        block += to
+                    yield part.iloc[row].drop(columns="home").assign(block=np.asarray(block, np.int64))
+        return run
+
+
+def _blocks(P: DataFrame, n: int, block: int) -> tuple[DataFrame, Pieces]:
+    sample = [r[0] for r in P.select("nf").orderBy(F.md5(F.col("nid").cast("string")), "nid").limit(SAMPLE).collect()]
+    x = np.asarray(sample, float)
+    pivots = x[farthest_first(x, min(PIVOTS, max(2, n // 1024)))[0]]
+    celled = P.mapInPandas(_with_cell(pivots, "nf"), _schema(P, "cell int, dist double"))
+    parts = max(int(P.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // (32 * block))
+    points = materialize(_numbered(celled, ["cell", "dist", "nid"], parts).withColumn("block", F.floor(F.col("idx") / block)).drop("idx"))
+    share = -(-n // (block * PIECES))
+    rows = points.groupBy("cell", F.floor(F.col("block") / share).alias("_b")).agg(
+        F.min("dist").alias("lo"), F.max("dist").alias("hi"), F.min("block").alias("first"), F.max("block").alias("last")).collect()
+    return points.drop("cell", "dist"), Pieces(sorted(rows, key=lambda r: (r["cell"], r["first"])), pivots)
+
+
+def _schema(df: DataFrame, more: str) -> str:
+    return ", ".join([f"`{c}` {t}" for c, t in df.dtypes] + [more])
+
+
+def _best(pairs: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("qid").orderBy("dist2", "nid")
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def knn(queries: DataFrame, points: DataFrame, k: int, id_col: str = "id",
-        feat_col: str = "features", exclude_self: bool = True, bucket_size: int = 256,
-        keep_cols: list[str] | None = None, chunks: tuple[int, int] = (Q_CHUNK, P_CHUNK)) -> DataFrame:
+def knn(queries: DataFrame, points: DataFrame, k: int, id_col: str = "id", feat_col: str = "features",
+        exclude_self: bool = True, keep_cols: list[str] | None = None, block: int = BLOCK, q_chunk: int = Q_CHUNK) -> DataFrame:
     """(qid, nid, dist2, rank[, keep_cols of the neighbour]) for the k nearest points."""
     keep_cols = keep_cols or []
-    P = points.select(F.col(id_col).alias("nid"), F.col(feat_col).cast("array<double>").alias("nf"),
-                      *keep_cols)
-    P = P.withColumn("np", projection(F.col("nf")))
+    spark = queries.sparkSession
+    P = points.select(F.col(id_col).alias("nid"), F.col(feat_col).cast("array<double>").alias("nf"), *keep_cols)
     Q = queries.select(F.col(id_col).alias("qid"), F.col(feat_col).cast("array<double>").alias("qf"))
-    Q = Q.withColumn("qp", projection(F.col("qf")))
-    id_type = dict(P.dtypes)["nid"]
-    keep_types = [dict(P.dtypes)[c] for c in keep_cols]
-    out_cols = ["qid", "nid", "dist2", "rank", *keep_cols]
-    schema = ", ".join([f"qid {id_type}", f"nid {id_type}", "dist2 double", "rank int"]
-                       + [f"`{c}` {t}" for c, t in zip(keep_cols, keep_types)])
-
-    st = P.agg(F.min("np").alias("lo"), F.max("np").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    if st is None or st["n"] == 0 or st["lo"] is None:
-        return queries.sparkSession.createDataFrame([], schema)
-    span = float(st["hi"] - st["lo"])
-    w = max(span * bucket_size / max(st["n"], 1), 1e-12)
-    lo_b = int(math.floor(st["lo"] / w))
-    hi_b = int(math.floor(st["hi"] / w))
-    P = P.withColumn("nb", F.floor(F.col("np") / F.lit(w)))
-    Q = Q.withColumn("qb", F.floor(F.col("qp") / F.lit(w)))
-    fn = _block_top_k(k, exclude_self, keep_cols, out_cols, *chunks)
-
-    def meet(asked: DataFrame) -> DataFrame:
-        """asked(jb, qid, qf): the k best of each query among the points of the buckets jb."""
-        q_size = asked.groupBy("jb").agg(F.count(F.lit(1)).alias("m"))
-        p_size = P.groupBy(F.col("nb").alias("jb")).agg(F.count(F.lit(1)).alias("n"))
-        cells = materialize(q_size.join(p_size, "jb").select(
-            "jb", F.ceil(F.col("m") / chunks[0]).cast("int").alias("sq"), F.ceil(F.col("n") / chunks[1]).cast("int").alias("sp")))
-        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        left = (asked.join(cells, "jb").withColumn("bq", F.pmod(F.xxhash64("qid"), F.col("sq")).cast("int"))
-                .withColumn("bp", every("sp")).select("jb", "bp", "bq", "qid", "qf"))
-        right = (P.withColumnRenamed("nb", "jb").join(cells, "jb")
-                 .withColumn("bp", F.pmod(F.xxhash64("nid"), F.col("sp")).cast("int"))
-                 .withColumn("bq", every("sq")).select("jb", "bp", "bq", "nid", "nf", *keep_cols))
-        part = left.groupBy("jb", "bp", "bq").cogroup(right.groupBy("jb", "bp", "bq")).applyInPandas(fn, schema)
-        return _final_top_k(part, k)
-
-    # 1. own and adjacent buckets
-    near = F.explode(F.array(F.col("qb") - 1, F.col("qb"), F.col("qb") + 1))
-    best = materialize(meet(Q.select(near.alias("jb"), "qid", "qf")))
-    rad = best.groupBy("qid").agg(F.count(F.lit(1)).alias("found"), F.max("dist2").alias("r2"))
-    # 2. certify (a hair of slack against rounding in the projections)
-    qr = Q.join(rad, "qid", "left")
-    r = F.sqrt(F.col("r2")) * F.lit(1.0 + 1e-9) + F.lit(w * 1e-9)
-    ok = ((F.col("found") == k)
-          & (F.col("qp") - r >= (F.col("qb") - 1) * F.lit(w))
-          & (F.col("qp") + r < (F.col("qb") + 2) * F.lit(w)))
-    certified = qr.where(ok).select("qid")
-    # 3. exact search over the whole band of the others
-    todo = qr.where(~ok | ok.isNull())
-    b_lo = F.when(F.col("found") == k, F.floor((F.col("qp") - r) / F.lit(w))).otherwise(F.lit(lo_b))
-    b_hi = F.when(F.col("found") == k, F.floor((F.col("qp") + r) / F.lit(w))).otherwise(F.lit(hi_b))
-    b_lo = F.greatest(b_lo, F.lit(lo_b)).cast("long")
-    b_hi = F.least(b_hi, F.lit(hi_b)).cast("long")
-    redo = meet(todo.select(F.explode(F.sequence(b_lo, b_hi)).alias("jb"), "qid", "qf"))
-    first = best.join(certified, "qid", "left_semi")
-    return first.select(*out_cols).unionByName(redo.select(*out_cols))
+    types = dict(P.dtypes)
+    out_cols = ["qid", "nid", "dist2", *keep_cols]
+    schema = ", ".join([f"qid {types['nid']}", f"nid {types['nid']}", "dist2 double"] + [f"`{c}` {types[c]}" for c in keep_cols])
+    final = ["qid", "nid", "dist2", "rank", *keep_cols]
+    n, n_queries = P.count(), Q.count()
+    if not n or not n_queries:
+        return spark.createDataFrame([], f"{schema}, rank int").select(*final)
+    tasks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunk = min(q_chunk, max(Q_LEAST, -(-n_queries // tasks)))
+    search = _search(k, exclude_self, keep_cols, out_cols)
+
+    def meet(asked: DataFrame, held: DataFrame) -> DataFrame:
+        """asked(block, qid, qf, r2): the k best of each query among the points of its blocks."""
+        sizes = materialize(asked.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("parts")))
+        left = asked.join(sizes, "block").withColumn("part", F.pmod(F.xxhash64("qid"), F.col("parts")).cast("int"))
+        right = held.join(sizes, "block").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        return (left.select("block", "part", "qid", "qf", "r2").groupBy("block", "part")
+                .cogroup(right.select("block", "part", "nid", "nf", *keep_cols).groupBy("block", "part")).applyInPandas(search, schema))
+
+    if n <= block:  # one block
+        parts = -(-n_queries // chunk)
+        part = F.pmod(F.xxhash64("qid"), F.lit(parts)).cast("int")
+        left = Q.withColumns({"part": part, "r2": F.lit(math.inf)})
+        right = P.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        return _best(left.groupBy("part").cogroup(right.groupBy("part")).applyInPandas(search, schema), k).select(*final)
+
+    held, pieces = _blocks(P, n, block)
+    asked = materialize(Q.mapInPandas(pieces.home(), _schema(Q, "block long, r2 double")))
+    first = materialize(meet(asked, held))
+    worst = first.groupBy("qid").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist2")).otherwise(F.lit(math.inf)).alias("r2"))
+    going = (asked.drop("r2").withColumnRenamed("block", "home").join(worst, "qid", "left")
+             .withColumn("r2", F.coalesce("r2", F.lit(math.inf))).select("qid", "qf", "home", "r2"))
+    rest = materialize(going.mapInPandas(pieces.others(), _schema(going.drop("home"), "block long")))
+    return _best(first.unionByName(meet(rest, held)), k).select(*final)

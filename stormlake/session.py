@@ -100,7 +100,7 @@ def materialize(df: DataFrame) -> DataFrame:
     back.  It survives executor loss because the files live in the shared
     folder.
     """
-    return Stages(df.sparkSession).save(df)
+    return Stages(df.sparkSession, clean=False).save(df)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -112,10 +112,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 class Stages:
     """Stage tables of one operator run: written to the shared scratch folder,
-    read back, and dropped when the operator no longer needs them."""
+    read back, and dropped when the operator no longer needs them.  ``clean``: free the
+    shuffle files behind a table once it is written, for operators that shuffle much more than they keep."""
 
-    def __init__(self, spark: SparkSession, name: str = "stage"):
-        self.spark, self.name = spark, name
+    def __init__(self, spark: SparkSession, name: str = "stage", clean: bool = True):
+        self.spark, self.name, self.clean = spark, name, clean
         self._paths: dict[int, tuple[DataFrame, str]] = {}
 
     def path(self, what: str) -> str:
@@ -124,10 +125,11 @@ class Stages:
     def save(self, df: DataFrame, what: str = "stage") -> DataFrame:
         path = self.path(what)
         df.write.mode("overwrite").parquet(path)
-        # the shuffle files behind the finished write go once the driver's
-        # references to that query are collected
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        if self.clean:
+            # the shuffle files behind the finished write go once the driver's
+            # references to that query are collected
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(out)] = (out, path)
         return out

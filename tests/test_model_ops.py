@@ -75,7 +75,7 @@ def test_knn_exact(spark, clustered):
     df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)],
                                "id long, features array<double>")
     got = {}
-    for r in knn(df, df, 5, bucket_size=16, chunks=(7, 5)).collect():
+    for r in knn(df, df, 5, block=16, q_chunk=7).collect():
         got.setdefault(r.qid, []).append((r.rank, r.nid))
     got = {q: [n for _, n in sorted(v)] for q, v in got.items()}
     assert got == _brute(x, 5)
@@ -106,10 +106,10 @@ def test_balancers_raise_every_class(spark):
 
 
 def test_knn_many_equal_points_in_small_blocks(spark):
-    """One projection value for most points: blocks are small and the result exact."""
+    """Most points are one point: blocks are small and the result exact."""
     rows = [(i, [1.0, 2.0] if i < 60 else [float(i), 0.0]) for i in range(80)]
     df = spark.createDataFrame(rows, "id long, features array<double>")
-    got = knn(df, df, 3, chunks=(16, 8)).collect()
+    got = knn(df, df, 3, block=8, q_chunk=16).collect()
     near = {}
     for r in got:
         near.setdefault(r.qid, []).append((r.dist2, r.nid))
@@ -117,3 +117,36 @@ def test_knn_many_equal_points_in_small_blocks(spark):
     for q, found in near.items():
         exp = sorted((float(((p[q] - p[i]) ** 2).sum()), i) for i in p if i != q)[:3]
         assert sorted(found) == exp
+
+
+def _clusters(n, seed=3):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(40, 16)) * 5
+    return centres[rng.integers(40, size=n)] + rng.normal(size=(n, 16)) * 0.3
+
+
+def test_knn_leaves_out_pairs_of_far_clusters():
+    from stormlake.operators.knn import Compared, nearest_in_block
+    x, ids, seen = _clusters(4000), np.arange(4000), Compared()
+    i, j, d = nearest_in_block(x[:500], ids[:500], np.full(500, np.inf), x, ids, 5, True, seen)
+    full = ((x[:500, None] - x) ** 2).sum(-1)
+    full[np.arange(500), np.arange(500)] = np.inf
+    assert (j.reshape(500, 5) == np.argsort(full, axis=1, kind="stable")[:, :5]).all()
+    assert seen.all == 500 * 4000 and seen.done < 0.2 * seen.all
+
+
+def test_knn_sends_queries_to_few_blocks(spark):
+    from stormlake.operators import knn as K
+    x = _clusters(3000)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "nid long, nf array<double>")
+    held, pieces = K._blocks(df, 3000, 100)
+    assert held.groupBy("block").count().agg({"count": "max"}).first()[0] == 100 and held.select("block").distinct().count() == 30
+    q = df.selectExpr("nid AS qid", "nf AS qf").toPandas()
+    home = next(pieces.home()(iter([q])))["block"].to_numpy()
+    full = np.sort(((x[:, None] - x) ** 2).sum(-1), axis=1)[:, 5]
+    rest = next(pieces.others()(iter([q.iloc[:256].assign(home=home[:256], r2=full[:256])])))
+    assert rest.groupby("qid").size().max() <= 29 and len(rest) < 0.4 * 256 * 30
+    got = {}
+    for r in K.knn(df.selectExpr("nid AS id", "nf AS features"), df.selectExpr("nid AS id", "nf AS features"), 5, block=100).collect():
+        got.setdefault(r.qid, []).append((r.rank, r.nid))
+    assert {q: [n for _, n in sorted(v)] for q, v in got.items()} == _brute(x, 5)

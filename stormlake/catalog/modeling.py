@@ -9,12 +9,12 @@ from stormlake import oracles as O
 from stormlake.catalog import register
 from stormlake.catalog.layers import silver_base2_df, silver_disaster_df
 from stormlake.functions.scalars import uniform_sql
-from stormlake.operators import metrics, sampling
+from stormlake.operators import metrics, sampling, trees
 from stormlake.operators.features import model_table
 from stormlake.operators.knn import knn
 from stormlake.plans import gold
 from stormlake.plans.runs import run_table
-from stormlake.session import materialize
+from stormlake.session import materialize, scratch_path
 from stormlake.sources import fixtures as X
 from stormlake.sources.series import expand_series
 
@@ -281,19 +281,103 @@ def q_feature_scores(spark, sf):
 @register("decision_tree_runs")
 def q_decision_tree_runs(spark, sf):
     """ML1 + ML4 + ML5 + RN1 (rows-only check): a decision tree per base_2
-    training city -- split, 50-trial random search on recall, refit, test
+    training city -- split, 50 trials searched for recall, refit, test
     metrics -- one run row each."""
-    from stormlake.plans.training import train_one
-    t = materialize(model_table(gold2(spark, sf), ["city_id"]))
-    runs = []
-    for city in C.TRAINING_CITIES["base_2"]:
-        cid = C.CITIES.index(city)
-        r, _ = train_one(spark, t.where(F.col("city_id") == cid), "decision_tree", "base_2", city)
-        runs.append(r)
-    out = runs[0]
-    for r in runs[1:]:
-        out = out.unionByName(r)
+    from stormlake.plans.training import train_matrix
+    out = train_matrix(spark, _city_tables(spark, {"base_2": gold2(spark, sf)}), ["decision_tree"], [None])
     return out.select("experiment", "status", F.col("params")["city"].alias("city"),
                       F.col("params")["max_depth"].alias("max_depth"),
                       F.col("metrics")["recall"].alias("recall"),
                       F.col("metrics")["auc_roc"].alias("auc_roc"))
+
+
+def _city_tables(spark, golds):
+    """(source, city) -> model table of the cities that the source trains on."""
+    tables = {}
+    for source, gold_rows in golds.items():
+        t = materialize(model_table(gold_rows, ["city_id"]))
+        for city in C.TRAINING_CITIES[source]:
+            tables[source, city] = t.where(F.col("city_id") == C.CITIES.index(city))
+    return tables
+
+
+#: Boosted trees of the matrix query: few, as each is some jobs.
+_FEW = {m: {"n_estimators": ("choice", [3])} for m in ("boosted_trees_a", "boosted_trees_b")}
+
+
+def _matrix_sql() -> str:
+    golds = " UNION ALL ".join(f"SELECT '{s}' AS base, city_id, disaster_occurred AS y FROM ({g()}) g{i}" for i, (s, g) in enumerate(
+        {"base_1": O.gold_base1, "base_2": O.gold_base2, "base_3": O.gold_base3}.items()))
+    pairs = ", ".join(f"('{s}', '{c}', {C.CITIES.index(c)})" for s, cities in C.TRAINING_CITIES.items() for c in cities)
+    ways = ", ".join(f"('{b or 'None'}')" for b in C.BALANCING_METHODS)
+    return f"""
+WITH g AS ({golds}),
+c AS (SELECT base, city_id, y, count(*) AS n, CAST(ceil(count(*) * {C.TEST_SIZE}::DOUBLE) AS BIGINT) AS test FROM g GROUP BY ALL),
+s AS (SELECT base, city_id, sum(n - test) AS train, min(n - test) AS least, max(n - test) AS most, sum(test) AS n_test,
+        sum(test) FILTER (WHERE y = 1) AS pos_test, sum(n - test) FILTER (WHERE y = 1) AS pos FROM c GROUP BY ALL)
+SELECT p.base, p.city, w.balancing, m.model, 'FINISHED' AS status,
+  CASE w.balancing WHEN 'None' THEN train WHEN 'SMOTE' THEN 2 * most WHEN 'RandomUnderSampler' THEN 2 * least END AS n_train,
+  CASE w.balancing WHEN 'None' THEN pos WHEN 'SMOTE' THEN most WHEN 'RandomUnderSampler' THEN least END AS pos_train,
+  n_test, pos_test, n_test AS n_predicted, true AS same_recall, true AS same_cells, true AS within_ranges
+FROM (VALUES {pairs}) p(base, city, city_id) JOIN s USING (base, city_id),
+  (VALUES {ways}) w(balancing), (VALUES ('decision_tree'), ('boosted_trees_a'), ('boosted_trees_b')) m(model)"""
+
+
+@register("model_matrix", _matrix_sql)
+def q_model_matrix(spark, sf):
+    """PL11: nine (source, city) tables x five balancers x three families, two trials each, in the
+    same jobs.  Exact parts: sizes and class counts of the splits and of balanced train, stored predictions,
+    recall and confusion counts worked out again from them, parameters within their ranges."""
+    from stormlake.catalog.layers import (silver_base1_daily_df, silver_base1_hourly_df, silver_base3_daily_df,
+                                          silver_base3_hourly_df)
+    from stormlake.plans.training import MODELS, train_matrix
+    dis = materialize(silver_disaster_df(spark, sf))
+    golds = {"base_1": gold.gold_base1(silver_base1_daily_df(spark, sf), silver_base1_hourly_df(spark, sf), dis),
+             "base_2": gold.gold_base2(silver_base2_df(spark, sf), dis),
+             "base_3": gold.gold_base3(silver_base3_daily_df(spark, sf), silver_base3_hourly_df(spark, sf), dis)}
+    kept = scratch_path(spark, "matrix")
+    runs = train_matrix(spark, _city_tables(spark, golds), n_trials=2, spaces=_FEW, models_path=kept)
+    again = spark.read.parquet(f"{kept}/predictions").groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("n_predicted"), *[F.count(F.when((F.col("label") == a) & (F.col("prediction") == p), 1)).alias(f"c{a}{p}")
+                                                  for a in (0, 1) for p in (0, 1)])
+    m, q = (lambda c: F.col("metrics")[c]), (lambda c: F.col("params")[c])
+    whole = lambda c: m(c).cast("long").alias(c)
+    recall = F.when(F.col("c11") + F.col("c10") > 0, F.col("c11") / (F.col("c11") + F.col("c10"))).otherwise(F.lit(0.0))
+    within = F.lit(True)
+    for model, (space, _) in MODELS.items():
+        for name, (kind, *what) in {**space, **_FEW.get(model, {})}.items():
+            ok = q(name).isin([str(v) for v in what[0]]) if kind == "choice" else q(name).cast("double").between(*what)
+            within = within & ((q("model") != model) | F.coalesce(ok, F.lit(False)))
+    exact = q("balancing_method").isin("ADASYN", "SMOTEENN")  # their sizes depend on neighbours
+    return runs.join(again, "run_id", "left").select(
+        q("base").alias("base"), q("city").alias("city"), q("balancing_method").alias("balancing"), q("model").alias("model"), "status",
+        *[F.when(~exact, m(c).cast("long")).alias(c) for c in ("n_train", "pos_train")], whole("n_test"), whole("pos_test"), "n_predicted",
+        (m("recall") == recall).alias("same_recall"),
+        ((m("count_00") == F.col("c00")) & (m("count_01") == F.col("c01")) & (m("count_10") == F.col("c10")) & (m("count_11") == F.col("c11"))).alias("same_cells"),
+        within.alias("within_ranges"))
+
+
+def _pinned(spark, sf, run):
+    """Scores of one fitted run on the embedding vectors, every row binned and scored."""
+    v = X.vectors(spark, sf).select(F.lit(0).alias("dataset"), F.lit(0).alias("part"), F.col("id").cast("long").alias("rid"),
+                                    F.col("disaster_occurred").alias("label"), "features")
+    rows = materialize(trees.binned(v, trees.bin_edges(v)))
+    return trees.predictions(rows, {0: trees.fit(rows, [run])[0]}, [0]).select("rid", "label", "score", "prediction")
+
+
+@register("decision_tree_scores")
+def q_decision_tree_scores(spark, sf):
+    """ML1 (rows-only check; equal to a plain tree in tests): one tree with min split, min leaf and a feature share per node."""
+    return _pinned(spark, sf, trees.Run(0, "tree", depth=40, min_split=4, min_leaf=2, max_features="sqrt", seed=C.SEED))
+
+
+@register("boosted_a_scores")
+def q_boosted_a_scores(spark, sf):
+    """ML2 (rows-only check; equal to a plain booster in tests): rows and columns drawn per tree, pinned seed."""
+    return _pinned(spark, sf, trees.Run(0, "depth", trees=6, depth=4, rate=0.3, row_share=0.8, col_share=0.7, l2=1.0, min_hessian=1.0, seed=C.SEED))
+
+
+@register("boosted_b_scores")
+def q_boosted_b_scores(spark, sf):
+    """ML3 (rows-only check; equal to a plain booster in tests): best-first growth, leaf budget, least gain."""
+    return _pinned(spark, sf, trees.Run(0, "leaf", trees=6, leaves=20, rate=0.1, min_leaf=5, min_hessian=1e-3, min_gain=0.01, prior=True, seed=C.SEED))

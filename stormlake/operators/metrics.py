@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stormlake.session import materialize
+
 
 def _ratio(num, den):
     return F.when(den > 0, num.cast("double") / den.cast("double")).otherwise(F.lit(0.0))
@@ -30,28 +32,20 @@ def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "predi
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
-            group_cols: list[str] | None = None, buckets: int | None = None,
-            bucket_rows: int = 1 << 18) -> DataFrame:
+            group_cols: list[str] | None = None, parts: int | None = None) -> DataFrame:
     """AG13: exact ROC AUC by the rank-sum (Mann-Whitney) formula, ties at half.
 
-    Ranks need a global order of the scores; it is split by quantile buckets of
-    the score (``QuantileDiscretizer``, JVM-side), one for about ``bucket_rows``
-    rows: bucket totals give each
-    bucket's starting rank through a window over the small bucket table, and
-    ranks inside a bucket come from a window partitioned by bucket, over
-    distinct scores.  Tied rows share the average rank.  One class -> null.
+    Ranks need a global order of the scores: the distinct scores, with their counts, are
+    dealt into ``parts`` by range (default: the shuffle partitions) and written once; a window over the parts'
+    counts (one row a part and group) gives each part's first rank, and ranks
+    inside a part come from a window over it.  Tied rows share the average rank.  One class -> null.
     """
-    from pyspark.ml.feature import QuantileDiscretizer
-
     g = group_cols or []
     d = df.select(*g, F.col(label).alias("__y"), F.col(score).cast("double").alias("__s"))
-    d = d.where(F.col("__s").isNotNull())
-    buckets = buckets or max(2, -(-d.count() // bucket_rows))
-    qd = QuantileDiscretizer(numBuckets=buckets, inputCol="__s", outputCol="__b",
-                             relativeError=min(0.001, 0.25 / buckets), handleInvalid="keep")
-    d = qd.fit(d).transform(d)
-    per = d.groupBy(*g, "__b", "__s").agg(
+    per = d.where(F.col("__s").isNotNull()).groupBy(*g, "__s").agg(
         F.count(F.lit(1)).alias("__n"), F.sum((F.col("__y") == 1).cast("long")).alias("__pos"))
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per = materialize(per.repartitionByRange(parts, *g, "__s").withColumn("__b", F.spark_partition_id()))
     tot = per.groupBy(*g, "__b").agg(F.sum("__n").alias("__bn"))
     wb = Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.withColumn("__bbelow", F.coalesce(F.sum("__bn").over(wb), F.lit(0))).drop("__bn")

@@ -38,7 +38,9 @@ from stormlake.session import Stages
 BINS = 255
 SAVE = 8
 UNIT = float(1 << 30)
-MOST_HELD = 1 << 26  # bytes of histograms that a task holds before it gives them out
+MOST_HELD = 1 << 27  # bytes of cells that a task holds before it adds them up, or gives them out
+BUCKETS = 8
+_NODE_SHIFT = 32  # of a node in a cell's key, above 24 bits of feature and 8 of bin
 _EDGE_ACCURACY = 100_000
 
 
@@ -266,69 +268,95 @@ def _margin(bins: np.ndarray, margins: np.ndarray | None, place: int, base: floa
     return out
 
 
-def _histograms(work: dict[int, list[tuple]], saved: bool):
-    """mapInPandas: rows -> (run, node, hist): this task's histograms of the open nodes."""
-    def run(batches):
-        held: dict[tuple[int, int], np.ndarray] = {}
+class _Cells:
+    """Sums of (n, g, h) by (node, feature, bin), of the cells that have rows."""
+
+    def __init__(self):
+        self.key, self.sums, self.parts = np.zeros(0, np.int64), np.zeros((0, 3), np.int64), []
+
+    def add(self, key: np.ndarray, sums: np.ndarray) -> None:
+        self.parts.append((key, sums))
 
-        def give():
-            out = pd.DataFrame([(r, n, h.tobytes()) for (r, n), h in held.items()], columns=["run", "node", "hist"])
-            held.clear()
-            return out
+    def merge(self) -> None:
+        key = np.concatenate([self.key, *(k for k, _ in self.parts)])
+        sums = np.concatenate([self.sums, *(s for _, s in self.parts)])
+        self.key, of = np.unique(key, return_inverse=True)
+        order = np.argsort(of, kind="stable")
+        edge = np.searchsorted(of[order], np.arange(len(self.key)))
+        self.sums, self.parts = np.add.reduceat(sums[order], edge, axis=0) if len(edge) else sums, []
 
+
+def _histograms(work: dict[int, list[tuple]], saved: bool):
+    """mapInPandas: rows -> (run, bucket of nodes, cells): this task's histograms of the open nodes."""
+    def give(held: dict[int, _Cells]) -> pd.DataFrame:
+        out = []
+        for number, cells in held.items():
+            cells.merge()
+            node = cells.key >> _NODE_SHIFT
+            for bucket in np.unique(node % BUCKETS):
+                at = node % BUCKETS == bucket
+                out.append((number, int(bucket), cells.key[at].tobytes(), cells.sums[at].tobytes()))
+        held.clear()
+        return pd.DataFrame(out, columns=["run", "bucket", "cells", "sums"])
+
+    def run(batches):
+        held: dict[int, _Cells] = {}
         size = 0
         for pdf in batches:
             for d, part, bins, margins in _batches_by_dataset(pdf, saved):
                 label, rid, parts = part["label"].to_numpy(), part["rid"].to_numpy(np.int64), part["part"].to_numpy()
-                features = bins.shape[1]
+                cell = (np.arange(bins.shape[1]) << 8) | bins
                 for number, r, place, base, since, tree, open_, no in work.get(int(d), []):
                     rows = np.isin(parts, r.parts)
                     if r.row_share < 1.0:
                         rows &= uniform(rid, r.seed, no, 0) < r.row_share
                     rows = np.flatnonzero(rows)
                     node = tree.leaf_of(bins[rows])
-                    slot = np.full(len(tree.feature), -1)
-                    slot[open_] = np.arange(len(open_))
-                    at = slot[node]
-                    rows, at = rows[at >= 0], at[at >= 0]
+                    wanted = np.zeros(len(tree.feature), bool)
+                    wanted[open_] = True
+                    rows, node = rows[wanted[node]], node[wanted[node]]
                     if not len(rows):
                         continue
                     margin = None if r.family == "tree" else _margin(
                         bins[rows], None if margins is None else margins[rows], place, base, since)
                     g, h = gradients(r, label[rows], margin)
-                    hist = np.zeros((len(open_), features, BINS + 1, 3), np.int64)
-                    cells = len(open_) * (BINS + 1)
-                    for f in range(features):
-                        key = at * (BINS + 1) + bins[rows, f]
-                        for k, w in enumerate((None, g, h)):
-                            hist[:, f, :, k] = np.rint(np.bincount(key, w, cells)).astype(np.int64).reshape(len(open_), -1)
-                    for i in np.unique(at):
-                        key = (number, int(open_[i]))
-                        if key in held:
-                            held[key] += hist[i]
-                        else:
-                            held[key] = hist[i].copy()
-                            size += hist[i].nbytes
+                    each = np.stack([np.ones(len(rows), np.int64), g, h], axis=1)
+                    cells = held.setdefault(number, _Cells())
+                    cells.add(((node[:, None] << _NODE_SHIFT) | cell[rows]).ravel(), np.repeat(each, bins.shape[1], axis=0))
+                    size += 32 * rows.size * bins.shape[1]
                     if size > MOST_HELD:
-                        yield give()
-                        size = 0
+                        for c in held.values():
+                            c.merge()
+                        size = 32 * sum(len(c.key) for c in held.values())
+                        if size > MOST_HELD // 2:
+                            yield give(held)
+                            size = 0
         if held:
-            yield give()
+            yield give(held)
     return run
 
 
 _SPLIT = "run int, node int, feature int, cut int, gain double, n long, g long, h long, ln long, lg long, lh long"
 
 
-def _choose(rules: dict[int, tuple[Run, np.ndarray]]):
-    """applyInPandas over (run, node): add up the histograms, find the best split."""
+def _choose(rules: dict[int, tuple[Run, int, np.ndarray]]):
+    """applyInPandas over (run, bucket): add up the histograms, find each node's best split."""
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        number, node = int(pdf["run"].iloc[0]), int(pdf["node"].iloc[0])
-        hist = sum(np.frombuffer(x, np.int64) for x in pdf["hist"]).reshape(-1, BINS + 1, 3)
-        run, columns = rules[number]
-        feature, cut, gain, left = best_split(run, hist, columns, node)
-        return pd.DataFrame([(number, node, feature, cut, gain, *hist[0].sum(0).tolist(), *(int(x) for x in left))],
-                            columns=[c.split()[0] for c in _SPLIT.split(", ")])
+        number = int(pdf["run"].iloc[0])
+        cells = _Cells()
+        for key, sums in zip(pdf["cells"], pdf["sums"], strict=True):
+            cells.add(np.frombuffer(key, np.int64), np.frombuffer(sums, np.int64).reshape(-1, 3))
+        cells.merge()
+        run, features, columns = rules[number]
+        node, out = cells.key >> _NODE_SHIFT, []
+        for n in np.unique(node):
+            at = node == n
+            hist = np.zeros((features << 8, 3), np.int64)
+            hist[cells.key[at] & ((1 << _NODE_SHIFT) - 1)] = cells.sums[at]
+            hist = hist.reshape(features, 256, 3)
+            feature, cut, gain, left = best_split(run, hist, columns, int(n))
+            out.append((number, int(n), feature, cut, gain, *hist[0].sum(0).tolist(), *(int(x) for x in left)))
+        return pd.DataFrame(out, columns=[c.split()[0] for c in _SPLIT.split(", ")])
     return one
 
 
@@ -425,9 +453,9 @@ def fit(rows: DataFrame, runs: list[Run], save_every: int = SAVE) -> list[Model]
             x = growths[i]
             work.setdefault(x.run.dataset, []).append((
                 i, x.run, x.place, x.model.base, since[i], x.tree, np.asarray(x.open), len(x.model.trees)))
-            rules[i] = x.run, x.columns
-        found = ((saved or rows).mapInPandas(_histograms(work, saved is not None), "run int, node int, hist binary")
-                 .groupBy("run", "node").applyInPandas(_choose(rules), _SPLIT).collect())  # a row a node
+            rules[i] = x.run, x.features, x.columns
+        found = ((saved or rows).mapInPandas(_histograms(work, saved is not None), "run int, bucket int, cells binary, sums binary")
+                 .groupBy("run", "bucket").applyInPandas(_choose(rules), _SPLIT).collect())  # a row a node
         for r in found:
             _take(growths[r["run"]], r["node"], r.asDict())
         for i in active:

@@ -119,7 +119,7 @@ def train_models(spark: SparkSession, gold_root: str, runs_path: str,
                  models: list[str] | None = None, balancers: list[str | None] | None = None,
                  n_trials: int = C.N_TRIALS, allow: dict[str, list[str]] | None = None) -> DataFrame:
     """E3 / PL11: allow-listed (source, city) tables x balancers x models -> run
-    rows; every run is appended to ``runs_path`` as it ends, failed ones with their error."""
+    rows, appended to ``runs_path``, failed ones with their error."""
     from stormlake.plans.training import train_matrix
 
     allow = allow or C.TRAINING_CITIES

@@ -17,14 +17,17 @@ RUN_SCHEMA = ("run_id string, experiment string, status string, start_time bigin
               "end_time bigint, params map<string,string>, metrics map<string,double>")
 
 
+def run_rows(experiment: str, params: dict, metrics: dict, start_time: float, status: str = "FINISHED") -> tuple:
+    """One run as a row of ``RUN_SCHEMA``."""
+    return (uuid.uuid4().hex, experiment, status, int(start_time * 1000), int(time.time() * 1000),
+            {k: str(v) for k, v in params.items()},
+            {k: float(v) for k, v in metrics.items() if v is not None})
+
+
 def run_row(spark: SparkSession, experiment: str, params: dict, metrics: dict,
             start_time: float, status: str = "FINISHED") -> DataFrame:
     """RN1: one run as a one-row frame (append it to the runs table)."""
-    end = time.time()
-    row = (uuid.uuid4().hex, experiment, status, int(start_time * 1000), int(end * 1000),
-           {k: str(v) for k, v in params.items()},
-           {k: float(v) for k, v in metrics.items() if v is not None})
-    return spark.createDataFrame([row], RUN_SCHEMA)
+    return spark.createDataFrame([run_rows(experiment, params, metrics, start_time, status)], RUN_SCHEMA)
 
 
 def log_runs(runs: DataFrame, path: str) -> None:

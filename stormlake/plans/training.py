@@ -1,97 +1,76 @@
-"""Model training on Spark ML (ML1-ML6, RN1, PL11).
-
-Per (source, city): split (SM1), optional balancing (SM2-SM5), a random
-parameter search scored by recall of class 1 on a stratified validation part
-of *train* (trials fitted concurrently), refit on all of train,
-score on test (AG12-AG14) and one run row (RN1).
-
-Mapping of the source's three model families onto Spark ML:
-
-* decision tree -> ``RandomForestClassifier(numTrees=1, bootstrap=False)`` so
-  that ``featureSubsetStrategy`` can be all / sqrt / log2; depth is capped at
-  30 (Spark's limit); "min samples split" has no Spark parameter;
-* boosted trees A -> ``GBTClassifier`` (trees, depth, rate, row share, column
-  share per node);
-* boosted trees B -> ``GBTClassifier`` with ``minInfoGain``; a leaf budget
-  becomes depth ceil(log2(leaves)) unless a depth is given.
+"""Model training (ML1-ML6, RN1, PL11): many (source, city) tables, balancers and models in one job.
+
+Each table is split (SM1) and its train part balanced (SM2-SM5); a stratified part of *train* is set
+apart for the search (the source scored its trials on the test rows; that is deliberately not
+copied).  All data sets are binned into one table, and all studies (data set x model) go on
+together: a batch of trials of every study is grown by the same scans
+(``operators.trees``), scored by recall of class 1, and told to its search (``plans.search``).  The best
+parameters of each study are fitted again on all of train, all at once, and scored on
+test (AG12-AG14); each study gives one run row (RN1).
+
+The families, with the parameters that the source searches:
+
+* decision tree: depth, min split, min leaf, feature share per node;
+* boosted trees A: trees, depth, rate, row share and column share per tree;
+* boosted trees B: leaf budget, depth (none if not above 0), rate, trees, least gain.
 """
 
 from __future__ import annotations
 
-import math
 import time
+import traceback
+from multiprocessing.pool import ThreadPool
 
-import numpy as np
 from pyspark.errors import PySparkException
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import Imputer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stormlake import config as C
-from stormlake.operators import metrics, sampling
-from stormlake.plans.runs import run_row
+from stormlake.operators import metrics, sampling, trees
+from stormlake.operators.trees import Run
+from stormlake.plans.runs import RUN_SCHEMA, run_rows
+from stormlake.plans.search import Space, Study
 from stormlake.session import materialize
 
 LABEL = "disaster_occurred"
-MOST_DEPTH = 30  # Spark's trees go no deeper
+FIT, CHECK, TEST = 0, 1, 2
+VALIDATION = 0.2
+BATCH = 10
 
 
 # --------------------------------------------------------------------------
-# search spaces (random draws, seeded); the ranges are fixed values
+# families and their search spaces; the ranges are fixed values
 # --------------------------------------------------------------------------
-def _draw_tree(rng: np.random.Generator) -> dict:
-    return {"max_depth": int(rng.integers(2, 51)), "min_samples_split": int(rng.integers(2, 11)),
-            "min_samples_leaf": int(rng.integers(1, 11)),
-            "max_features": [None, "sqrt", "log2"][int(rng.integers(0, 3))]}
-
-
-def _draw_boost_a(rng: np.random.Generator) -> dict:
-    return {"n_estimators": [100, 200, 300][int(rng.integers(0, 3))],
-            "max_depth": int(rng.integers(3, 11)), "learning_rate": float(rng.uniform(0.01, 0.3)),
-            "subsample": float(rng.uniform(0.3, 1.0)), "colsample_bytree": float(rng.uniform(0.5, 1.0))}
-
-
-def _draw_boost_b(rng: np.random.Generator) -> dict:
-    return {"num_leaves": int(rng.integers(20, 101)), "max_depth": int(rng.integers(-1, 16)),
-            "learning_rate": float(rng.uniform(0.01, 0.3)),
-            "n_estimators": [100, 200, 500][int(rng.integers(0, 3))],
-            "min_gain_to_split": float(rng.uniform(0.0, 0.1))}
-
+TREE_SPACE: Space = {
+    "max_depth": ("int", 2, 50), "min_samples_split": ("int", 2, 10), "min_samples_leaf": ("int", 1, 10),
+    "max_features": ("choice", [None, "sqrt", "log2"])}
+BOOST_A_SPACE: Space = {
+    "n_estimators": ("choice", [100, 200, 300]), "max_depth": ("int", 3, 10), "learning_rate": ("float", 0.01, 0.3),
+    "subsample": ("float", 0.3, 1.0), "colsample_bytree": ("float", 0.5, 1.0)}
+BOOST_B_SPACE: Space = {
+    "num_leaves": ("int", 20, 100), "max_depth": ("int", -1, 15), "learning_rate": ("float", 0.01, 0.3),
+    "n_estimators": ("choice", [100, 200, 500]), "min_gain_to_split": ("float", 0.0, 0.1)}
 
-def _tree_estimator():
-    return RandomForestClassifier(labelCol=LABEL, featuresCol="features", numTrees=1,
-                                  bootstrap=False, subsamplingRate=1.0, seed=C.SEED)
 
+def _tree(dataset: int, parts: tuple[int, ...], p: dict, seed: int) -> Run:
+    return Run(dataset, "tree", parts, depth=p["max_depth"], min_split=p["min_samples_split"], min_leaf=p["min_samples_leaf"],
+               max_features=p["max_features"], seed=seed)
 
-def _tree_params(est, p: dict) -> dict:
-    strategy = {None: "all", "sqrt": "sqrt", "log2": "log2"}[p["max_features"]]
-    return {est.maxDepth: min(p["max_depth"], MOST_DEPTH), est.minInstancesPerNode: p["min_samples_leaf"],
-            est.featureSubsetStrategy: strategy}
 
+def _boost_a(dataset: int, parts: tuple[int, ...], p: dict, seed: int) -> Run:
+    return Run(dataset, "depth", parts, trees=p["n_estimators"], depth=p["max_depth"], rate=p["learning_rate"],
+               row_share=p["subsample"], col_share=p["colsample_bytree"], l2=1.0, min_hessian=1.0, seed=seed)
 
-def _gbt_estimator():
-    return GBTClassifier(labelCol=LABEL, featuresCol="features", seed=C.SEED)
 
+def _boost_b(dataset: int, parts: tuple[int, ...], p: dict, seed: int) -> Run:
+    return Run(dataset, "leaf", parts, trees=p["n_estimators"], depth=p["max_depth"] if p["max_depth"] > 0 else -1,
+               rate=p["learning_rate"], leaves=p["num_leaves"], min_leaf=20, min_hessian=1e-3, min_gain=p["min_gain_to_split"],
+               prior=True, seed=seed)
 
-def _boost_a_params(est, p: dict) -> dict:
-    return {est.maxIter: p["n_estimators"], est.maxDepth: p["max_depth"],
-            est.stepSize: p["learning_rate"], est.subsamplingRate: p["subsample"],
-            est.featureSubsetStrategy: f"{p['colsample_bytree']:.4f}"}
 
-
-def _boost_b_params(est, p: dict) -> dict:
-    depth = p["max_depth"] if p["max_depth"] > 0 else math.ceil(math.log2(p["num_leaves"]))
-    return {est.maxIter: p["n_estimators"], est.maxDepth: min(depth, MOST_DEPTH),
-            est.stepSize: p["learning_rate"], est.minInfoGain: p["min_gain_to_split"]}
-
-
-MODELS = {
-    "decision_tree": (_tree_estimator, _draw_tree, _tree_params),
-    "boosted_trees_a": (_gbt_estimator, _draw_boost_a, _boost_a_params),
-    "boosted_trees_b": (_gbt_estimator, _draw_boost_b, _boost_b_params),
-}
+MODELS = {"decision_tree": (TREE_SPACE, _tree), "boosted_trees_a": (BOOST_A_SPACE, _boost_a),
+          "boosted_trees_b": (BOOST_B_SPACE, _boost_b)}
 
 
 # --------------------------------------------------------------------------
@@ -106,12 +85,12 @@ def feature_columns(table: DataFrame, exclude: list[str] | None = None) -> list[
 
 
 def _assemble(train: DataFrame, test: DataFrame, feats: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Mean-impute (fit on train) and assemble; Spark ML rejects null features."""
+    """Features as an array, nulls filled with the mean of train."""
     cast = {c: F.col(c).cast("double") for c in feats}
     train, test = train.withColumns(cast), test.withColumns(cast)
     imp = Imputer(inputCols=feats, outputCols=feats, strategy="mean").fit(train)
-    va = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
-    return va.transform(imp.transform(train)), va.transform(imp.transform(test))
+    return tuple(imp.transform(d).select(F.array(*feats).alias("features"), F.col(LABEL).cast("int").alias(LABEL))
+                 for d in (train, test))
 
 
 def _numbered(rows: DataFrame, name: str) -> DataFrame:
@@ -121,130 +100,175 @@ def _numbered(rows: DataFrame, name: str) -> DataFrame:
     return h.withColumn(name, F.xxhash64("__h", F.row_number().over(w))).drop("__h")
 
 
-def _balance(train: DataFrame, method: str | None, seed: int) -> DataFrame:
-    """SM2-SM5 on assembled rows: features as an array, back to a vector."""
+def _balance(rows: DataFrame, method: str | None, seed: int) -> DataFrame:
+    """SM2-SM5 on rows (id, features, label)."""
     if method is None:
-        return train
-    rows = train.select(vector_to_array("features").alias("features"), LABEL)
-    rows = materialize(_numbered(rows, "id"))
+        return rows
     if method == "RandomUnderSampler":
-        out = sampling.random_under_sample(rows, LABEL, ["id"], seed)
-    elif method == "SMOTE":
-        out = sampling.smote(rows, LABEL, seed=seed)
-    elif method == "ADASYN":
-        out = sampling.adasyn(rows, LABEL, seed=seed)
-    elif method == "SMOTEENN":
-        out = sampling.smote_enn(rows, LABEL, seed=seed)
-    else:
+        return sampling.random_under_sample(rows, LABEL, ["id"], seed)
+    how = {"SMOTE": sampling.smote, "ADASYN": sampling.adasyn, "SMOTEENN": sampling.smote_enn}
+    if method not in how:
         raise ValueError(method)
-    return out.select(array_to_vector("features").alias("features"), F.col(LABEL).cast("double").alias(LABEL))
-
+    return how[method](rows, LABEL, seed=seed)
 
-# --------------------------------------------------------------------------
-# parameter search
-# --------------------------------------------------------------------------
-def search(est, maps: list[dict], train: DataFrame, seed: int = C.SEED, val_size: float = 0.2,
-           parallelism: int = 8) -> list[float]:
-    """Recall of class 1 on a stratified validation part of ``train`` for each map.
-
-    The validation part keeps its share of each class (so it has positives
-    whenever train has), the trials are fitted concurrently from driver
-    threads (as ``TrainValidationSplit(parallelism=...)`` does), and recall is
-    the metrics aggregate (0 when the part has no positives).
-    """
-    from multiprocessing.pool import ThreadPool
 
-    arrays = train.withColumn("features", vector_to_array("features"))
-    rows = materialize(_numbered(arrays, "__rid").withColumn("features", array_to_vector("features")))
-    parts = sampling.stratified_split(rows, LABEL, ["__rid"], test_size=val_size, seed=seed)
-    fit_part = materialize(parts.where(F.col("split") == "train").select("features", LABEL))
-    val_part = materialize(parts.where(F.col("split") == "test").select("features", LABEL))
+def _parts(table: DataFrame, id_cols: list[str], seed: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(train, test) of one table as rows (id, features, label), and the features' names."""
+    feats = feature_columns(table, exclude=["city_id"])
+    split = sampling.stratified_split(table, LABEL, id_cols, seed=seed)
+    train, test = _assemble(split.where(F.col("split") == "train"), split.where(F.col("split") == "test"), feats)
+    return materialize(_numbered(train, "id")), materialize(_numbered(test, "id")), feats
 
-    def score(i: int) -> float:
-        model = est.copy(maps[i]).fit(fit_part)
-        pred = model.transform(val_part).select(F.col(LABEL).cast("int").alias("label"),
-                                                F.col("prediction").cast("int").alias("prediction"))
-        return float(metrics.binary_metrics(pred).first()["recall"])
 
-    with ThreadPool(max(1, min(parallelism, len(maps)))) as pool:
-        return pool.map(score, range(len(maps)))
+def _dataset(number: int, train: DataFrame, test: DataFrame, method: str | None, seed: int) -> DataFrame:
+    """One data set's rows (dataset, part, rid, label, features): balanced train, part of it set apart, and test."""
+    balanced = _numbered(_balance(train, method, seed).select("features", F.col(LABEL).cast("int").alias(LABEL)), "rid")
+    parted = sampling.stratified_split(balanced, LABEL, ["rid"], test_size=VALIDATION, seed=seed)
+    part = F.when(F.col("split") == "train", F.lit(FIT)).otherwise(F.lit(CHECK))
+    cols = ["rid", F.col(LABEL).alias("label"), "features"]
+    rows = parted.select(part.alias("part"), *cols).unionByName(
+        test.select(F.lit(TEST).alias("part"), F.col("id").alias("rid"), *cols[1:]))
+    return materialize(rows.select(F.lit(number).alias("dataset"), "part", *["rid", "label", "features"]))
 
 
 # --------------------------------------------------------------------------
-# one run
+# search and scores, all studies at once
 # --------------------------------------------------------------------------
-def train_one(spark: SparkSession, table: DataFrame, model: str, base: str, city: str,
-              balancing: str | None = None, n_trials: int = C.N_TRIALS, seed: int = C.SEED,
-              id_cols: list[str] | None = None, parallelism: int = 8,
-              models_path: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Split, balance, search, refit, score.  Returns (run row, test predictions).
-
-    The run row holds the parameters that were used and the confusion counts; the
-    fitted model is saved under ``models_path`` by the run's id."""
-    t0 = time.time()
-    id_cols = id_cols or ["year", "month", "day"]
-    feats = feature_columns(table, exclude=["city_id"])
-    split = sampling.stratified_split(table, LABEL, id_cols, seed=seed)
-    train = split.where(F.col("split") == "train")
-    test = split.where(F.col("split") == "test")
-    train, test = _assemble(train, test, feats)
-    # cut lineage once: every trial, the refit and the scoring reuse these
-    test = materialize(test)
-    train = _balance(train.select("features", F.col(LABEL).cast("double").alias(LABEL)), balancing, seed)
-    train = materialize(train.select("features", F.col(LABEL).cast("double").alias(LABEL)))
-
-    make, draw, to_params = MODELS[model]
-    est = make()
-    rng = np.random.default_rng(seed)
-    drawn = [draw(rng) for _ in range(n_trials)]
-    maps = [to_params(est, p) for p in drawn]
-    scores = search(est, maps, train, seed=seed, parallelism=parallelism)
-    best_i = max(range(len(maps)), key=lambda i: (scores[i], -i))
-    best = est.copy(maps[best_i]).fit(train)   # refit on all of train
-    pred = best.transform(test).select(
-        F.col(LABEL).cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"),
-        vector_to_array("probability")[1].alias("score"))
-    pred = materialize(pred)
-    m = metrics.binary_metrics(pred).first().asDict()
-    m["auc_roc"] = metrics.roc_auc(pred).first()["auc_roc"]
-    used = {p.name: v for p, v in maps[best_i].items()}
-    params = {"balancing_method": balancing or "None", **used,
-              "collumn_target": LABEL, "base": base, "city": city, "model": model}
-    cells = {f"count_{r['actual']}{r['predicted']}": r["count"] for r in metrics.confusion_matrix(pred).collect()}
-    mets = {"precision": m["precision"], "recall": m["recall"], "f1_score": m["f1_score"],
-            "auc_roc": m["auc_roc"], "training_time": time.time() - t0, **cells}
-    row = run_row(spark, f"DataBase_{base}", params, mets, t0)
-    if models_path:
-        best.write().overwrite().save(f"{models_path}/{row.first()['run_id']}")
-    return row, pred
-
-
-def train_matrix(spark: SparkSession, tables: dict[tuple[str, str], DataFrame],
-                 models: list[str] | None = None, balancers: list[str | None] | None = None,
-                 n_trials: int = C.N_TRIALS, log=None, models_path: str | None = None) -> DataFrame:
+def _recalls(rows: DataFrame, models: list[trees.Model], part: int) -> dict[int, float]:
+    """Recall of class 1 of each model on a part of its data set (0 where that has no positives)."""
+    pred = trees.predictions(rows, dict(enumerate(models)), [part])
+    return {r["run"]: r["recall"] for r in metrics.binary_metrics(pred, group_cols=["run"]).collect()}  # a row a model
+
+
+def search(rows: DataFrame, studies: dict[int, tuple[Study, int, str]], n_trials: int, batch: int = BATCH, seed: int = C.SEED) -> None:
+    """ML4: studies: key -> (study, data set, model); a batch of trials of every study at a time."""
+    done = 0
+    while done < n_trials:
+        n = min(batch, n_trials - done)
+        asked = [(key, p) for key, (study, _, _) in studies.items() for p in study.suggest(n)]
+        models = trees.fit(rows, [MODELS[studies[key][2]][1](studies[key][1], (FIT,), p, seed) for key, p in asked])
+        recall = _recalls(rows, models, CHECK)
+        for i, (key, p) in enumerate(asked):
+            studies[key][0].tell(p, recall.get(i, 0.0))
+        done += n
+
+
+def _test_metrics(pred: DataFrame) -> dict[int, dict]:
+    """AG12-AG14 of every run: a row a run."""
+    m = metrics.binary_metrics(pred, group_cols=["run"]).join(metrics.roc_auc(pred, group_cols=["run"]), "run", "left")
+    cells = metrics.confusion_matrix(pred, group_cols=["run"]).groupBy("run").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("count_"), F.col("actual").cast("string"), F.col("predicted").cast("string")),
+                                                   F.col("count")))).alias("cells"))
+    rows = m.join(cells, "run", "left").collect()
+    return {r["run"]: {c: r[c] for c in ("precision", "recall", "f1_score", "auc_roc")} | (r["cells"] or {}) for r in rows}
+
+
+def model_table_rows(models: dict[str, trees.Model], names: dict[int, list[str]], edges: dict[int, list]) -> list[tuple]:
+    """Fitted trees as rows: run_id, tree, node, feature, threshold (<= goes left), left, right, value, base."""
+    out = []
+    for run_id, m in models.items():
+        for no, t in enumerate(m.trees):
+            for node, f in enumerate(t.feature):
+                cuts = edges[m.run.dataset][f] if f >= 0 else ()
+                out.append((run_id, no, node, names[m.run.dataset][f] if f >= 0 else None,
+                            float(cuts[t.cut[node]]) if f >= 0 and t.cut[node] < len(cuts) else None,
+                            t.left[node], t.right[node], float(t.value[node]), float(m.base)))
+    return out
+
+
+MODEL_SCHEMA = ("run_id string, tree int, node int, feature string, threshold double, left int, right int, "
+                "value double, base double")
+
+
+def train_matrix(spark: SparkSession, tables: dict[tuple[str, str], DataFrame], models: list[str] | None = None,
+                 balancers: list[str | None] | None = None, n_trials: int = C.N_TRIALS, log=None,
+                 models_path: str | None = None, seed: int = C.SEED, id_cols: list[str] | None = None,
+                 spaces: dict[str, Space] | None = None, batch: int = BATCH, parallelism: int = 4) -> DataFrame:
     """PL11: every (source, city) table x balancer x model; one run row each.
 
-    ``log`` gets each row as its run ends, so that a later failure loses none.  A
-    run that Spark or the data fail is recorded with its error, and the others go on."""
+    ``log`` gets the rows of all runs; runs whose data cannot be split or balanced are recorded with their
+    error, and the others go on.  ``models_path``: fitted trees (``models``), as a table by run, and test predictions
+    (``predictions``).  ``spaces`` replaces search ranges of a model by name."""
+    t0 = time.time()
     models = models or list(MODELS)
     balancers = C.BALANCING_METHODS if balancers is None else balancers
-    rows = []
-    for (base, city), table in tables.items():
-        for b in balancers:
-            for m in models:
-                try:
-                    r, _ = train_one(spark, table, m, base, city, b, n_trials, models_path=models_path)
-                except (ValueError, PySparkException) as e:
-                    r = run_row(spark, f"DataBase_{base}", {"balancing_method": b or "None",
-                                "model": m, "base": base, "city": city, "error": str(e)[:200]},
-                                {}, time.time(), status="FAILED")
-                if log:
-                    log(r)
-                rows.append(r)
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    id_cols = id_cols or ["year", "month", "day"]
+    jobs = [(pair, b) for pair in tables for b in balancers]
+    failed: dict[tuple, str] = {}
+
+    def prepare(pair):
+        try:
+            return _parts(tables[pair], id_cols, seed)
+        except (ValueError, PySparkException):
+            return traceback.format_exc(limit=0)
+
+    def build(i):
+        (pair, b), got = jobs[i], parts[jobs[i][0]]
+        try:
+            if isinstance(got, str):
+                return got
+            return _dataset(i, got[0], got[1], b, seed)
+        except (ValueError, PySparkException):
+            return traceback.format_exc(limit=0)
+
+    with ThreadPool(parallelism) as pool:  # Spark runs the small jobs of several tables side by side
+        parts = dict(zip(tables, pool.map(prepare, tables), strict=True))
+        built = pool.map(build, range(len(jobs)))
+    good = {i: d for i, d in enumerate(built) if not isinstance(d, str)}
+    failed = {i: d for i, d in enumerate(built) if isinstance(d, str)}
+    found: dict[tuple[int, str], tuple] = {}
+    if good:
+        every = list(good.values())
+        rows = every[0]
+        for d in every[1:]:
+            rows = rows.unionByName(d)
+        edges = trees.bin_edges(rows, (FIT, CHECK))
+        rows = materialize(trees.binned(rows, edges))
+        sizes = {(r["dataset"], r["part"]): (r["n"], r["pos"]) for r in rows.groupBy("dataset", "part").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).collect()}  # a row a part
+        space = {m: {**MODELS[m][0], **(spaces or {}).get(m, {})} for m in models}
+        studies = {(i, m): (Study(space[m], seed), i, m) for i in good for m in models}
+        search(rows, studies, n_trials, batch, seed)
+        best = {key: study.best() for key, (study, _, _) in studies.items()}
+        fitted = dict(zip(best, trees.fit(rows, [MODELS[m][1](i, (FIT, CHECK), p, seed) for (i, m), (p, _) in best.items()]), strict=True))
+        pred = materialize(trees.predictions(rows, dict(enumerate(fitted.values())), [TEST]))
+        scored = _test_metrics(pred)
+        found = {key: (best[key][0], scored.get(n, {}), n) for n, key in enumerate(fitted)}
+
+    out, ids = [], {}
+    for i, (pair, b) in enumerate(jobs):
+        for m in models:
+            params = {"balancing_method": b or "None", "collumn_target": LABEL, "base": pair[0], "city": pair[1], "model": m}
+            if i in failed:
+                out.append(run_rows(f"DataBase_{pair[0]}", params | {"error": failed[i]}, {}, t0, "FAILED"))
+                continue
+            used, mets, number = found[i, m]
+            train = [sizes.get((i, p), (0, 0)) for p in (FIT, CHECK)]
+            mets = mets | {"n_train": sum(n for n, _ in train), "pos_train": sum(p for _, p in train),
+                           **dict(zip(("n_test", "pos_test"), sizes.get((i, TEST), (0, 0)), strict=True))}
+            row = run_rows(f"DataBase_{pair[0]}", params | used, mets | {"training_time": time.time() - t0}, t0)
+            ids[i, m] = (row[0], number)
+            out.append(row)
+    result = spark.createDataFrame(out, RUN_SCHEMA)
+    if models_path and ids:
+        names = {i: parts[jobs[i][0]][2] for i in good}
+        kept = model_table_rows({ids[key][0]: fitted[key] for key in ids}, names, edges)
+        spark.createDataFrame(kept, MODEL_SCHEMA).write.mode("append").parquet(f"{models_path}/models")
+        numbers = spark.createDataFrame([(n, r) for r, n in ids.values()], "run int, run_id string")
+        pred.join(numbers, "run").drop("run", "dataset").write.mode("append").parquet(f"{models_path}/predictions")
+    if log:
+        log(result)
+    return result
+
+
+def train_one(spark: SparkSession, table: DataFrame, model: str, base: str, city: str, balancing: str | None = None,
+              n_trials: int = C.N_TRIALS, seed: int = C.SEED, models_path: str | None = None, **options) -> DataFrame:
+    """One study: its run row.  A failure is raised."""
+    row = train_matrix(spark, {(base, city): table}, [model], [balancing], n_trials, seed=seed, models_path=models_path, **options)
+    r = row.first()
+    if r["status"] == "FAILED":
+        raise ValueError(r["params"]["error"])
+    return row
 
 
 # --------------------------------------------------------------------------

@@ -37,7 +37,7 @@ def test_auc_matches_pairs_and_one_class(spark):
     y = rng.integers(0, 2, 300)
     s = rng.integers(0, 40, 300).astype(float)   # many ties
     df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "label int, score double")
-    got = metrics.roc_auc(df, buckets=8).first().auc_roc
+    got = metrics.roc_auc(df, parts=7).first().auc_roc
     pos, neg = s[y == 1], s[y == 0]
     exp = np.mean([(p > n) + 0.5 * (p == n) for p, n in itertools.product(pos, neg)])
     assert np.isclose(got, exp, rtol=1e-12)

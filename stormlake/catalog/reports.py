@@ -14,11 +14,12 @@ from stormlake.catalog.layers import (silver_base1_daily_df, silver_base2_df,
                                       silver_disaster_df)
 from stormlake.functions.scalars import season, with_date_parts
 from stormlake.operators.aggregate import day_means, event_counts_per_file, year_range
+from stormlake.operators.interpolate import month_block
 from stormlake.operators.joins import left_null_safe_suffixed
 from stormlake.operators.profile import distinct_values, null_percentages, schema_profile
 from stormlake.operators.project import head
 from stormlake.operators.sets import expected_not_seen, seen_not_expected, union_all_by_name, vocabulary
-from stormlake.operators.window import duplicates_report
+from stormlake.operators.window import duplicates_report, ema
 from stormlake.plans import gold, trends
 from stormlake.session import materialize, scratch_path
 from stormlake.sources import fixtures as X
@@ -36,6 +37,24 @@ def q_hourly_day_means(spark, sf):
     return day_means(silver_base3_hourly_df(spark, sf), ["city_id", "date"], O.SILVER3H_MEAS)
 
 
+def _hourly_ema_sql() -> str:
+    # weights of values more than 90 rows back are below 2^-90
+    order = "PARTITION BY city_id ORDER BY obs_ts, ord_a, ord_b, ord_c ROWS BETWEEN 90 PRECEDING AND CURRENT ROW"
+    alpha = 2.0 / (C.MOVING_AVERAGE_WINDOW + 1)
+    one = f"""SELECT city_id, ord_a, ord_b, ord_c, obs_ts, sea_level_air_pressure,
+  list(sea_level_air_pressure) OVER ({order}) AS l FROM ({X.WEATHER_HOURLY_SQL}) h"""
+    return f"""SELECT city_id, ord_a, ord_b, ord_c, round(list_reduce(l, lambda y, v: (1.0::DOUBLE - {alpha}::DOUBLE) * y + {alpha}::DOUBLE * v), 6) AS ema
+FROM ({one}) x"""
+
+
+@register("hourly_pressure_ema", _hourly_ema_sql)
+def q_hourly_pressure_ema(spark, sf):
+    """WN2 over the long hourly series, in month blocks: every row's average over its city's whole history."""
+    h = X.weather_hourly(spark, sf)
+    e = ema(h, "sea_level_air_pressure", ["city_id"], ["obs_ts", "ord_a", "ord_b", "ord_c"], out="ema", block=month_block("date"))
+    return e.select("city_id", "ord_a", "ord_b", "ord_c", F.round("ema", 6).alias("ema"))
+
+
 @register("disasters_by_year", lambda: f"""
 SELECT city_id, {YEAR_SQL} AS year, count(*) AS count FROM ({SD()}) s
 WHERE date IS NOT NULL GROUP BY ALL""")

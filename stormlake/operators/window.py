@@ -8,10 +8,14 @@ single sort.
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stormlake import config as C
+from stormlake.session import materialize
 
 
 def with_halo(df: DataFrame, keys: list[str], order: list[str | Column], block: Column,
@@ -88,58 +92,85 @@ def ema(df: DataFrame, col: str, keys: list[str], order: list[str | Column],
 
     Every value is folded from the first row of its series.  Without ``block`` a
     row looks at all rows before it: for short series.  With ``block`` (monotone in
-    ``order``) a series is cut: each block is first reduced to what it does to
-    any state that enters it, the states are carried over the small table of
-    blocks, and each block is then run from its own entry state.
+    ``order``) a series is cut and the average is a scan in three linear passes: each block is reduced
+    to the map it makes of any state that enters it, the maps are composed along the small table of
+    blocks, and each block is run once from its own entry state.  A task holds one block of one column, or one
+    series' blocks (six numbers each).
     """
     out = out or f"{col}_moving_average_ema"
     alpha = 2.0 / (span + 1)
-    x = F.struct(F.col(col).cast("double").alias("v"))
-    none = F.struct(F.lit(None).cast("double").alias("y"), F.lit(1.0).alias("w"))
     if block is None:
+        x = F.struct(F.col(col).cast("double").alias("v"))
+        none = F.struct(F.lit(None).cast("double").alias("y"), F.lit(1.0).alias("w"))
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, _fold(F.collect_list(x).over(w), alpha, none)["y"])
-    B = "__wblk"
-    d = df.withColumn(B, block)
-    part = [*keys, B]
-    inside = Window.partitionBy(*part).orderBy(*order)
-    d = d.withColumn("__hist", F.collect_list(x).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    # the last row's history is the whole block
-    whole = d.groupBy(*part).agg(F.max_by("__hist", F.size("__hist")).alias("__all"))
-    carried = Window.partitionBy(*keys).orderBy(B).rowsBetween(Window.unboundedPreceding, -1)
-    entry = whole.select(*part, _entry_states(whole, alpha, carried, none).alias("__in"))
-    return (_null_safe_join(d, entry, part).withColumn(out, _fold(F.col("__hist"), alpha, F.col("__in"))["y"])
-            .select(*df.columns, out))
-
-
-def _entry_states(whole: DataFrame, alpha: float, before, none: Column) -> Column:
-    """The state in which each block is entered.  A block turns the state (y, w)
-    that enters it into (a y' + b, w'), where y' is the average at its first value
-    f, k rows in: y' = (w q y + alpha f) / (w q + alpha) with q = (1 - alpha)^k."""
-    keep = F.lit(1.0 - alpha)
-    start = F.struct(F.lit(None).cast("double").alias("f"), F.lit(1.0).alias("q"), F.lit(1.0).alias("a"),
-                     F.lit(0.0).alias("b"), F.lit(1.0).alias("w"))
-
-    def step(s, x):
-        v, first = x["v"], s["f"].isNull()
-        a = s["w"] / (s["w"] + F.lit(alpha))
-        on = v.isNotNull() & ~first
-        return F.struct(
-            F.when(first, v).otherwise(s["f"]).alias("f"),
-            F.when(first & v.isNull(), s["q"] * keep).otherwise(s["q"]).alias("q"),
-            F.when(on, a * s["a"]).otherwise(s["a"]).alias("a"),
-            F.when(on, a * s["b"] + F.lit(alpha) * v / (s["w"] + F.lit(alpha))).otherwise(s["b"]).alias("b"),
-            F.when(v.isNull(), s["w"] * keep).otherwise(keep).alias("w"))
-
-    does = F.aggregate(F.col("__all"), start, step)
-
-    def enter(s, e):
-        at = s["w"] * e["q"]
-        y1 = F.when(s["y"].isNull(), e["f"]).otherwise((at * s["y"] + F.lit(alpha) * e["f"]) / (at + F.lit(alpha)))
-        y = F.when(e["f"].isNull(), s["y"]).otherwise(e["a"] * y1 + e["b"])
-        w = F.when(e["f"].isNull(), F.when(s["y"].isNull(), s["w"]).otherwise(at)).otherwise(e["w"])
-        return F.struct(y.alias("y"), w.alias("w"))
-    return F.aggregate(F.collect_list(does).over(before), none, enter)
+    part = [*keys, "__wblk"]
+    d = df.withColumn("__wblk", block)
+    d = d.withColumn("__rn", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
+    narrow = d.select(*part, "__rn", F.col(col).cast("double").alias("__v"))
+    types = {f.name: f.dataType.simpleString() for f in narrow.schema.fields}
+    named = lambda cols, more: ", ".join([*(f"`{c}` {types[c]}" for c in cols), *(f"{c} double" for c in more)])
+    maps = narrow.groupBy(*part).applyInPandas(_block_map(part, alpha), named(part, _MAP))
+    entry = materialize(maps.groupBy(*keys).applyInPandas(_compose(part, alpha), named(part, ("__y", "__w"))))
+    run = _null_safe_join(narrow, entry, part).groupBy(*part).applyInPandas(
+        _run_block(part, alpha), named([*part, "__rn"], ("__ema",)))
+    return (_null_safe_join(d, run, [*part, "__rn"]).withColumn(out, F.col("__ema")).select(*df.columns, out))
+
+
+_MAP = ("__f", "__q", "__a", "__b", "__w")
+
+
+def _step(y: float | None, w: float, v: float, alpha: float) -> tuple[float | None, float]:
+    """The average and the weight it has left after one more row (nan: no value)."""
+    if v != v:
+        return y, w * (1.0 - alpha)
+    return (v if y is None else (w * y + alpha * v) / (w + alpha)), 1.0 - alpha
+
+
+def _block_map(part: list[str], alpha: float):
+    """A block turns the state (y, w) that enters it into (a y' + b, w'), where y' is the
+    average at its first value f, k rows in: y' = (w q y + alpha f) / (w q + alpha) with q = (1 - alpha)^k."""
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        f, q, a, b, w = math.nan, 1.0, 1.0, 0.0, 1.0
+        for v in pdf.sort_values("__rn")["__v"].to_numpy(float):
+            if v != v:
+                q, w = (q * (1.0 - alpha) if f != f else q), w * (1.0 - alpha)
+            else:
+                if f != f:
+                    f = v
+                else:
+                    a, b = w / (w + alpha) * a, w / (w + alpha) * b + alpha * v / (w + alpha)
+                w = 1.0 - alpha
+        return pdf.iloc[:1][part].assign(**dict(zip(_MAP, (f, q, a, b, w), strict=True)))
+    return one
+
+
+def _compose(part: list[str], alpha: float):
+    """One series' maps in order -> the state that enters each block (y nan: no value yet)."""
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("__wblk", na_position="first")
+        y, w, rows = math.nan, 1.0, []
+        for f, q, a, b, left in zip(*(pdf[c].to_numpy(float) for c in _MAP), strict=True):
+            rows.append((y, w))
+            if f != f:
+                w = w if y != y else w * q
+            else:
+                first = f if y != y else (w * q * y + alpha * f) / (w * q + alpha)
+                y, w = a * first + b, left
+        return pdf[part].assign(__y=[r[0] for r in rows], __w=[r[1] for r in rows])
+    return one
+
+
+def _run_block(part: list[str], alpha: float):
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("__rn")
+        y, w, out = pdf["__y"].iloc[0], pdf["__w"].iloc[0], []
+        y = None if y is None or y != y else float(y)
+        for v in pdf["__v"].to_numpy(float):
+            y, w = _step(y, w, v, alpha)
+            out.append(y)
+        return pdf[[*part, "__rn"]].assign(__ema=out)
+    return one
 
 
 def _null_safe_join(df: DataFrame, small: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

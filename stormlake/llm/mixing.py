@@ -8,8 +8,9 @@
    draws multinomial counts of its sources from what is left of the quotas, so
    the totals meet the targets and no source passes its limit.
 4. Mapping: a source's n-th drawn slot is taken from epoch n // blocks at place
-   n % blocks of that epoch's pseudorandom permutation of its blocks (a keyed
-   Feistel network: no list of blocks is ever shuffled or held).
+   n % blocks of that epoch's pseudorandom permutation of its full blocks, the short last
+   one after them (a keyed Feistel network: no list of blocks is ever shuffled or held).
+   A source's last slot takes only as many words as its target still lacks.
 5. Joining: slots meet the pieces of documents in their block by (source, block).
 
 A source is never one task's work: its documents are ordered by hash ranges,
@@ -24,6 +25,8 @@ words has targets of 0.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -123,11 +126,13 @@ def _deal(groups: int, shard_blocks: int, seed: int):
     return run
 
 
-def draw_shards(quotas: DataFrame, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED, groups: int = 64) -> DataFrame:
-    """(no, n_blocks, slots) by source -> (shard, no, n_blocks, first, count):
+def draw_shards(quotas: DataFrame, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED) -> DataFrame:
+    """quotas (no, slots, ...) by source -> shard, the quota's columns, slot, count:
     what each output shard takes of each source, and the number of its first slot
-    there.  The quotas are split over groups of shards and each group is drawn
+    there.  The quotas are split over groups of shards, as many as a group has shards, and each group is drawn
     in a task of its own; a row holds one number a source."""
+    slots = quotas.agg(F.sum("slots")).first()[0] or 0
+    groups = max(1, math.ceil(math.sqrt(slots / shard_blocks)))
     whole = quotas.agg(F.array_sort(F.collect_list(F.struct("no", "slots"))).alias("q")).select(
         F.lit(0).cast("long").alias("first"), F.col("q.slots").alias("quota"))
     schema = "first long, quota array<long>"
@@ -136,15 +141,17 @@ def draw_shards(quotas: DataFrame, shard_blocks: int = SHARD_BLOCKS, seed: int =
     drawn = shards.select("first", F.posexplode("quota").alias("no", "count")).where("count > 0")
     before = W.partitionBy("no").orderBy("first").rowsBetween(W.unboundedPreceding, -1)
     return (drawn.withColumn("slot", F.coalesce(F.sum("count").over(before), F.lit(0)))
-            .join(quotas, "no")
-            .select(F.floor(F.col("first") / shard_blocks).alias("shard"), "no", "n_blocks", "slot", "count"))
+            .join(quotas.drop("slots"), "no").withColumn("shard", F.floor(F.col("first") / shard_blocks)).drop("first"))
 
 
 @F.pandas_udf(T.LongType())
-def _block_of(slot: pd.Series, n_blocks: pd.Series, no: pd.Series, seed: pd.Series) -> pd.Series:
-    n, b = slot.to_numpy(np.int64), n_blocks.to_numpy(np.int64)
-    key = mix64((no.to_numpy(np.uint64) << _U(32)) ^ (n // b).astype(np.uint64) ^ mix64(seed.to_numpy(np.uint64)))
-    return pd.Series(permute(n % b, b, key))
+def _block_of(epoch: pd.Series, place: pd.Series, full: pd.Series, no: pd.Series, seed: pd.Series) -> pd.Series:
+    """The block at a place of an epoch; the ``full`` ones are permuted, a short one stays last."""
+    at, n = place.to_numpy(np.int64), full.to_numpy(np.int64)
+    key = mix64((no.to_numpy(np.uint64) << _U(32)) ^ epoch.to_numpy(np.uint64) ^ mix64(seed.to_numpy(np.uint64)))
+    out, inner = at.copy(), at < n
+    out[inner] = permute(at[inner], n[inner], key[inner])
+    return pd.Series(out)
 
 
 def mix(stages: Stages, rows: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS, block: int = BLOCK,
@@ -153,21 +160,22 @@ def mix(stages: Stages, rows: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCH
 
     * docs: the rows with source_size, target, no (of the source), unit (names
       the row) and start (its first word's place in the source's run of words),
-    * slots: (shard, no, slot, block): the mix, block by block,
-    * pieces: (unit, no, block, start, n): the words of a row in each block.
+    * slots: (shard, no, slot, block, words, whole): the mix, block by block: how many of the
+      block's words the slot takes, from its first, and whether these are all,
+    * pieces: (unit, no, block, at, start, n): the words of a row in each block, from the block's word ``at``.
     """
     spark = rows.sparkSession
     n = partitions(spark)
     rows = stages.save(rows.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("copies")), "rows")
     sizes = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).cast("long").alias("source_size"))
     aims = stages.save(targets(sizes, weights, most), "targets")
-    # whole epochs take every block; the rest of the target is rounded to blocks
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    quotas = (aims.withColumn("n_blocks", F.ceil(F.col("source_size") / block))
-              .withColumn("epochs", whole)
-              .withColumn("slots", (F.col("epochs") * F.col("n_blocks") + F.round(
-                  (F.col("target") - F.col("epochs") * F.col("source_size")) / block)).cast("long"))
-              .select("no", "n_blocks", F.least(F.col("slots"), F.col("n_blocks") * most).alias("slots")))
+    # whole epochs take every block; what the target has more is taken to the word
+    aimed = F.round("target").cast("long")
+    epochs = F.when(F.col("source_size") > 0, F.expr("words div source_size")).otherwise(F.lit(0))
+    quotas = stages.save(aims.withColumn("words", F.least(aimed, F.col("source_size") * most))
+                         .withColumn("n_blocks", F.ceil(F.col("source_size") / block)).withColumn("epochs", epochs)
+                         .select("no", "source_size", "words", "n_blocks", (F.col("epochs") * F.col("n_blocks") + F.ceil(
+                             (F.col("words") - F.col("epochs") * F.col("source_size")) / block)).cast("long").alias("slots")), "quotas")
 
     hashed = (rows.join(aims, rows["source"].eqNullSafe(aims["source"])).drop(aims["source"])
               .withColumn("hash", F.shiftrightunsigned(F.xxhash64("doc_id", "source", "size", F.lit(seed)), 2))
@@ -191,21 +199,29 @@ def mix(stages: Stages, rows: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCH
     pieces = (docs.where("size > 0").select("unit", "no", "start", "size", F.explode(F.sequence(first, last)).alias("block"))
               .withColumn("from", F.greatest(F.col("start"), F.col("block") * block))
               .withColumn("n", F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.col("from"))
-              .select("unit", "no", "block", (F.col("from") - F.col("start")).alias("start"), "n"))
+              .select("unit", "no", "block", (F.col("from") - F.col("block") * block).alias("at"),
+                      (F.col("from") - F.col("start")).alias("start"), "n"))
 
     # dealt out before a row becomes many slots: the planner judges by bytes and would take few tasks
     slots = draw_shards(quotas, shard_blocks, seed).repartition(n, "no", "slot").select(
-        "shard", "no", "n_blocks", F.explode(F.sequence(F.col("slot"), F.col("slot") + F.col("count") - 1)).alias("slot"))
-    slots = slots.select("shard", "no", "slot", _block_of("slot", "n_blocks", "no", F.lit(seed)).alias("block"))
+        "shard", "no", "n_blocks", "source_size", "words", F.explode(F.sequence(F.col("slot"), F.col("slot") + F.col("count") - 1)).alias("slot"))
+    slots = slots.withColumns({"epoch": F.expr("slot div n_blocks"), "place": F.expr("slot % n_blocks")})
+    left = F.col("words") - F.col("epoch") * F.col("source_size") - F.col("place") * block
+    held = F.least(F.lit(block).cast("long"), F.col("source_size") - F.col("place") * block)
+    slots = slots.select("shard", "no", "slot", _block_of("epoch", "place", F.expr(f"source_size div {block}"), "no", F.lit(seed)).alias("block"),
+                         F.least(left, held).alias("words"), (left >= held).alias("whole"))
     return docs, slots, pieces
 
 
 def taken(docs: DataFrame, slots: DataFrame, pieces: DataFrame) -> DataFrame:
     """docs with ``taken``: the words of each row in the mix, repeats counted."""
-    times = slots.groupBy("no", "block").agg(F.count(F.lit(1)).alias("times"))
+    # a source has one slot that is not whole, at most
+    times = slots.groupBy("no", "block").agg(F.count(F.when(F.col("whole"), 1)).alias("times"),
+                                             F.coalesce(F.max(F.when(~F.col("whole"), F.col("words"))), F.lit(0)).alias("words"))
+    part = F.greatest(F.lit(0), F.least(F.col("n"), F.col("words") - F.col("at")))
     # the planner can't see how many rows the slots are, and would broadcast them
     got = (pieces.join(times.hint("merge"), ["no", "block"]).groupBy("unit")
-           .agg(F.sum(F.col("n") * F.col("times")).cast("long").alias("taken")))
+           .agg(F.sum(F.col("n") * F.col("times") + part).cast("long").alias("taken")))
     return docs.join(got.hint("merge"), "unit", "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
 
 

@@ -4,9 +4,10 @@ Writing
 1. Payload digests (SHA-1) are taken over the full payloads; of records with
    equal payloads of at least ``min_revisit`` bytes the one with the largest key is the
    response, the others are revisits that refer to it and carry no payload.
-2. Records are ordered by key.  A running total of their sizes in that order
-   cuts them into volumes of about ``volume_bytes``: where a volume begins
-   depends on the records alone, not on the cluster.
+2. Records are ordered by key and digest.  A running total of what is sent of them (their full
+   payloads, also of revisits) in that order cuts them into volumes of about ``volume_bytes``: where a volume begins
+   depends on the records alone, not on the cluster.  Records of one key may lie in several volumes,
+   those that repeat key and payload in one.
 3. Each volume is written by one task as gzip members, one a record, into files
    that roll at ``roll_bytes`` compressed bytes.  Headers (ids, dates, lengths, digests)
    are made anew from the payloads, so the same records give the same bytes.
@@ -31,6 +32,7 @@ import gzip
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +44,7 @@ VOLUME_BYTES = 32 << 20
 ROLL_BYTES = 4 << 20
 MOST_VOLUMES = 1 << 16
 MIN_REVISIT = 0
+_NULL_KEY = -(1 << 63)
 DATE = "1970-01-01T00:00:00Z"  # the tables hold no time of capture
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -113,16 +116,14 @@ class _File:
         return self.name, self.volume, self.no, self.records, self.bytes, self.sha1.hexdigest(), self.first, self.last
 
 
-def _assign(bounds: list):
-    """mapInArrow: add each row's volume, the last one that begins at its key or before."""
+def _assign(bounds: list[tuple[int, str]]):
+    """mapInArrow: add each row's volume, the last one that begins at its (key, digest) or before."""
     def run(batches):
-        import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
-        first = np.asarray(bounds, np.int64)
         for batch in batches:
-            key = pc.fill_null(batch.column("key"), np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
-            volume = np.maximum(np.searchsorted(first, key, side="right") - 1, 0)
+            keys = pc.fill_null(batch.column("key"), _NULL_KEY).to_pylist()
+            volume = [max(bisect_right(bounds, x) - 1, 0) for x in zip(keys, batch.column("digest").to_pylist(), strict=True)]
             yield batch.append_column("volume", pa.array(volume, pa.int64()))
     return run
 
@@ -159,19 +160,20 @@ def write_warc(pages: DataFrame, root: str, volume_bytes: int = VOLUME_BYTES, ro
     """Write pages(key, url, payload) under ``root``; returns the manifest.
 
     There are at most MOST_VOLUMES volumes (larger ones if need be), so the list
-    of the keys they begin at stays small; by it the pages are dealt out in one
-    shuffle, together with the plan's rows."""
+    of the (key, digest) they begin at stays small; by it the pages are dealt out in one
+    shuffle, together with the plan's rows.  Volumes are cut by the bytes that are sent to their
+    tasks, those of pages that become revisits included."""
     spark = pages.sparkSession
     stages = Stages(spark, "warc")
     store, base = open_store(root)
     store.create_dir(base, recursive=True)
-    plan = stages.save(decide(stages, pages, min_revisit).withColumn(
-        "size", F.when(F.col("refers_to").isNull(), F.col("n")).otherwise(F.lit(0)) + 512), "plan")
+    plan = stages.save(decide(stages, pages, min_revisit).withColumn("size", F.col("n") + 512), "plan")
     total = plan.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     volume_bytes = max(volume_bytes, -(-total // MOST_VOLUMES))
-    cut = with_running_total(stages, plan.select("key", "size"), ["key"], "size", "before").groupBy(
-        F.floor(F.col("before") / volume_bytes).alias("volume")).agg(F.min("key").alias("first"))
-    bounds = [r["first"] if r["first"] is not None else -(1 << 63) for r in cut.orderBy("volume").collect()]
+    at = F.struct(F.coalesce("key", F.lit(_NULL_KEY)).alias("key"), "digest")
+    cut = with_running_total(stages, plan.select("key", "digest", "size"), ["key", "digest"], "size", "before").groupBy(
+        F.floor(F.col("before") / volume_bytes).alias("volume")).agg(F.min(at).alias("first"))
+    bounds = sorted(tuple(r["first"]) for r in cut.collect())
 
     body = F.coalesce(F.col("payload"), F.lit(b""))
     rows = pages.select("key", F.sha1(body).alias("digest"), F.lit(1).alias("kind"), "url", "payload",

@@ -8,7 +8,7 @@ follows failure links that give back pieces already seen, in time linear in
 the word.  A word whose rest fits no piece is one unknown token.
 
 The walk runs over all distinct words of a batch in lock step: one numpy step a
-letter position.  Texts are taken whole; there is no longest word.
+letter position; where fewer than ``FEW`` words go on, each is walked alone.  Texts are taken whole; there is no longest word.
 
 Pieces come from a public subword vocabulary: those marked as word beginnings
 begin words, all others continue them; control and byte pieces are left out.
@@ -28,6 +28,7 @@ from .common import pick, table
 
 VOCABULARY = "piece_bpe_32k.model"
 WORD_MARK = "▁"
+FEW = 64
 _SPACES = str.maketrans("\t\n\v\f\r", "     ")
 
 
@@ -81,6 +82,7 @@ class PieceCounter:
                     if z >= 0:
                         fail[u], pops[u] = nodes[z][c], n
             level = below
+        self.nodes, self.links = nodes, list(zip(fail, pops, strict=True))
         self.fail, self.pops = np.asarray(fail, np.int32), np.asarray(pops, np.int64)
         # transitions: a dense table for ASCII, a sorted list of (node, letter) for the rest
         self.ascii = np.full((len(nodes), 128), -1, np.int32)
@@ -105,6 +107,22 @@ class PieceCounter:
             out[wide] = np.where(letter[wide] == 127, out[wide], other)
         return out
 
+    def _walk(self, node: int, letters: str) -> tuple[int, int]:
+        """From a node down one word's letters: (last node, -1 if there is none; pieces popped)."""
+        nodes, links, total = self.nodes, self.links, 0
+        if node < 0:
+            return -1, 0
+        for c in letters:
+            below = nodes[node]
+            while c not in below:
+                node, popped = links[node]
+                if node < 0:
+                    return -1, total
+                total += popped
+                below = nodes[node]
+            node = below[c]
+        return node, total
+
     def counts(self, words: list[str]) -> np.ndarray:
         """Pieces of each word; 0 for a word that can't be put together."""
         size = np.fromiter(map(len, words), np.int64, len(words))
@@ -115,6 +133,12 @@ class PieceCounter:
         node, total = np.zeros(len(words), np.int32), np.zeros(len(words), np.int64)
         for i in range(int(size[0]) if len(size) else 0):
             live = int(np.searchsorted(-size, -i, side="left"))  # words longer than i
+            if live < FEW:
+                for w in range(live):
+                    rest = letters[start[w] + i:start[w] + size[w]].astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
+                    node[w], n = self._walk(int(node[w]), rest)
+                    total[w] += n
+                break
             go = np.flatnonzero(node[:live] >= 0)
             while len(go):
                 letter = letters[start[go] + i]

@@ -550,8 +550,9 @@ def test_warc_minimum_and_empty(spark):
 
 def _greedy(word, begin, inside):
     n = at = 0
+    longest = max(map(len, begin | inside))
     while at < len(word):
-        end = next((e for e in range(len(word), at, -1) if word[at:e] in (begin if at == 0 else inside)), None)
+        end = next((e for e in range(min(len(word), at + longest), at, -1) if word[at:e] in (begin if at == 0 else inside)), None)
         if end is None:
             return 0
         n, at = n + 1, end
@@ -568,6 +569,19 @@ def test_piece_counts_equal_greedy():
         assert got.tolist() == [_greedy(w, begin, inside) for w in asked]
 
 
+def test_a_word_of_five_million_letters():
+    import time
+    r = random.Random(7)
+    begin, inside = {"a", "ab", "b", "aab"}, {"a", "b", "abab", "bba", "é"}
+    counter = token_counts.PieceCounter(sorted(begin), sorted(inside))
+    word = "".join(r.choices("abé", k=300))
+    began = time.time()
+    got = counter.counts(["a" + word, "a" * 5_000_000, word[:7], "b" + "ab" * 1000, "c"])
+    assert time.time() - began < 10
+    assert got.tolist() == [_greedy("a" + word, begin, inside), 5_000_000, _greedy(word[:7], begin, inside),
+                            _greedy("b" + "ab" * 1000, begin, inside), 0]
+
+
 def test_token_counts_equal_library(spark):
     from tokenizers import models
     path = public_tokenizers.path(token_counts.VOCABULARY)

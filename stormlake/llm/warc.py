@@ -182,7 +182,8 @@ def write_warc(pages: DataFrame, root: str, volume_bytes: int = VOLUME_BYTES, ro
                         F.lit(None).cast("binary").alias("payload"), "n", "refers_to").distinct()
     dealt = about.unionByName(rows).mapInArrow(
         _assign(bounds), "key long, digest string, kind int, url string, payload binary, n long, refers_to long, volume long")
-    dealt = dealt.repartition(partitions(spark), "volume").sortWithinPartitions("volume", "key", "digest", "kind")
+    # a task a volume
+    dealt = dealt.repartitionById(max(1, len(bounds)), F.col("volume").cast("int")).sortWithinPartitions("volume", "key", "digest", "kind")
     dealt.mapInArrow(_writer(root, roll_bytes), _MANIFEST).write.mode("overwrite").parquet(f"{root}/_manifest")
     stages.keep()
     return spark.read.parquet(f"{root}/_manifest")

@@ -113,16 +113,19 @@ def embed(tokens: np.ndarray, coords: int = COORDS) -> np.ndarray:
     return (out >> _U(32)).astype(np.uint32)
 
 
-def _texts(pdf):
-    return [t.encode("utf-8", "replace") if t else b"" for t in pdf["text"]]
+def _pieces(pdf, rows: int = 256):
+    """(first row, last row + 1, their texts as bytes): a few texts at a time."""
+    for at in range(0, len(pdf), rows):
+        texts = [t.encode("utf-8", "replace") if t else b"" for t in pdf["text"].iloc[at:at + rows]]
+        for lo, hi in chunks(texts):
+            yield at + lo, at + hi, texts[lo:hi]
 
 
 def _sets_of(coords: int):
     def run(batches):
         for pdf in batches:
-            texts = _texts(pdf)
-            for lo, hi in chunks(texts):
-                sets = shingle_sets(texts[lo:hi])
+            for lo, hi, texts in _pieces(pdf):
+                sets = shingle_sets(texts)
                 yield pd.DataFrame({
                     "doc_id": pdf["doc_id"].astype("Int64").iloc[lo:hi].to_numpy(), "text_hash": pdf["text_hash"].to_numpy()[lo:hi],
                     "sid": [hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets],
@@ -289,11 +292,10 @@ def candidate_ties(stages: Stages, sets: DataFrame, similarity: float = SIMILARI
 
 def _tokens(batches):
     for pdf in batches:
-        texts = _texts(pdf)
-        for lo, hi in chunks(texts):
+        for lo, hi, texts in _pieces(pdf):
             yield pd.DataFrame({"set_no": pdf["set_no"].to_numpy()[lo:hi], "cluster": pdf["cluster"].to_numpy()[lo:hi],
                                 "blocks": pdf["blocks"].to_numpy()[lo:hi], "copies": pdf["copies"].to_numpy()[lo:hi],
-                                "tokens": [s.tobytes() for s in shingle_sets(texts[lo:hi])]})
+                                "tokens": [s.tobytes() for s in shingle_sets(texts)]})
 
 
 def common_counts(sets: list[np.ndarray], step: int = 4096) -> np.ndarray:

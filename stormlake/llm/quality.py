@@ -231,7 +231,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", key: str =
     def run(batches):
         import pyarrow as pa
         for batch in batches:
-            yield batch.filter(pa.array(model.score(feature_matrix(batch.column(at).to_pylist())) >= threshold))
+            texts = (x.as_py() for x in batch.column(at))  # one at a time
+            yield batch.filter(pa.array(model.score(feature_matrix(texts)) >= threshold))
     return docs.mapInArrow(run, docs.schema)
 
 

@@ -43,16 +43,18 @@ def _hourly_ema_sql() -> str:
     alpha = 2.0 / (C.MOVING_AVERAGE_WINDOW + 1)
     one = f"""SELECT city_id, ord_a, ord_b, ord_c, obs_ts, sea_level_air_pressure,
   list(sea_level_air_pressure) OVER ({order}) AS l FROM ({X.WEATHER_HOURLY_SQL}) h"""
-    return f"""SELECT city_id, ord_a, ord_b, ord_c, round(list_reduce(l, lambda y, v: (1.0::DOUBLE - {alpha}::DOUBLE) * y + {alpha}::DOUBLE * v), 6) AS ema
+    return f"""SELECT city_id, ord_a, ord_b, ord_c, CAST(CAST(list_reduce(l,
+  lambda y, v: (1.0::DOUBLE - {alpha}::DOUBLE) * y + {alpha}::DOUBLE * v) AS FLOAT) AS DOUBLE) AS ema
 FROM ({one}) x"""
 
 
 @register("hourly_pressure_ema", _hourly_ema_sql)
 def q_hourly_pressure_ema(spark, sf):
-    """WN2 over the long hourly series, in month blocks: every row's average over its city's whole history."""
+    """WN2 over the long hourly series, in month blocks: every row's average over its city's whole history
+    (given in single precision: decimal rounding has ties here, as the weights are halves)."""
     h = X.weather_hourly(spark, sf)
     e = ema(h, "sea_level_air_pressure", ["city_id"], ["obs_ts", "ord_a", "ord_b", "ord_c"], out="ema", block=month_block("date"))
-    return e.select("city_id", "ord_a", "ord_b", "ord_c", F.round("ema", 6).alias("ema"))
+    return e.select("city_id", "ord_a", "ord_b", "ord_c", F.col("ema").cast("float").cast("double").alias("ema"))
 
 
 @register("disasters_by_year", lambda: f"""

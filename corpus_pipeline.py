@@ -10,6 +10,11 @@ again.  All but the last return the columns of ``documents``:
 3. decontaminate  rows that hold ten benchmark words in a row go
 4. mix            rows appear as often as the mix of sources takes them
 5. shard          every row gets its shard and its place there
+
+Defined results: a null text is an empty one; a text without words is left out by the mix at the latest,
+as it has no words to take; texts are taken whole, however long; of rows with words that repeat a text the one with
+the smallest id stays (a null id is an id like others); an empty table gives an empty result; columns
+beyond those of ``documents``, whatever their names, pass through all stages but the last.
 """
 
 from __future__ import annotations

@@ -55,9 +55,3 @@ def parse_dates_per_file(df: DataFrame, col: str, file_keys: list[str],
         value = F.when(F.col("date_format") == i, F.col(parsed[i])).otherwise(value)
     d = d.withColumn(f"{out}_raw", F.col(col).cast("string")).withColumn(out, value)
     return d.drop(txt, *parsed, *([col] if out != col else []))
-
-
-def parse_date_text(c: str | Column, fmt: str) -> Column:
-    """Parse one text column with one format, null on failure."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.to_date(F.try_to_timestamp(_clean_text(col), F.lit(fmt)))

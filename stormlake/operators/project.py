@@ -50,22 +50,11 @@ def drop_strict(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.drop(*cols)
 
 
-def all_except(df: DataFrame, exclude: Iterable[str]) -> list[str]:
-    """PJ6: every column but the excluded ones, in frame order."""
-    ex = set(exclude)
-    return [c for c in df.columns if c not in ex]
-
-
 def drop_null_rows(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     """PJ7: drop rows having any null."""
     return df.na.drop(how="any", subset=subset)
 
 
-def add_columns(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
-    """PJ8: column-wise concatenation on the same rows is just more expressions."""
-    return df.withColumns(cols)
-
-
 def head(df: DataFrame, n: int, order: list[str | Column]) -> DataFrame:
     """PJ9: the first n rows by an explicit order (a top-n, not a sample)."""
     return df.orderBy(*order).limit(n)

@@ -7,7 +7,6 @@ keeps only (city, date, eventType); dates match null to null as in the source.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from stormlake import config as C
 from stormlake.functions.scalars import fill_from, occurred, season

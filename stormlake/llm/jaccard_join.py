@@ -7,10 +7,14 @@ are one set with a number of copies.  Each set is embedded as ``COORDS`` minimum
    ``BUCKET`` sets is split again: a hash of the node samples coordinates (``BRANCH``
    on average), and a set goes to one child for each, named by its value there;
    so two sets share a child with probability their similarity for each
-   sampled coordinate.  Nodes of one set end.  Small nodes, and those of
-   ``DEPTH`` levels whatever their size, are compared by brute force on the embedded sets,
-   with a threshold far enough below the similarity wanted; a node of more than
-   ``NODE_BLOCK`` sets in blocks against blocks, each pair of blocks a group of its own.  Runs are repeated
+   sampled coordinate.  Nodes of one set end.  Small nodes are compared by brute force on
+   the embedded sets, with a threshold far enough below the similarity wanted.  A large
+   node is held against its head (its first set) before it is split: where most sets look
+   similar to the head, as in a group of near copies, splitting would not part them.
+   Such a node ends there: its sets near the head are tied to it, one comparison each,
+   and only the others are compared, with all sets of the node.  So do the nodes of
+   ``DEPTH`` levels.  More than ``NODE_BLOCK`` sets are compared in blocks against
+   blocks, each pair of blocks a group of its own.  Runs are repeated
    until a pair at that similarity has been together with probability ``RECALL``.
 2. Clusters.  The pairs found tie sets into clusters (of each node's pairs, a
    spanning forest is enough).  No pair list is ever made.
@@ -203,17 +207,34 @@ def _starts(pdf, cols: list[str]) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1)])) if len(key) else np.zeros(0, np.int64)
 
 
+def _near_heads(least: float, similarity: float):
+    """mapInPandas: marks the sets that look similar to their node's head."""
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                m, head = _matrix(pdf["sketch"]), _matrix(pdf["head_sketch"])
+                size, head_size = pdf["size"].to_numpy(np.int64), pdf["head_size"].to_numpy(np.int64)
+                near = (np.minimum(size, head_size) >= similarity * np.maximum(size, head_size)) & (
+                    (m == head).sum(1) >= least * m.shape[1])
+                yield pdf[["node", "set_no", "head", "sketch"]].assign(near=near)
+    return run
+
+
 def _pairs_in_nodes(least: float, similarity: float):
     """mapInPandas over rows sorted by (node, i, j): ties of sets that look similar.
-    Pairs already tied through others are not compared again, and what is found
-    is reduced to a spanning forest as it grows."""
+    Pairs already tied through others, or through their node's head, are not compared
+    again, and what is found is reduced to a spanning forest as it grows."""
     def solve(pdf):
         size, m, block = pdf["size"].to_numpy(np.int64), _matrix(pdf["sketch"]), pdf["block"].to_numpy()
+        near_head = pdf["near"].to_numpy(bool)
         new = _starts(pdf, ["node", "i", "j"])
         end = np.repeat(np.append(new[1:], len(pdf)), np.diff(np.append(new, len(pdf))))
         across = (pdf["i"] != pdf["j"]).to_numpy()  # pairs inside a block are compared in that block's own group
         found_a, found_b, n_found = [], [], 0
         root = np.arange(len(pdf))
+        tied_to_head = np.flatnonzero(near_head)
+        _, first, of = np.unique(end[tied_to_head], return_index=True, return_inverse=True)
+        root[tied_to_head] = tied_to_head[first[of]]
         live = np.arange(len(pdf))
         off = 1
 
@@ -237,7 +258,7 @@ def _pairs_in_nodes(least: float, similarity: float):
                 root, found_a, found_b, n_found = forest(), [], [], 0
             off += 1
         root = forest()
-        tied = np.flatnonzero(root != np.arange(len(pdf)))
+        tied = np.flatnonzero((root != np.arange(len(pdf))) & ~(near_head & near_head[root]))
         no = pdf["set_no"].to_numpy()
         return pd.DataFrame({"a": no[tied], "b": no[root[tied]]}).drop_duplicates()
 
@@ -259,33 +280,52 @@ def candidate_ties(stages: Stages, sets: DataFrame, similarity: float = SIMILARI
                    node_block: int = NODE_BLOCK) -> DataFrame:
     """sets(set_no, size, sketch) -> (a, b): ties of sets that may be similar."""
     n = partitions(sets.sparkSession)
+    # four standard deviations of the estimate below the similarity
+    least = similarity - 4 * math.sqrt(similarity * (1 - similarity) / coords)
     frontier = sets.select("set_no", "sketch").mapInPandas(
         _roots(runs_for(recall, similarity, branch, depth)), "node long, set_no long")
-    leaves = []
+    leaf = ["node", "set_no", "near", "n_near", "n_far"]
+    leaves, ties = [], []
     for level in range(1, depth + 1):
         frontier = stages.save(frontier.distinct(), f"level{level}")
-        sizes = frontier.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        sizes = frontier.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("set_no").alias("head")).where("n > 1")
         placed = stages.save(frontier.join(sizes, "node"), f"placed{level}")
         stages.drop(frontier)
-        last = level == depth
-        leaves.append((placed if last else placed.where(F.col("n") <= bucket)).select("node", "set_no", "n"))
+        leaves.append(placed.where(F.col("n") <= bucket).select(
+            "node", "set_no", F.lit(False).alias("near"), F.lit(0).cast("long").alias("n_near"), F.col("n").alias("n_far")))
         large = placed.where(F.col("n") > bucket)
-        if last or large.isEmpty():
+        if large.isEmpty():
             break
-        frontier = large.select("node", "set_no").join(sets.select("set_no", "sketch"), "set_no").mapInPandas(
-            _branches(branch), "node long, set_no long")
+        heads = large.where("set_no = head").select("node", "set_no").join(sets, "set_no").select(
+            "node", F.col("size").alias("head_size"), F.col("sketch").alias("head_sketch"))
+        held = stages.save(large.select("node", "set_no", "head").join(sets, "set_no").join(heads, "node").mapInPandas(
+            _near_heads(least, similarity), "node long, set_no long, head long, sketch binary, near boolean"), f"held{level}")
+        counts = held.groupBy("node").agg(F.count_if("near").alias("n_near"), F.count_if(~F.col("near")).alias("n_far"))
+        counts = counts.withColumn("ends", F.lit(level == depth) | (F.col("n_near") >= similarity * (F.col("n_near") + F.col("n_far"))))
+        counted = held.join(counts, "node")
+        leaves.append(counted.where("ends").select(leaf))
+        ties.append(counted.where("ends AND near AND set_no <> head").select(F.col("head").alias("a"), F.col("set_no").alias("b")))
+        if level < depth:
+            frontier = counted.where("NOT ends").select("node", "set_no", "sketch").mapInPandas(
+                _branches(branch), "node long, set_no long")
     found = leaves[0]
     for x in leaves[1:]:
         found = found.unionByName(x)
-    # four standard deviations of the estimate below the similarity
-    least = similarity - 4 * math.sqrt(similarity * (1 - similarity) / coords)
-    blocks = F.ceil(F.col("n") / max(bucket, node_block)).cast("int")
-    dealt = (found.join(sets, "set_no").withColumn("block", F.pmod(F.xxhash64("set_no"), blocks).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    most = max(bucket, node_block)
+    far, near = (F.ceil(F.col(c) / most).cast("int") for c in ("n_far", "n_near"))
+    place = lambda blocks: F.pmod(F.xxhash64("set_no"), F.greatest(blocks, F.lit(1))).cast("int")
+    # sets near the head meet the others only: a node without others has no groups
+    others = F.when(F.col("near"), far).otherwise(far + near)
+    dealt = (found.withColumn("block", F.when(F.col("near"), far + place(near)).otherwise(place(far)))
+             .withColumn("other", F.explode(F.when(others > 0, F.sequence(F.lit(0), others - 1))))
+             .join(sets, "set_no")
              .select("node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                     "block", "set_no", "size", "sketch"))
-    return (dealt.repartition(n, "node", "i", "j").sortWithinPartitions("node", "i", "j")
-            .mapInPandas(_pairs_in_nodes(least, similarity), "a long, b long"))
+                     "block", "near", "set_no", "size", "sketch"))
+    out = (dealt.repartition(n, "node", "i", "j").sortWithinPartitions("node", "i", "j")
+           .mapInPandas(_pairs_in_nodes(least, similarity), "a long, b long"))
+    for x in ties:
+        out = out.unionByName(x)
+    return out
 
 
 # --- true links -------------------------------------------------------------

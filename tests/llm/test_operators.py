@@ -264,6 +264,25 @@ def test_jaccard_last_level_nodes_are_compared_in_blocks(spark, monkeypatch):
     assert sorted((tuple(r) for r in got.select("doc_id", "class_id", "n_links", "n_shingles").collect()), key=str) == _classes(rows)
 
 
+def test_jaccard_large_nodes_of_near_copies_are_not_split(spark):
+    """Sets near their node's head are tied to it: no level has more rows than the runs' roots; every tie is kept."""
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate(_family(62, 120, 4) + _family(63, 40, 30))]
+
+    class Counted(Stages):
+        levels = []
+
+        def save(self, df, what="stage"):
+            out = super().save(df, what)
+            if what.startswith("level"):
+                self.levels.append(out.count())
+            return out
+
+    docs = narrow(messy(spark, rows))
+    got = jaccard_join.jaccard_join(docs, recall=0.9999, bucket=12, block=16, node_block=12, stages=Counted(spark, "jaccard"))
+    assert sorted((tuple(r) for r in got.select("doc_id", "class_id", "n_links", "n_shingles").collect()), key=str) == _classes(rows)
+    assert Counted.levels == sorted(Counted.levels, reverse=True), Counted.levels
+
+
 def test_jaccard_keep_one(spark):
     kept = jaccard_join.keep_one(messy(spark))
     ids = [r.doc_id for r in kept.collect()]

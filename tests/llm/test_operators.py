@@ -311,8 +311,8 @@ def test_components(spark):
 
 # --- op5 ---------------------------------------------------------------------
 
-def _removed(rows, length):
-    order = sorted({(r[0], r[1]) for r in rows}, key=lambda r: (r[0] is not None, r[0] or 0))
+def _removed(rows, length, hashes=None):
+    order = sorted({(r[0], r[1]) for r in rows}, key=lambda r: (r[0] is not None, r[0] or 0, hashes[r[1]] if hashes else 0))
     seen, out = set(), {}
     for d, t in order:
         b = (t or "").encode()
@@ -344,6 +344,20 @@ def test_suffix_dedup_messy(spark):
     assert suffix_dedup.remove_repeats(narrow(empty(spark))).count() == 0
 
 
+@pytest.mark.parametrize("hot", [20_000, 2])
+def test_suffix_dedup_null_ids_first_then_texts_of_one_id_by_hash(spark, hot):
+    r = random.Random(18)
+    ids, passage = [None, 7, None, 7, 3, None, 7, -2], words(12, 79)
+    rows = [(ids[i % 8], "".join(r.choice("ab") for _ in range(r.randrange(40))) + passage[i:i + 40], "en", "a", 1) for i in range(40)]
+    rows += [(7, passage, "en", "a", 1), (None, passage, "en", "a", 1), (None, None, "en", "a", 1), (7, None, "en", "a", 1), (None, "", "en", "a", 1)]
+    rows += rows[:5]
+    docs = narrow(messy(spark, rows))
+    hashes = {x.text: x.h for x in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    got = suffix_dedup.remove_repeats(docs, length=14, gram=5, hot=hot)
+    assert collections.Counter(tuple(x) for x in got.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()) \
+        == _removed(rows, 14, hashes)
+
+
 def test_anchors_over_segments(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 64)
     import pandas as pd

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window as W
 
 from stormlake.session import Stages
 
-__all__ = ["Stages", "table", "pick", "with_running_total", "open_store", "chunks", "partitions", "mix64"]
+__all__ = ["Stages", "table", "pick", "with_running_total", "open_store", "chunks", "partitions", "small_batches", "mix64"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "4m") -> None:
+    """Texts go to Python workers and back in batches of at most so many rows and bytes (for the
+    rest of the session): a batch lies in the JVM and in the worker at once, several times over."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def with_running_total(stages: Stages, df: DataFrame, order: list[str], value: str, total: str) -> DataFrame:
     """Add ``total``: the sum of ``value`` over all rows before this one in the
     order of ``order`` (nulls first; rows equal in all order columns come in any

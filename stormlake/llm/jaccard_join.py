@@ -13,7 +13,9 @@ are one set with a number of copies.  Each set is embedded as ``COORDS`` minimum
    similar to the head, as in a group of near copies, splitting would not part them.
    Such a node ends there: its sets near the head are tied to it, one comparison each,
    and only the others are compared, with all sets of the node.  So do the nodes of
-   ``DEPTH`` levels.  More than ``NODE_BLOCK`` sets are compared in blocks against
+   ``DEPTH`` levels.  A node of at most ``LOCAL`` blocks is split, by the same rule, in
+   the task that compares its sets; larger ones by a shuffle a level.
+   More than ``NODE_BLOCK`` sets of an ended node are compared in blocks against
    blocks, each pair of blocks a group of its own.  Runs are repeated
    until a pair at that similarity has been together with probability ``RECALL``.
 2. Clusters.  The pairs found tie sets into clusters (of each node's pairs, a
@@ -39,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Stages, chunks, mix64, partitions, pick, table
+from .common import Stages, chunks, mix64, partitions, pick, small_batches, table
 from .components import components
 
 SHINGLE = 5
@@ -51,6 +53,7 @@ DEPTH = 6
 RECALL = 0.995
 BLOCK = 512
 NODE_BLOCK = 2048
+LOCAL = 4
 
 _U = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -171,17 +174,20 @@ def _roots(runs: int):
     return run
 
 
+def children(node: np.ndarray, m: np.ndarray, branch: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, child): the children that each row of sketches goes to from its node."""
+    coords = mix64(np.arange(101, 101 + m.shape[1], dtype=np.uint64))
+    row, coord = np.nonzero(mix64(node[:, None] ^ coords[None, :]) < _U(int(branch / m.shape[1] * 2.0 ** 64)))
+    return row, _child(node[row], coord, m[row, coord])
+
+
 def _branches(branch: float):
     def run(batches):
         for pdf in batches:
             for lo in range(0, len(pdf), 8192):
                 part = pdf.iloc[lo:lo + 8192]
-                m, node = _matrix(part["sketch"]), part["node"].to_numpy(np.int64).view(np.uint64)
-                coords = mix64(np.arange(101, 101 + m.shape[1], dtype=np.uint64))
-                drawn = mix64(node[:, None] ^ coords[None, :]) < _U(int(branch / m.shape[1] * 2.0 ** 64))
-                row, coord = np.nonzero(drawn)
-                yield pd.DataFrame({"node": _child(node[row], coord, m[row, coord]).view(np.int64),
-                                    "set_no": part["set_no"].to_numpy()[row]})
+                row, child = children(part["node"].to_numpy(np.int64).view(np.uint64), _matrix(part["sketch"]), branch)
+                yield pd.DataFrame({"node": child.view(np.int64), "set_no": part["set_no"].to_numpy()[row]})
     return run
 
 
@@ -207,46 +213,98 @@ def _starts(pdf, cols: list[str]) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1)])) if len(key) else np.zeros(0, np.int64)
 
 
+def look_near(size: np.ndarray, m: np.ndarray, head_size: np.ndarray, head: np.ndarray, least: float, similarity: float) -> np.ndarray:
+    """Which rows of sketches look similar to the rows of head."""
+    return (np.minimum(size, head_size) >= similarity * np.maximum(size, head_size)) & ((m == head).sum(1) >= least * m.shape[1])
+
+
 def _near_heads(least: float, similarity: float):
     """mapInPandas: marks the sets that look similar to their node's head."""
     def run(batches):
         for pdf in batches:
             if len(pdf):
-                m, head = _matrix(pdf["sketch"]), _matrix(pdf["head_sketch"])
-                size, head_size = pdf["size"].to_numpy(np.int64), pdf["head_size"].to_numpy(np.int64)
-                near = (np.minimum(size, head_size) >= similarity * np.maximum(size, head_size)) & (
-                    (m == head).sum(1) >= least * m.shape[1])
+                near = look_near(pdf["size"].to_numpy(np.int64), _matrix(pdf["sketch"]), pdf["head_size"].to_numpy(np.int64),
+                                 _matrix(pdf["head_sketch"]), least, similarity)
                 yield pdf[["node", "set_no", "head", "sketch"]].assign(near=near)
     return run
 
 
-def _pairs_in_nodes(least: float, similarity: float):
+def split_nodes(node: np.ndarray, rows: np.ndarray, left: np.ndarray, no: np.ndarray, size: np.ndarray, m: np.ndarray, least: float,
+                similarity: float, bucket: int, branch: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes of rows of the sketches m, ``left`` levels each, split until they have at most
+    bucket rows or end: (group, row) of the nodes to compare, (row, head) of the ties to heads."""
+    groups, members, tied, heads, n_groups = [], [], [], [], 0
+    while len(rows):
+        by = np.lexsort((no[rows], node))
+        node, rows, left = node[by], rows[by], left[by]
+        new = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+        n = np.diff(np.append(new, len(rows)))
+        of = np.repeat(np.arange(len(new)), n)
+        large = np.flatnonzero(n[of] > bucket)
+        head = rows[new[of[large]]]
+        near = np.concatenate([look_near(size[r], m[r], size[h], m[h], least, similarity) for r, h in (
+            (rows[large[lo:lo + 65536]], head[lo:lo + 65536]) for lo in range(0, max(1, len(large)), 65536))])
+        alike = np.bincount(of[large[near]], minlength=len(new))
+        ends = (n > 1) & ((n <= bucket) | (left[new] == 0) | (alike >= similarity * n))
+        tie = near & ends[of[large]] & (rows[large] != head)
+        tied.append(rows[large[tie]])
+        heads.append(head[tie])
+        here = np.flatnonzero(ends[of])
+        groups.append(n_groups + of[here])
+        members.append(rows[here])
+        n_groups += len(new)
+        on = np.flatnonzero(~ends[of] & (n[of] > 1))
+        parts = [(on[lo:lo + 8192], *children(node[on[lo:lo + 8192]], m[rows[on[lo:lo + 8192]]], branch)) for lo in range(0, len(on), 8192)]
+        at = np.concatenate([p[row] for p, row, _ in parts]) if parts else on
+        node = np.concatenate([child for _, _, child in parts]) if parts else node[:0]
+        rows, left = rows[at], left[at] - 1
+    join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
+    return join(groups), join(members), join(tied), join(heads)
+
+
+def _pairs_in_nodes(least: float, similarity: float, bucket: int, branch: float):
     """mapInPandas over rows sorted by (node, i, j): ties of sets that look similar.
+    Nodes that may be split (``left`` levels more) are split first.
     Pairs already tied through others, or through their node's head, are not compared
     again, and what is found is reduced to a spanning forest as it grows."""
     def solve(pdf):
         size, m, block = pdf["size"].to_numpy(np.int64), _matrix(pdf["sketch"]), pdf["block"].to_numpy()
-        near_head = pdf["near"].to_numpy(bool)
+        near_head, no, left = pdf["near"].to_numpy(bool), pdf["set_no"].to_numpy(), pdf["left"].to_numpy(np.int64)
         new = _starts(pdf, ["node", "i", "j"])
-        end = np.repeat(np.append(new[1:], len(pdf)), np.diff(np.append(new, len(pdf))))
+        group = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(pdf))))
         across = (pdf["i"] != pdf["j"]).to_numpy()  # pairs inside a block are compared in that block's own group
         found_a, found_b, n_found = [], [], 0
         root = np.arange(len(pdf))
         tied_to_head = np.flatnonzero(near_head)
-        _, first, of = np.unique(end[tied_to_head], return_index=True, return_inverse=True)
+        _, first, of = np.unique(group[tied_to_head], return_index=True, return_inverse=True)
         root[tied_to_head] = tied_to_head[first[of]]
-        live = np.arange(len(pdf))
-        off = 1
 
         def forest():
             # the forest so far (each row and its root) and the new pairs
             a, b = np.concatenate([np.arange(len(root)), *found_a]), np.concatenate([root, *found_b])
             return local_roots(len(root), a, b)
 
+        row = np.flatnonzero(left < 0)
+        group = group[row]
+        open_rows = np.flatnonzero(left >= 0)
+        if len(open_rows):
+            more, members, tied, heads = split_nodes(pdf["node"].to_numpy(np.int64).view(np.uint64)[open_rows], open_rows, left[open_rows], no,
+                                                     size, m, least, similarity, bucket, branch)
+            row, group = np.concatenate([row, members]), np.concatenate([group, len(new) + more])
+            by = np.argsort(group, kind="stable")
+            row, group = row[by], group[by]
+            if len(tied):
+                found_a, found_b = [tied], [heads]
+                root, found_a, found_b = forest(), [], []
+        starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(row) else np.zeros(0, np.int64)
+        edges = np.append(starts, len(row))
+        end = np.repeat(edges[1:], np.diff(edges))
+        live = np.arange(len(row))
+        off = 1
         while len(live := live[live + off < end[live]]):
             for lo in range(0, len(live), 1 << 16):
-                i = live[lo:lo + (1 << 16)]
-                j = i + off
+                i = row[live[lo:lo + (1 << 16)]]
+                j = row[live[lo:lo + (1 << 16)] + off]
                 open_ = ((np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]))
                          & (root[i] != root[j]) & ~(across[i] & (block[i] == block[j])))
                 i, j = i[open_], j[open_]
@@ -259,7 +317,6 @@ def _pairs_in_nodes(least: float, similarity: float):
             off += 1
         root = forest()
         tied = np.flatnonzero((root != np.arange(len(pdf))) & ~(near_head & near_head[root]))
-        no = pdf["set_no"].to_numpy()
         return pd.DataFrame({"a": no[tied], "b": no[root[tied]]}).drop_duplicates()
 
     def run(batches):
@@ -284,16 +341,19 @@ def candidate_ties(stages: Stages, sets: DataFrame, similarity: float = SIMILARI
     least = similarity - 4 * math.sqrt(similarity * (1 - similarity) / coords)
     frontier = sets.select("set_no", "sketch").mapInPandas(
         _roots(runs_for(recall, similarity, branch, depth)), "node long, set_no long")
-    leaf = ["node", "set_no", "near", "n_near", "n_far"]
+    leaf = ["node", "set_no", "near", "n_near", "n_far", "left"]
     leaves, ties = [], []
+    local = max(bucket, LOCAL * node_block)
     for level in range(1, depth + 1):
-        frontier = stages.save(frontier.distinct(), f"level{level}")
+        # a set is in a node once: its children differ in node, coordinate or value
+        frontier = stages.save(frontier, f"level{level}")
         sizes = frontier.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("set_no").alias("head")).where("n > 1")
         placed = stages.save(frontier.join(sizes, "node"), f"placed{level}")
         stages.drop(frontier)
-        leaves.append(placed.where(F.col("n") <= bucket).select(
-            "node", "set_no", F.lit(False).alias("near"), F.lit(0).cast("long").alias("n_near"), F.col("n").alias("n_far")))
-        large = placed.where(F.col("n") > bucket)
+        leaves.append(placed.where(F.col("n") <= local).select(  # one group each
+            "node", "set_no", F.lit(False).alias("near"), F.lit(0).cast("long").alias("n_near"), F.lit(1).cast("long").alias("n_far"),
+            F.lit(depth - level).alias("left")))
+        large = placed.where(F.col("n") > local)
         if large.isEmpty():
             break
         heads = large.where("set_no = head").select("node", "set_no").join(sets, "set_no").select(
@@ -302,7 +362,7 @@ def candidate_ties(stages: Stages, sets: DataFrame, similarity: float = SIMILARI
             _near_heads(least, similarity), "node long, set_no long, head long, sketch binary, near boolean"), f"held{level}")
         counts = held.groupBy("node").agg(F.count_if("near").alias("n_near"), F.count_if(~F.col("near")).alias("n_far"))
         counts = counts.withColumn("ends", F.lit(level == depth) | (F.col("n_near") >= similarity * (F.col("n_near") + F.col("n_far"))))
-        counted = held.join(counts, "node")
+        counted = held.join(counts, "node").withColumn("left", F.lit(-1))
         leaves.append(counted.where("ends").select(leaf))
         ties.append(counted.where("ends AND near AND set_no <> head").select(F.col("head").alias("a"), F.col("set_no").alias("b")))
         if level < depth:
@@ -320,9 +380,9 @@ def candidate_ties(stages: Stages, sets: DataFrame, similarity: float = SIMILARI
              .withColumn("other", F.explode(F.when(others > 0, F.sequence(F.lit(0), others - 1))))
              .join(sets, "set_no")
              .select("node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                     "block", "near", "set_no", "size", "sketch"))
+                     "block", "near", "left", "set_no", "size", "sketch"))
     out = (dealt.repartition(n, "node", "i", "j").sortWithinPartitions("node", "i", "j")
-           .mapInPandas(_pairs_in_nodes(least, similarity), "a long, b long"))
+           .mapInPandas(_pairs_in_nodes(least, similarity, bucket, branch), "a long, b long"))
     for x in ties:
         out = out.unionByName(x)
     return out
@@ -398,6 +458,7 @@ def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float
     spark = docs.sparkSession
     stages = stages or Stages(spark, "jaccard")
     n = partitions(spark)
+    small_batches(spark)
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     rows = stages.save(texts.mapInPandas(_sets_of(coords), "doc_id long, text_hash long, sid string, size int, sketch binary"), "rows")
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("text_hash"))

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, table
+from .common import pick, small_batches, table
 
 MAX_ROWS = 20_000
 BINS = 32
@@ -195,6 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Additiv
     ids, none of them held out, are taken; their texts are found by a join with
     that bounded list, and only their features come to the driver."""
     spark = docs.sparkSession
+    small_batches(spark)
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.min("quality").alias("quality"))
              .orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(max_rows).collect())

@@ -283,6 +283,32 @@ def test_jaccard_large_nodes_of_near_copies_are_not_split(spark):
     assert Counted.levels == sorted(Counted.levels, reverse=True), Counted.levels
 
 
+def test_jaccard_moderate_nodes_are_split_in_their_task(spark):
+    """Nodes of a few blocks take no shuffle a level, whatever they hold: one level table, and every tie is kept."""
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate(_family(64, 60, 4) + _family(65, 60, 40) + _family(66, 30, 9))]
+    levels = []
+
+    class Counted(Stages):
+        def save(self, df, what="stage"):
+            levels.extend([what] if what.startswith("level") else [])
+            return super().save(df, what)
+
+    got = jaccard_join.jaccard_join(narrow(messy(spark, rows)), recall=0.9999, bucket=6, stages=Counted(spark, "jaccard"))
+    assert sorted((tuple(r) for r in got.select("doc_id", "class_id", "n_links", "n_shingles").collect()), key=str) == _classes(rows)
+    assert levels == ["level1"], levels
+
+
+def test_texts_go_to_workers_in_small_batches(spark):
+    """Batches of texts are bounded in rows and bytes before a stage's tasks hold them."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    for run in (lambda: jaccard_join.jaccard_join(narrow(messy(spark))),
+                lambda: quality.keep_good(messy(spark), spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int"))):
+        for name in names:
+            spark.conf.unset(name)
+        run()
+        assert [spark.conf.get(name) for name in names] == ["1000", "4m"]
+
+
 def test_jaccard_keep_one(spark):
     kept = jaccard_join.keep_one(messy(spark))
     ids = [r.doc_id for r in kept.collect()]

@@ -150,3 +150,65 @@ def test_knn_sends_queries_to_few_blocks(spark):
     for r in K.knn(df.selectExpr("nid AS id", "nf AS features"), df.selectExpr("nid AS id", "nf AS features"), 5, block=100).collect():
         got.setdefault(r.qid, []).append((r.rank, r.nid))
     assert {q: [n for _, n in sorted(v)] for q, v in got.items()} == _brute(x, 5)
+
+
+@pytest.mark.parametrize("kind", ["unit", "copies", "offset", "outlier", "grid", "ids"])
+def test_knn_tiles_are_exact(kind):
+    """Where bounds leave out little, tiles in single precision find the same rows as sums in double precision."""
+    from stormlake.operators import knn as K
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(700, 32))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32).astype(float)
+    if kind == "grid":
+        x = rng.integers(0, 2, size=(700, 8)).astype(float)
+    x = x + 1e6 if kind == "offset" else x
+    if kind == "outlier":
+        x[7], x[9] = 1e5, -3e7
+    if kind in ("copies", "ids"):
+        x[100:400] = x[3]
+    ids = rng.permutation(700) // (7 if kind == "ids" else 1)
+    i, j, d = K.nearest_in_block(x[:150], ids[:150], np.full(150, np.inf), x, ids, 5, True)
+    exp = []
+    for a in range(150):
+        dist = np.where(ids == ids[a], np.inf, K.exact(np.broadcast_to(x[a], x.shape), x))
+        exp += [(a, ids[b], dist[b]) for b in np.lexsort((ids, dist))[:5]]
+    assert list(zip(i, ids[j], d, strict=True)) == exp
+
+
+def test_knn_equal_points_are_not_all_compared():
+    """Of equal points only those of smallest ids can be found: the others meet no query."""
+    from stormlake.operators.knn import Compared, nearest_in_block
+    x, ids, seen = np.ones((3000, 4)), np.arange(3000), Compared()
+    i, j, d = nearest_in_block(x[:500], ids[:500], np.full(500, np.inf), x, ids, 3, True, seen)
+    assert (j.reshape(500, 3)[5:] == [0, 1, 2]).all() and j[:3].tolist() == [1, 2, 3] and not d.any()
+    assert seen.done <= 500 * 8
+
+
+def test_knn_sends_vectors_a_bounded_number_of_times(spark, monkeypatch):
+    """Blocks grow with the table and the parts of queries are bounded in all: no more copies of a vector for more rows."""
+    from stormlake.operators import knn as K
+    monkeypatch.setattr(K, "BLOCK", 16)
+    monkeypatch.setattr(K, "BLOCKS", 4)
+    monkeypatch.setattr(K, "TASKS", 8)
+    monkeypatch.setattr(K, "Q_LEAST", 8)
+
+    def counted(*args):
+        run = search(*args)
+
+        def seen(q, p):
+            assert len(q) <= 2 * n // 4 and len(p) <= -(-n // 4), (len(q), len(p))
+            return run(q, p)
+        return seen
+
+    search = K._search
+    monkeypatch.setattr(K, "_search", counted)
+    x = np.random.default_rng(6).normal(size=(600, 12))
+    for n in (200, 600):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x[:n])], "id long, features array<double>")
+        out = K.knn(df, df, 3)
+        got = {}
+        for r in out.collect():
+            got.setdefault(r.qid, []).append((r.rank, r.nid))
+        assert {q: [m for _, m in sorted(v)] for q, v in got.items()} == _brute(x[:n], 3)
+        held, _ = K._blocks(df.selectExpr("id AS nid", "features AS nf"), n, -(-n // 4))
+        assert held.select("block").distinct().count() == 4
